@@ -78,6 +78,10 @@ def wait_category_group(category: Column) -> Column:
     )
 
 
+def wait_minutes(total_ms: str = "TotalWaitTimeMs") -> Column:
+    return F.col(total_ms).cast("double") / F.lit(1000.0) / F.lit(60.0)
+
+
 def query_type(object_id: Column) -> Column:
     return (
         F.when(object_id > 0, "Stored Procedure")

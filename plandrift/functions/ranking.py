@@ -39,8 +39,6 @@ def rank_desc(
 
     step = F.count_distinct(value) if dense else F.count(F.lit(1))
     sizes = df.groupBy(*within, "_band").agg(step.alias("_size"))
-    if dense:
-        sizes = sizes.withColumn("_size", F.when(F.col("_band").isNull(), 1).otherwise(F.col("_size")))
     higher = (
         Window.partitionBy(*within)
         .orderBy(F.desc_nulls_last("_band"))

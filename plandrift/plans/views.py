@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plandrift.functions.columns import boundary_diff, dim_key, query_type, wait_category_group
+from plandrift.functions.columns import (
+    boundary_diff, dim_key, query_type, wait_category_group, wait_minutes,
+)
 from plandrift.functions.ranking import top
 from plandrift.schemas import INTERVAL_KEY, KEYS, PLAN_KEY, QUERY_KEY
 from plandrift.sources.warehouse import Telemetry
@@ -84,12 +86,11 @@ def fact_runtime_stats(runtime: DataFrame) -> DataFrame:
 
 
 def fact_wait_stats(waits: DataFrame) -> DataFrame:
-    minutes = F.col("TotalWaitTimeMs") / F.lit(1000.0).cast("double") / F.lit(60.0)
     return waits.select(
         "WaitStatsId", dim_key("QueryId").alias("QueryDimKey"), "RuntimeStatsIntervalId",
         *QUERY_KEY, "PlanId", "WaitCategory", "WaitCategoryId",
         wait_category_group(F.col("WaitCategory")).alias("WaitCategoryGroup"),
-        "TotalWaitTimeMs", minutes.alias("TotalWaitTimeMinutes"), "AvgWaitTimeMs",
+        "TotalWaitTimeMs", wait_minutes().alias("TotalWaitTimeMinutes"), "AvgWaitTimeMs",
         "MaxWaitTimeMs", "CountWaits", "QueryWaitTimeCategory", "LoadDate",
     )
 
@@ -132,15 +133,16 @@ def with_query_text(df: DataFrame, queries: DataFrame, texts: DataFrame) -> Data
 
 
 def fact_wait_summary(waits: DataFrame) -> DataFrame:
-    total = F.sum("TotalWaitTimeMs")
     summary = waits.groupBy(*KEYS, "WaitCategory").agg(
-        total.alias("TotalWaitTimeMs"),
-        (total / F.lit(1000.0).cast("double") / F.lit(60.0)).alias("TotalWaitTimeMinutes"),
+        F.sum("TotalWaitTimeMs").alias("TotalWaitTimeMs"),
         F.sum("CountWaits").alias("TotalWaits"),
         F.avg("AvgWaitTimeMs").alias("AvgWaitTimeMs"),
         F.max("MaxWaitTimeMs").alias("MaxWaitTimeMs"),
     )
-    return summary.withColumn("WaitCategoryGroup", wait_category_group(F.col("WaitCategory")))
+    return summary.withColumns({
+        "WaitCategoryGroup": wait_category_group(F.col("WaitCategory")),
+        "TotalWaitTimeMinutes": wait_minutes(),
+    })
 
 
 def with_interval_date(fact: DataFrame, intervals: DataFrame) -> DataFrame:
