@@ -11,6 +11,7 @@ def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
