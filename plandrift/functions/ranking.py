@@ -6,12 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plandrift.sources.warehouse import shared_dir
+
 
 def top(df: DataFrame, n: int, order: Sequence[Column], tie_break: Sequence[str]) -> DataFrame:
     """First ``n`` rows; the natural key decides ties so that runs agree."""
     return df.orderBy(*order, *[F.asc(c) for c in tie_break]).limit(n)
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from the written rows."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _band(value: Column) -> Column:
     """Order-preserving band of a number, about 0.1 % wide.
 
@@ -32,10 +40,7 @@ def rank_desc(
     The input is checkpointed first, so that the bands and the ranks are taken
     from the same numbers even if a task is repeated.
     """
-    from plandrift.sources.warehouse import shared_dir
-
-    shared_dir(df.sparkSession)
-    df = df.checkpoint().withColumn("_band", _band(F.col(value).cast("double")))
+    df = _checkpointed(df).withColumn("_band", _band(F.col(value).cast("double")))
 
     step = F.count_distinct(value) if dense else F.count(F.lit(1))
     sizes = df.groupBy(*within, "_band").agg(step.alias("_size"))
@@ -60,7 +65,12 @@ def rank_desc(
 
 
 def count_top(df: DataFrame, value: str, n: int) -> DataFrame:
-    """How many rows a top ``n`` by ``value`` holds when ties at the edge stay in."""
+    """How many rows a top ``n`` by ``value`` holds when ties at the edge stay in.
+
+    Checkpointed like a rank: the edge and the rows compared with it must come
+    from the same evaluation of ``value``.
+    """
+    df = _checkpointed(df)
     edge = df.orderBy(F.desc_nulls_last(value)).limit(n).agg(F.min(value).alias("_edge"))
     kept = df.filter(F.col(value) >= edge.scalar())
     return kept.agg(F.count(F.lit(1)).alias("TopQueries"))

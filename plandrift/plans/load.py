@@ -23,7 +23,7 @@ from plandrift.operators.retention import RetentionPolicy, cleanup, expired_inte
 from plandrift.operators.runlog import failed_rows, log_rows, merge_result
 from plandrift.operators.upsert import collapse_wait_buckets, staging_duplicates, upsert
 from plandrift.schemas import KEYS, QUERY_KEY, Table
-from plandrift.sources.warehouse import Warehouse
+from plandrift.sources.warehouse import Warehouse, shared_dir
 
 # Dimensions first, so that no fact is ever visible without its dimensions.
 LOAD_ORDER = (S.INTERVAL, S.QUERY, S.QUERY_TEXT, S.PLAN, S.RUNTIME, S.WAIT)
@@ -123,9 +123,11 @@ def merge_table(warehouse: Warehouse, table: Table, staged: DataFrame, as_of: As
     counts = total.join(new, source, "left").withColumn(
         "RecordsInserted", F.coalesce("RecordsInserted", F.lit(0))
     )
+    # Checkpointed (one row per source): later steps rewrite the files just read.
+    shared_dir(warehouse.spark)
     return counts.select(
         *source, "RecordsInserted", (F.col("_staged") - F.col("RecordsInserted")).alias("RecordsUpdated")
-    )
+    ).checkpoint()
 
 
 def detect_and_flag(

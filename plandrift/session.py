@@ -18,5 +18,5 @@ def local_session(app: str, cpus: int = 8, memory: str = "8g") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark

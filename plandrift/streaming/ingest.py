@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plandrift.functions.columns import AsOf
 from plandrift.operators.upsert import keep_latest
-from plandrift.plans.load import merge_table
+from plandrift.plans.load import Staging, merge_table
 from plandrift.schemas import Table
 from plandrift.sources.warehouse import Warehouse
 
@@ -41,7 +41,10 @@ def refresh(
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_table(warehouse, table, keep_latest(batch, table, order_by), as_of())
+        # Staged under a new name each time, so that a repeated batch starts clean.
+        staging = Staging(spark, warehouse)
+        staging.write(table, keep_latest(batch, table, order_by))
+        merge_table(warehouse, table, staging.read(table), as_of())
 
     return (
         rows.writeStream.foreachBatch(merge)
