@@ -1,0 +1,5 @@
+"""All checks by name."""
+
+from checks import jobs, measures, reports, views
+
+CHECKS = {**views.CHECKS, **measures.CHECKS, **jobs.CHECKS, **reports.CHECKS}

@@ -15,7 +15,7 @@ are formed, so what the join emits stays close to what the result contains.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plandrift.functions.columns import AsOf, as_of_column
 from plandrift.schemas import KEYS, QUERY_KEY, REGRESSION, RUNTIME
@@ -27,11 +27,10 @@ PLANS_PER_GROUP = 256
 
 # Walks both series in time order. At equal intervals the new plan's entries
 # come first (role 0), so only strictly older rows of the old plan are counted.
+# Both series arrive sorted, so sorting them together is a single merge.
 _FOLD = """
 aggregate(
-  sort_array(concat(
-    transform(old_series, e -> struct(e.i AS i, 1 AS role, e.d AS d)),
-    transform(new_series, e -> struct(e.i AS i, 0 AS role, e.d AS d)))),
+  sort_array(concat(old_series, new_series)),
   struct(0L AS seen, 0D AS seen_sum, 0L AS pairs, 0D AS old_sum, 0D AS new_sum),
   (a, e) -> IF(e.role = 1,
     struct(a.seen + 1L AS seen, a.seen_sum + e.d AS seen_sum,
@@ -43,15 +42,18 @@ aggregate(
 
 
 def plan_series(runtime: DataFrame) -> DataFrame:
-    """One row per plan: its durations by interval and the bounds used for pruning."""
+    """One row per plan with its durations by interval.
+
+    Nothing but the series is aggregated, so that both sides of the plan
+    pairing need exactly the same shuffle and Spark runs it once.
+    """
     entry = F.struct(F.col("RuntimeStatsIntervalId").alias("i"), F.col("AvgDurationMs").alias("d"))
-    return runtime.groupBy(*QUERY_KEY, "PlanId").agg(
-        F.collect_list(entry).alias("series"),
-        F.min("RuntimeStatsIntervalId").alias("first"),
-        F.max("RuntimeStatsIntervalId").alias("last"),
-        F.min("AvgDurationMs").alias("fastest"),
-        F.max("AvgDurationMs").alias("slowest"),
-    )
+    return runtime.groupBy(*QUERY_KEY, "PlanId").agg(F.collect_list(entry).alias("series"))
+
+
+def _in_role(role: int) -> Column:
+    """The sorted series with every entry marked as old (1) or new (0)."""
+    return F.expr(f"sort_array(transform(series, e -> struct(e.i AS i, {role} AS role, e.d AS d)))")
 
 
 def _group_counts(runtime: DataFrame, plans_per_group: int) -> DataFrame:
@@ -74,17 +76,18 @@ def plan_pair_averages(
         _group_counts(runtime, plans_per_group), QUERY_KEY, "left"
     )
     groups = F.coalesce(F.col("groups"), F.lit(1))
+    durations = F.col("series.d")
     old = series.select(
         *QUERY_KEY,
         F.pmod(F.xxhash64("PlanId"), groups).cast("int").alias("part"),
-        F.col("PlanId").alias("OldPlanId"), F.col("series").alias("old_series"),
-        F.col("first").alias("old_first"), F.col("fastest").alias("old_fastest"),
+        F.col("PlanId").alias("OldPlanId"), _in_role(1).alias("old_series"),
+        F.array_min("series.i").alias("old_first"), F.array_min(durations).alias("old_fastest"),
     )
     new = series.select(
         *QUERY_KEY,
         F.explode(F.sequence(F.lit(0), groups - 1)).alias("part"),
-        F.col("PlanId").alias("NewPlanId"), F.col("series").alias("new_series"),
-        F.col("last").alias("new_last"), F.col("slowest").alias("new_slowest"),
+        F.col("PlanId").alias("NewPlanId"), _in_role(0).alias("new_series"),
+        F.array_max("series.i").alias("new_last"), F.array_max(durations).alias("new_slowest"),
     )
     # The new mean cannot exceed the slowest new row nor the old mean undercut
     # the fastest old row; the factor leaves room for rounding in the means.
