@@ -11,8 +11,9 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, as_of_column
@@ -45,7 +46,11 @@ class SourceResult:
 
 
 class Staging:
-    """Extracted rows of one run, one folder per table, written before any merge."""
+    """Extracted rows of one run, written before any merge.
+
+    Every source has its own folder below a table's, since sources are written
+    at the same time. A table no source delivered has no folder.
+    """
 
     def __init__(self, spark: SparkSession, warehouse: Warehouse, run_id: str | None = None):
         self.spark = spark
@@ -54,19 +59,32 @@ class Staging:
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
 
-    def write(self, table: Table, rows: DataFrame) -> int:
-        """Append rows; an empty extract leaves no folder behind. Returns the row count."""
-        rows = rows.select(*table.staging_schema.fieldNames())
-        counted = Observation()
-        observed = rows.observe(counted, F.count(F.lit(1)).alias("n"))
-        observed.write.mode("append").parquet(self.path(table))
-        return counted.get["n"]
+    def _filesystem(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def write(self, table: Table, rows: DataFrame, source: str = "all") -> int:
+        """Write the rows of one source and return how many they were.
+
+        Counting the written files reads only their footers.
+        """
+        path = f"{self.path(table)}/{source}"
+        rows.select(*table.staging_schema.fieldNames()).write.mode("append").parquet(path)
+        return self.spark.read.schema(table.staging_schema).parquet(path).count()
+
+    def discard(self, source: str) -> None:
+        """Remove what a failed source had already written."""
+        for table in LOAD_ORDER:
+            fs, path = self._filesystem(f"{self.path(table)}/{source}")
+            fs.delete(path, True)
+
+    def has(self, table: Table) -> bool:
+        fs, path = self._filesystem(self.path(table))
+        return fs.exists(path) and len(fs.listStatus(path)) > 0
 
     def read(self, table: Table) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return self.spark.createDataFrame([], table.staging_schema)
-        return self.spark.read.schema(table.staging_schema).parquet(self.path(table))
+        reader = self.spark.read.schema(table.staging_schema).option("recursiveFileLookup", True)
+        return reader.parquet(self.path(table))
 
 
 def stage_sources(
@@ -77,19 +95,19 @@ def stage_sources(
 ) -> list[SourceResult]:
     """Extract every source and stage its rows; one failing source stops no other.
 
-    All extracts of a source are analysed before the first is written, so a
-    source that cannot be read contributes nothing.
+    A source that fails part of the way contributes nothing.
     """
     def run(source: Row) -> SourceResult:
-        started = time.monotonic()
+        started, folder = time.monotonic(), uuid.uuid4().hex
         names = (source.TenantName, source.ServerName, source.DatabaseName)
         try:
             extracts = extract(source)
             records = sum(
-                staging.write(table, extracts[table.name])
+                staging.write(table, extracts[table.name], folder)
                 for table in LOAD_ORDER if table.name in extracts
             )
         except Exception as problem:  # noqa: BLE001 - recorded, and the next source goes on
+            staging.discard(folder)
             reason = str(problem).splitlines()[0]
             return SourceResult(*names, "FAILED", time.monotonic() - started, error=reason)
         return SourceResult(*names, "SUCCESS", time.monotonic() - started, records)
@@ -139,11 +157,13 @@ def detect_and_flag(
     runtime = warehouse.read(S.RUNTIME).filter(scope).join(sources, KEYS, "left_semi")
     existing = warehouse.read(S.REGRESSION).filter(scope)
 
-    counted = Observation()
-    found = detect_plan_regressions(runtime, existing, as_of, threshold)
-    warehouse.append(S.REGRESSION, found.observe(counted, F.count(F.lit(1)).alias("n")))
-
+    warehouse.append(
+        S.REGRESSION, detect_plan_regressions(runtime, existing, as_of, threshold)
+    )
     recorded = warehouse.read(S.REGRESSION).filter(scope)
+    new = recorded.filter(F.col("DetectionDate") == as_of_column(as_of)).join(
+        sources, KEYS, "left_semi"
+    ).count()
     regressed = detected_today(recorded, as_of).select(
         *QUERY_KEY, F.col("NewPlanId").alias("PlanId")
     )
@@ -154,7 +174,7 @@ def detect_and_flag(
     if partitions:
         rows = warehouse.read(S.RUNTIME, partitions)
         warehouse.replace_partitions(S.RUNTIME, flag_regressions(rows, recorded, as_of))
-    return counted.get["n"]
+    return new
 
 
 def load(
@@ -165,39 +185,37 @@ def load(
     Returns inserted, updated and regression counts of the run.
     """
     spark, started = warehouse.spark, time.monotonic()
-    facts = staging.read(S.RUNTIME)
-    sources = facts.select(*KEYS).unionByName(
-        staging.read(S.QUERY).select(*KEYS)
-    ).unionByName(staging.read(S.WAIT).select(*KEYS)).distinct()
+    tables = [table for table in LOAD_ORDER if staging.has(table)]
+    of_source = [table for table in tables if table is not S.INTERVAL]
+    if not of_source:
+        return merge_result(spark, 0, 0, 0)
+    sources = reduce(
+        DataFrame.unionByName, [staging.read(table).select(*KEYS).distinct() for table in of_source]
+    ).distinct()
     try:
-        counts = [
-            merge_table(warehouse, table, staging.read(table), as_of)
-            for table in LOAD_ORDER
-        ]
-        regressions = detect_and_flag(warehouse, sources, as_of, threshold)
+        counts = {
+            table.name: merge_table(warehouse, table, staging.read(table), as_of)
+            for table in tables
+        }
+        regressions = 0
+        if staging.has(S.RUNTIME):
+            regressions = detect_and_flag(warehouse, sources, as_of, threshold)
     except Exception as problem:
         seconds = int(time.monotonic() - started)
         reason = str(problem).splitlines()[0]
         warehouse.append(S.RUN_LOG, failed_rows(sources, as_of, seconds, reason))
         raise
-    per_source = None
-    for table, part in zip(LOAD_ORDER, counts):
-        if table is S.INTERVAL:
-            continue
-        per_source = part if per_source is None else per_source.unionByName(part)
+    per_source = reduce(DataFrame.unionByName, [counts[table.name] for table in of_source])
     per_source = per_source.groupBy(*KEYS).agg(
         F.sum("RecordsInserted").alias("RecordsInserted"),
         F.sum("RecordsUpdated").alias("RecordsUpdated"),
     )
     seconds = int(time.monotonic() - started)
-    totals = Observation()
-    observed = per_source.observe(
-        totals, F.sum("RecordsInserted").alias("inserted"), F.sum("RecordsUpdated").alias("updated")
-    )
-    warehouse.append(S.RUN_LOG, log_rows(observed, as_of, seconds))
-    return merge_result(
-        spark, totals.get["inserted"] or 0, totals.get["updated"] or 0, regressions
-    )
+    warehouse.append(S.RUN_LOG, log_rows(per_source, as_of, seconds))
+    totals = per_source.agg(
+        F.sum("RecordsInserted").alias("inserted"), F.sum("RecordsUpdated").alias("updated")
+    ).first()
+    return merge_result(spark, totals.inserted or 0, totals.updated or 0, regressions)
 
 
 def log_failed_sources(
