@@ -341,8 +341,8 @@ CHECKS["w4_previous_period"] = Check(
 )
 CHECKS["w7_current"] = Check(
     lambda f: M.evaluate(
-        ["Total Executions"], ["TenantName", TI.DATE],
-        runtime=TI.dated(f.table(S.RUNTIME), f.table(S.INTERVAL))),
+        ["Total Executions"], ["TenantName", TI.DATE], runtime=f.table(S.RUNTIME),
+        dates=TI.date_lookup(f.table(S.INTERVAL))),
     """SELECT TenantName, IntervalDate, CAST(sum(CountExecutions) AS BIGINT) AS "Total Executions"
       FROM frd GROUP BY 1, 2""", ["frd"],
 )

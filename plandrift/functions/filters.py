@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import AsOf, ago, as_of_column, start_of_day
+from plandrift.functions.joins import broadcast_if_small
 from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
 
@@ -75,7 +76,7 @@ def slice_facts(
         dates = dates.filter(F.col("IntervalDate") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         dates = dates.filter(F.col("IntervalDate") <= F.lit(date_to).cast("date"))
-    fact = fact.join(dates, INTERVAL_KEY)
+    fact = fact.join(broadcast_if_small(dates), INTERVAL_KEY)
 
     if text_contains is not None:
         wanted = dim_query.filter(

@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# About 100 MB of narrow rows, well below what one executor can hold.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave it as it is.
+
+    For lookups that are usually tiny next to the facts they meet, but that
+    Spark's estimate (the size of the table they are computed from) would
+    shuffle. Counting stops at the limit; beyond it the join is shuffled and
+    adaptive execution splits hot keys.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import wait_category_group, wait_minutes
 from plandrift.functions.ranking import count_top, rank_desc
-from plandrift.schemas import QUERY_KEY
+from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
 RUNTIME, WAIT, BOTH = "runtime", "wait", "both"
 
@@ -220,27 +220,36 @@ def _states(measures: Sequence[Measure], fact: str) -> dict[str, str]:
 
 
 def group_states(
-    fact: DataFrame, measures: Sequence[Measure], kind: str, by: Sequence[str]
+    fact: DataFrame,
+    measures: Sequence[Measure],
+    kind: str,
+    by: Sequence[str],
+    dates: DataFrame | None = None,
 ) -> DataFrame:
-    """All states, per-query sums and distinct counts of the measures, per group."""
+    """All states, per-query sums and distinct counts of the measures, per group.
+
+    With ``dates``, grouping columns may come from there; the facts are then
+    reduced to one row per interval before the dates are joined.
+    """
     mine = [m for m in measures if m.fact in (kind, BOTH)]
-    states = _states(mine, kind)
+    states = _states(mine, kind) or {"_rows": "count(1)"}
     per_query = {k: v for m in mine for k, v in m.per_query.items()}
     distinct = {k: v for m in mine for k, v in m.distinct.items()}
-    first = [F.expr(sql).alias(name) for name, sql in states.items()]
+    needs_plans = any(PLANS_SEEN in sql for sql in per_query.values())
     merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
+    first = [F.expr(sql).alias(name) for name, sql in states.items()]
 
-    if not per_query and not distinct:
-        return fact.groupBy(*by).agg(*first)
+    by_query = bool(per_query or distinct)
+    grain = list(dict.fromkeys([*by, *(QUERY_KEY if by_query else ())]))
+    plan_grain = list(dict.fromkeys([*grain, *(["PlanId"] if needs_plans else ())]))
+    if dates is not None:
+        fact, first = per_interval(fact, states, plan_grain, dates), merge
 
-    grain = list(dict.fromkeys([*by, *QUERY_KEY]))
-    if any(PLANS_SEEN in sql for sql in per_query.values()):
-        per_plan = fact.groupBy(*dict.fromkeys([*grain, "PlanId"])).agg(
-            *(first or [F.count(F.lit(1)).alias("_rows")])
-        )
-        queries = per_plan.groupBy(*grain).agg(*merge, F.count_distinct("PlanId").alias(PLANS_SEEN))
-    else:
-        queries = fact.groupBy(*grain).agg(*(first or [F.count(F.lit(1)).alias("_rows")]))
+    if not by_query:
+        return fact.groupBy(*by).agg(*first)
+    queries = fact.groupBy(*plan_grain).agg(*first)
+    if needs_plans:
+        queries = queries.groupBy(*grain).agg(*merge, F.count_distinct("PlanId").alias(PLANS_SEEN))
     return queries.groupBy(*by).agg(
         *merge,
         *[F.expr(f"sum({sql})").alias(name) for name, sql in per_query.items()],
@@ -248,6 +257,21 @@ def group_states(
     )
 
 
+def per_interval(
+    fact: DataFrame, states: dict[str, str], grain: Sequence[str], dates: DataFrame
+) -> DataFrame:
+    """States per interval within ``grain``, with the columns of ``dates`` added.
+
+    Joining the dates to already reduced rows keeps the facts themselves out of
+    the join, however many intervals there are.
+    """
+    own = [c for c in grain if c in INTERVAL_KEY or c not in dates.columns]
+    reduced = fact.groupBy(*dict.fromkeys([*own, *INTERVAL_KEY])).agg(
+        *[F.expr(sql).alias(name) for name, sql in states.items()]
+    )
+    return reduced.join(dates, INTERVAL_KEY)
+
+
 def finish(states: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Apply the final expressions; output columns carry the measure names."""
     return states.select(*keep, *[F.expr(MEASURES[n].final).alias(n) for n in names])
@@ -258,22 +282,29 @@ def evaluate(
     by: Sequence[str] = (),
     runtime: DataFrame | None = None,
     waits: DataFrame | None = None,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Evaluate measures per group of ``by`` (the filter context of a report cell).
 
     ``runtime`` and ``waits`` are base tables or facts already sliced; only the
     facts the measures use need to be given. Each fact is aggregated before the
-    two are joined, so neither multiplies the rows of the other.
+    two are joined, so neither multiplies the rows of the other. ``dates`` maps
+    the interval key to further grouping columns.
     """
     measures = [MEASURES[n] for n in names]
-    keys = list(by) or ["_all"]
-    parts = []
-    for kind, fact in ((RUNTIME, runtime), (WAIT, waits)):
-        if any(m.fact in (kind, BOTH) for m in measures):
-            if not by:
-                fact = fact.withColumn("_all", F.lit(1))
-            parts.append(group_states(as_fact(fact, kind), measures, kind, keys))
-    joined = parts[0] if len(parts) == 1 else parts[0].join(parts[1], keys, "full_outer")
+    parts = [
+        group_states(as_fact(fact, kind), measures, kind, by, dates)
+        for kind, fact in ((RUNTIME, runtime), (WAIT, waits))
+        if any(m.fact in (kind, BOTH) for m in measures)
+    ]
+    if len(parts) == 1:
+        joined = parts[0]
+    elif by:
+        joined = parts[0].join(parts[1], list(by), "full_outer")
+    else:
+        # Two single rows: stacked and folded into one.
+        both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+        joined = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return finish(joined, names, list(by))
 
 
@@ -296,18 +327,17 @@ def as_fact(df: DataFrame, kind: str) -> DataFrame:
 
 def server_duration_variance(runtime: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean squared distance of the servers' average duration from the overall one."""
-    keys = list(by) or ["_all"]
-    if not by:
-        runtime = runtime.withColumn("_all", F.lit(1))
     seconds = F.col("AvgDurationMs") / F.lit(1000.0)
-    servers = runtime.groupBy(*keys, "ServerName").agg(
+    servers = runtime.groupBy(*by, "ServerName").agg(
         F.sum(seconds).alias("s"), F.count(seconds).alias("n")
     )
-    overall = servers.groupBy(*keys).agg((F.sum("s") / F.sum("n")).alias("overall"))
+    overall = servers.groupBy(*by).agg((F.sum("s") / F.sum("n")).alias("overall"))
+    compared = (
+        servers.join(overall, list(by)) if by
+        else servers.withColumn("overall", overall.scalar())
+    )
     distance = F.pow(F.col("overall") - F.col("s") / F.col("n"), F.lit(2.0))
-    return servers.join(overall, keys).groupBy(*keys).agg(
-        F.avg(distance).alias("Server Duration Variance")
-    ).select(*by, "Server Duration Variance")
+    return compared.groupBy(*by).agg(F.avg(distance).alias("Server Duration Variance"))
 
 
 def rank_queries(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plandrift.functions.columns import divide
 from plandrift.functions.measures import (
-    BOTH, MEASURES, PLANS_SEEN, RUNTIME, WAIT, _states, as_fact, evaluate, finish,
+    BOTH, MEASURES, PLANS_SEEN, RUNTIME, WAIT, _merge_sql, _states, as_fact, evaluate, finish,
+    per_interval,
 )
 from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
@@ -16,12 +17,9 @@ PERIODS = ("day", "week", "month", "quarter", "year")
 DATE = "IntervalDate"
 
 
-def dated(fact: DataFrame | None, intervals: DataFrame) -> DataFrame | None:
-    """A fact with the date of its interval."""
-    if fact is None or DATE in fact.columns:
-        return fact
-    dates = intervals.select(*INTERVAL_KEY, F.to_date("IntervalStartTime").alias(DATE))
-    return fact.join(dates, INTERVAL_KEY)
+def date_lookup(intervals: DataFrame) -> DataFrame:
+    """The date of every interval."""
+    return intervals.select(*INTERVAL_KEY, F.to_date("IntervalStartTime").alias(DATE))
 
 
 def _period_start(period: str, date: str = DATE):
@@ -48,14 +46,14 @@ def to_date(
     """
     measures = [MEASURES[n] for n in names]
     keys = list(by) or ["_all"]
+    dates = date_lookup(intervals).withColumn("_period", _period_start(period))
     parts = []
     for kind, fact in ((RUNTIME, runtime), (WAIT, waits)):
         if any(m.fact in (kind, BOTH) for m in measures):
-            fact = as_fact(dated(fact, intervals), kind)
+            fact = as_fact(fact, kind)
             if not by:
                 fact = fact.withColumn("_all", F.lit(1))
-            fact = fact.withColumn("_period", _period_start(period))
-            parts.append(_daily_changes(fact, measures, kind, [*keys, "_period"]))
+            parts.append(_daily_changes(fact, measures, kind, [*keys, "_period"], dates))
     grain = [*keys, "_period", DATE]
     daily = parts[0] if len(parts) == 1 else parts[0].join(parts[1], grain, "full_outer")
 
@@ -70,20 +68,23 @@ def to_date(
     return finish(daily.select(*grain, *totals), names, [*by, DATE])
 
 
-def _daily_changes(fact: DataFrame, measures, kind: str, keys: list[str]) -> DataFrame:
+def _daily_changes(fact: DataFrame, measures, kind: str, keys: list[str], dates: DataFrame) -> DataFrame:
     """Per group and date: daily states and daily changes of non-additive figures."""
     mine = [m for m in measures if m.fact in (kind, BOTH)]
-    states = _states(mine, kind)
+    states = _states(mine, kind) or {"_rows": "count(1)"}
     per_query = {k: v for m in mine for k, v in m.per_query.items()}
     distinct = {k: v for m in mine for k, v in m.distinct.items()}
-    first = [F.expr(sql).alias(name) for name, sql in states.items()]
+    merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
     if not per_query and not distinct:
-        return fact.groupBy(*keys, DATE).agg(*first)
+        return per_interval(fact, states, [*keys, DATE], dates).groupBy(*keys, DATE).agg(*merge)
 
     query = list(dict.fromkeys([*keys, *QUERY_KEY]))
-    daily = fact.groupBy(*query, DATE).agg(*(first or [F.count(F.lit(1)).alias("_rows")]))
-    if any(PLANS_SEEN in sql for sql in per_query.values()):
-        first_seen = fact.groupBy(*query, "PlanId").agg(F.min(DATE).alias(DATE))
+    needs_plans = any(PLANS_SEEN in sql for sql in per_query.values())
+    grain = [*query, DATE, *(["PlanId"] if needs_plans else ())]
+    by_interval = per_interval(fact, states, grain, dates)
+    daily = by_interval.groupBy(*query, DATE).agg(*merge)
+    if needs_plans:
+        first_seen = by_interval.groupBy(*query, "PlanId").agg(F.min(DATE).alias(DATE))
         new_plans = first_seen.groupBy(*query, DATE).agg(F.count(F.lit(1)).alias(PLANS_SEEN))
         daily = daily.join(new_plans, [*query, DATE], "left")
 
@@ -106,8 +107,7 @@ def _daily_changes(fact: DataFrame, measures, kind: str, keys: list[str]) -> Dat
             (F.max if c.startswith("max_") else F.sum)(f"_day_{c}").alias(c) for c in states
         ],
         *[F.sum(f"_change_{name}").alias(name) for name in per_query],
-        F.count(F.lit(1)).alias("_queries"),
-    ).drop("_queries")
+    )
     for name, sql in distinct.items():
         appears = (
             daily.withColumn("_value", F.expr(sql)).filter(F.col("_value").isNotNull())
@@ -128,9 +128,7 @@ def previous_date(
     waits: DataFrame | None = None,
 ) -> DataFrame:
     """Daily measures next to their values the given months or days earlier."""
-    daily = evaluate(
-        names, [*by, DATE], dated(runtime, intervals), dated(waits, intervals)
-    )
+    daily = evaluate(names, [*by, DATE], runtime, waits, date_lookup(intervals))
     earlier = daily.select(
         *by, F.col(DATE).alias("_earlier"), *[F.col(n).alias(f"Previous {n}") for n in names]
     )
@@ -171,11 +169,8 @@ def period_change(
     """
     wanted = [*names, *also]
 
-    def at_period(fact):
-        fact = dated(fact, intervals)
-        return None if fact is None else fact.withColumn("Period", _period_start(period))
-
-    values = evaluate(wanted, [*by, "Period"], at_period(runtime), at_period(waits))
+    dates = date_lookup(intervals).withColumn("Period", _period_start(period))
+    values = evaluate(wanted, [*by, "Period"], runtime, waits, dates)
     keys = list(by) or ["_all"]
     if not by:
         values = values.withColumn("_all", F.lit(1))

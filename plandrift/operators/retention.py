@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import AsOf, ago, start_of_day
 from plandrift.functions.filters import optional_scope
+from plandrift.functions.joins import broadcast_if_small
 from plandrift.schemas import INTERVAL_KEY, PLAN_KEY
 from plandrift.sources.warehouse import Telemetry
 
@@ -107,7 +108,7 @@ def cleanup(
 
     def survivors(fact: DataFrame, days: int) -> DataFrame:
         gone = expired_intervals(t.intervals, as_of, days, tenant, server)
-        return fact.join(gone, INTERVAL_KEY, "left_anti").select(*fact.columns)
+        return fact.join(broadcast_if_small(gone), INTERVAL_KEY, "left_anti").select(*fact.columns)
 
     # An interval must outlive every fact that still points at it.
     interval_days = max(p.stats_days, p.wait_days)

@@ -19,10 +19,10 @@ from plandrift.functions.columns import (
 from plandrift.functions.filters import since_days, since_exact, slice_source
 from plandrift.functions.measures import evaluate
 from plandrift.functions.ranking import top
-from plandrift.functions.time_intelligence import DATE, dated
+from plandrift.functions.time_intelligence import DATE, date_lookup
 from plandrift.operators.quality import null_counts, orphan_counts, row_counts
 from plandrift.plans.views import dim_query, fact_top_queries, with_query_text
-from plandrift.schemas import KEYS, PLAN_KEY, QUERY_KEY
+from plandrift.schemas import INTERVAL_KEY, KEYS, PLAN_KEY, QUERY_KEY
 from plandrift.sources.warehouse import Telemetry
 
 MS_PER_HOUR = 1000.0 * 60.0 * 60.0
@@ -238,9 +238,20 @@ def wait_share_by_group(t: Telemetry) -> DataFrame:
     return groups.withColumn("SharePercent", F.col("TotalWaitMinutes") / overall * 100)
 
 
+def _daily_waits(t: Telemetry) -> DataFrame:
+    """Wait minutes per date and category; reduced per interval before the date is known."""
+    per_interval = t.waits.groupBy(*INTERVAL_KEY, "WaitCategory").agg(
+        F.sum(wait_minutes()).alias("minutes")
+    )
+    return per_interval.join(date_lookup(t.intervals), INTERVAL_KEY).withColumn(
+        "WaitCategoryGroup", wait_category_group(F.col("WaitCategory"))
+    )
+
+
 def wait_trend(t: Telemetry) -> DataFrame:
-    waits = dated(_grouped_waits(t.waits), t.intervals)
-    return waits.groupBy(DATE, "WaitCategoryGroup").agg(F.sum("minutes").alias("TotalWaitMinutes"))
+    return _daily_waits(t).groupBy(DATE, "WaitCategoryGroup").agg(
+        F.sum("minutes").alias("TotalWaitMinutes")
+    )
 
 
 # The wait groups in report order.
@@ -252,8 +263,7 @@ WAIT_GROUPS = [
 
 def wait_trend_pivot(t: Telemetry) -> DataFrame:
     """One column per wait group; the fixed list saves a pass to discover them."""
-    waits = dated(_grouped_waits(t.waits), t.intervals)
-    return waits.groupBy(DATE).pivot("WaitCategoryGroup", WAIT_GROUPS).agg(F.sum("minutes"))
+    return _daily_waits(t).groupBy(DATE).pivot("WaitCategoryGroup", WAIT_GROUPS).agg(F.sum("minutes"))
 
 
 def top_wait_queries(t: Telemetry, n: int = 10) -> DataFrame:
@@ -481,22 +491,16 @@ def freshness_report(t: Telemetry, as_of: AsOf) -> DataFrame:
 
 # --- trends and roll-ups ------------------------------------------------------
 
-def _days_back(fact: DataFrame, t: Telemetry, as_of: AsOf, days: int) -> DataFrame:
-    """Facts whose interval started within the last ``days`` days."""
-    recent = since_days(t.intervals, "IntervalStartTime", as_of, days)
-    return dated(fact, recent)
-
-
 def duration_trend(
     t: Telemetry, as_of: AsOf, days: int = 7, by: Sequence[str] = ("TenantName", "ServerName")
 ) -> DataFrame:
-    rows = _days_back(t.runtime, t, as_of, days)
-    return evaluate(["Avg Duration (seconds)"], [*by, DATE], runtime=rows)
+    """Daily average duration over the intervals started in the last ``days`` days."""
+    recent = date_lookup(since_days(t.intervals, "IntervalStartTime", as_of, days))
+    return evaluate(["Avg Duration (seconds)"], [*by, DATE], runtime=t.runtime, dates=recent)
 
 
 def executions_per_day(t: Telemetry) -> DataFrame:
-    rows = dated(t.runtime, t.intervals)
-    return evaluate(["Total Executions"], [DATE], runtime=rows)
+    return evaluate(["Total Executions"], [DATE], runtime=t.runtime, dates=date_lookup(t.intervals))
 
 
 def daily_rollup(t: Telemetry) -> DataFrame:
@@ -505,14 +509,20 @@ def daily_rollup(t: Telemetry) -> DataFrame:
     Sums and counts are kept instead of averages, so coarser reports can be
     computed from it exactly.
     """
-    rows = dated(t.runtime, t.intervals)
-    return rows.groupBy(*HOST, DATE).agg(
-        F.count(F.lit(1)).alias("Rows"),
-        F.sum("CountExecutions").alias("TotalExecutions"),
-        F.sum("AvgDurationMs").alias("SumAvgDurationMs"),
-        F.sum("AvgCpuTimeMs").alias("SumAvgCpuTimeMs"),
-        F.sum(F.col("CountExecutions") * F.col("AvgCpuTimeMs")).alias("TotalCpuMs"),
-        F.sum(F.col("CountExecutions") * F.col("AvgDurationMs")).alias("TotalDurationMs"),
+    totals = {
+        "Rows": F.count(F.lit(1)),
+        "TotalExecutions": F.sum("CountExecutions"),
+        "SumAvgDurationMs": F.sum("AvgDurationMs"),
+        "SumAvgCpuTimeMs": F.sum("AvgCpuTimeMs"),
+        "TotalCpuMs": F.sum(F.col("CountExecutions") * F.col("AvgCpuTimeMs")),
+        "TotalDurationMs": F.sum(F.col("CountExecutions") * F.col("AvgDurationMs")),
+    }
+    per_interval = t.runtime.groupBy(*INTERVAL_KEY).agg(
+        *[total.alias(name) for name, total in totals.items()],
+        F.max("MaxDurationMs").alias("MaxDurationMs"),
+    )
+    return per_interval.join(date_lookup(t.intervals), INTERVAL_KEY).groupBy(*HOST, DATE).agg(
+        *[F.sum(name).alias(name) for name in totals],
         F.max("MaxDurationMs").alias("MaxDurationMs"),
     )
 
