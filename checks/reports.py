@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.base import K, NOW, QK, Check, each
 from checks.views import TOP_QUERIES
 from plandrift import schemas as S
+from plandrift.functions.filters import slice_source
 from plandrift.plans import reports as R
 from plandrift.schemas import KEYS
 from plandrift.sources.fixture import AS_OF
@@ -349,7 +350,9 @@ CHECKS["p3_kpi_rollup"] = Check(
     ["rt"], {"AvgDurationMs": 4},
 )
 CHECKS["s_source_overview"] = Check(
-    lambda f: R.source_overview(f.telemetry, "EUROPE", "NATION_8", "DB_O"),
+    lambda f: slice_source(f.table(S.RUNTIME), "EUROPE", "NATION_8", "DB_O").groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("RecordCount"), F.min("LoadDate").alias("FirstLoad"),
+        F.max("LoadDate").alias("LastLoad")),
     f"""SELECT {K}, count(*) AS RecordCount, min(LoadDate) AS FirstLoad, max(LoadDate) AS LastLoad
       FROM rt WHERE TenantName = 'EUROPE' AND ServerName = 'NATION_8' AND DatabaseName = 'DB_O'
       GROUP BY {K}""", ["rt"],

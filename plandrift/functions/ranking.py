@@ -20,48 +20,43 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _band(value: Column) -> Column:
-    """Order-preserving band of a number, about 0.1 % wide.
-
-    Bands depend on the value alone, and no more than about 1.4 million of them
-    exist over the whole range of doubles, whatever the number of rows.
-    """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * 1000).cast("long")
-
-
 def rank_desc(
     df: DataFrame, value: str, name: str, dense: bool = False, within: Sequence[str] = ()
 ) -> DataFrame:
     """Add the rank of ``value``, highest first; nulls rank last, ties share a rank.
 
-    A window over all rows would sort everything in one task. Rows are split
-    into value bands instead: each band ranks its own rows, and the number of
-    rows (or of distinct values, when ``dense``) in the higher bands is added.
-    The input is checkpointed first, so that the bands and the ranks are taken
-    from the same numbers even if a task is repeated.
+    A window over all rows would sort everything in one task, and a tie shared
+    by many rows would do the same to any split of the rows. So the distinct
+    values are ranked: they are range-partitioned into even parts, each part
+    accumulates its own row counts, and the totals of the parts before it are
+    added. Both the rows and the parts are checkpointed, so that a repeated
+    task cannot see other numbers than the ones already used.
     """
-    df = _checkpointed(df).withColumn("_band", _band(F.col(value).cast("double")))
-
-    step = F.count_distinct(value) if dense else F.count(F.lit(1))
-    sizes = df.groupBy(*within, "_band").agg(step.alias("_size"))
-    higher = (
-        Window.partitionBy(*within)
-        .orderBy(F.desc_nulls_last("_band"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    df = _checkpointed(df)
+    keys = [*within, value]
+    values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    step = F.lit(1) if dense else F.col("_rows")
+    placed = _checkpointed(
+        values.repartitionByRange(*within, F.desc_nulls_last(value)).select(
+            *keys, step.alias("_step"), F.spark_partition_id().alias("_part")
+        )
     )
-    offsets = sizes.select(
-        *[F.col(c).alias(f"_{c}") for c in within], F.col("_band").alias("_of_band"),
-        F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_offset"),
+    before = (Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*within, "_part").agg(F.sum("_step").alias("_total"))
+    earlier_parts = Window.partitionBy(*within).orderBy("_part").rowsBetween(*before)
+    offsets = parts.select(
+        *within, "_part", F.coalesce(F.sum("_total").over(earlier_parts), F.lit(0)).alias("_offset")
     )
-    same_band = F.col("_band").eqNullSafe(F.col("_of_band"))
-    for c in within:
-        same_band = same_band & F.col(c).eqNullSafe(F.col(f"_{c}"))
-
-    in_band = Window.partitionBy(*within, "_band").orderBy(F.desc_nulls_last(value))
-    local = F.dense_rank() if dense else F.rank()
-    ranked = df.withColumn("_local", local.over(in_band)).join(offsets, same_band)
-    columns = [c for c in df.columns if c != "_band"]
-    return ranked.select(*columns, (F.col("_offset") + F.col("_local")).cast("long").alias(name))
+    in_part = (
+        Window.partitionBy(*within, "_part").orderBy(F.desc_nulls_last(value)).rowsBetween(*before)
+    )
+    local = placed.withColumn("_local", F.coalesce(F.sum("_step").over(in_part), F.lit(0)))
+    ranked = local.join(offsets, [*within, "_part"]).select(
+        *[F.col(c).alias(f"_{c}") for c in keys],
+        (F.col("_offset") + F.col("_local") + 1).alias(name),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return df.join(ranked, same).select(*df.columns, name)
 
 
 def count_top(df: DataFrame, value: str, n: int) -> DataFrame:

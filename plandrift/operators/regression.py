@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plandrift.functions.columns import AsOf, as_of_column
-from plandrift.schemas import KEYS, QUERY_KEY, REGRESSION, RUNTIME
+from plandrift.schemas import QUERY_KEY, REGRESSION, RUNTIME
 
 DEFAULT_THRESHOLD = 0.25
 
@@ -162,11 +162,3 @@ def mark_investigated(regressions: DataFrame, regression_id: int, note: str) ->
         "IsInvestigated": F.when(hit, True).otherwise(F.col("IsInvestigated")),
         "Notes": F.when(hit, note).otherwise(F.col("Notes")),
     })
-
-
-def regression_summary(regressions: DataFrame) -> DataFrame:
-    """Regressions and affected queries per source database."""
-    return regressions.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("RegressionCount"),
-        F.countDistinct("QueryId").alias("AffectedQueries"),
-    )

@@ -19,6 +19,7 @@ from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, as_of_column
 from plandrift.operators.regression import (
     DEFAULT_THRESHOLD, detect_plan_regressions, detected_today, flag_regressions,
+    mark_investigated,
 )
 from plandrift.operators.retention import RetentionPolicy, cleanup, expired_intervals
 from plandrift.operators.runlog import failed_rows, log_rows, merge_result
@@ -231,6 +232,15 @@ def log_failed_sources(
             warehouse.append(S.RUN_LOG, failed_rows(source, as_of, int(r.seconds), r.error))
 
 
+def record_investigation(warehouse: Warehouse, regression_id: int, note: str) -> None:
+    """Mark a stored regression as investigated; rewrites only its tenant."""
+    stored = warehouse.read(S.REGRESSION)
+    partitions = warehouse.touched(stored.filter(F.col("RegressionId") == regression_id), S.REGRESSION)
+    if partitions:
+        rows = warehouse.read(S.REGRESSION, partitions)
+        warehouse.replace_partitions(S.REGRESSION, mark_investigated(rows, regression_id, note))
+
+
 def apply_retention(
     warehouse: Warehouse,
     as_of: AsOf,

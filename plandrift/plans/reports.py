@@ -16,7 +16,7 @@ from plandrift.functions.columns import (
     AsOf, ago, as_of_column, boundary_diff, preview, start_of_day, wait_category_group,
     wait_minutes,
 )
-from plandrift.functions.filters import since_days, since_exact, slice_source
+from plandrift.functions.filters import since_days, since_exact
 from plandrift.functions.measures import evaluate
 from plandrift.functions.ranking import top
 from plandrift.functions.time_intelligence import DATE, date_lookup
@@ -584,11 +584,3 @@ def bookmark_high_memory(t: Telemetry) -> DataFrame:
 
 def bookmark_recent_regressions(t: Telemetry, as_of: AsOf) -> DataFrame:
     return recent_regressions(t, as_of)
-
-
-def source_overview(t: Telemetry, tenant: str, server: str, database: str) -> DataFrame:
-    """Row count and load range of one source database."""
-    return slice_source(t.runtime, tenant, server, database).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("RecordCount"),
-        F.min("LoadDate").alias("FirstLoad"), F.max("LoadDate").alias("LastLoad"),
-    )

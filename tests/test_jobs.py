@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plandrift import schemas as S
+from plandrift.functions.filters import slice_source
 from plandrift.operators import quality, retention, runlog
 from plandrift.plans import load as L, reports, views
 from plandrift.sources import config, extract
@@ -171,6 +172,15 @@ def test_load_merges_detects_flags_and_logs(spark, make, tmp_path):
     assert sorted(before) == sorted(warehouse.read(S.RUNTIME).collect())
 
 
+def test_investigation_is_recorded_in_place(spark, telemetry, tmp_path):
+    warehouse = store(spark, telemetry, tmp_path)
+    L.record_investigation(warehouse, 100, "missing index")
+    rows = warehouse.read(S.REGRESSION).collect()
+    assert {(r.TenantName, r.RegressionId, r.IsInvestigated, r.Notes) for r in rows} == {
+        ("A", 1, False, None), ("B", 1, False, None),
+        ("A", 100, True, "missing index"), ("B", 100, True, "missing index")}
+
+
 def test_failed_load_is_logged(spark, make, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     staging = L.Staging(spark, warehouse)
@@ -279,7 +289,7 @@ def test_views_are_available_to_sql(spark, telemetry):
 
 def test_partition_filter_reaches_the_scan(spark, telemetry, tmp_path):
     warehouse = store(spark, telemetry, tmp_path)
-    scoped = reports.source_overview(warehouse.telemetry(), "A", "s", "d")
+    scoped = slice_source(warehouse.read(S.RUNTIME), "A", "s", "d").agg(F.max("LoadDate"))
     plan = scoped._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(TenantName" in plan
     assert "AvgDurationMs" not in plan.split("ReadSchema")[1].split("\n")[0]
