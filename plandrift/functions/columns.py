@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from plandrift.schemas import BUCKET_COLUMN, INTERVALS_PER_BUCKET, KEYS
 
@@ -20,6 +20,11 @@ def as_of_column(as_of: AsOf) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def pinned(spark: SparkSession, as_of: AsOf) -> str:
+    """``as_of`` as one fixed moment, for jobs whose steps must agree on "now"."""
+    return spark.range(1).select(as_of_column(as_of).cast("string")).first()[0]
+
+
 def start_of_day(as_of: AsOf) -> Column:
     return F.to_date(as_of_column(as_of)).cast("timestamp")
 

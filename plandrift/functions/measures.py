@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import wait_category_group, wait_minutes
+from plandrift.functions.joins import broadcast_if_small
 from plandrift.functions.ranking import count_top, rank_desc
 from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
@@ -228,8 +229,8 @@ def group_states(
 ) -> DataFrame:
     """All states, per-query sums and distinct counts of the measures, per group.
 
-    With ``dates``, grouping columns may come from there; the facts are then
-    reduced to one row per interval before the dates are joined.
+    With ``dates``, grouping columns may come from there. Figures that do not
+    depend on single queries are reduced per interval before the dates are joined.
     """
     mine = [m for m in measures if m.fact in (kind, BOTH)]
     states = _states(mine, kind) or {"_rows": "count(1)"}
@@ -242,7 +243,10 @@ def group_states(
     by_query = bool(per_query or distinct)
     grain = list(dict.fromkeys([*by, *(QUERY_KEY if by_query else ())]))
     plan_grain = list(dict.fromkeys([*grain, *(["PlanId"] if needs_plans else ())]))
-    if dates is not None:
+    if dates is not None and by_query:
+        # Per query and interval there is next to nothing to reduce beforehand.
+        fact = fact.join(broadcast_if_small(dates), INTERVAL_KEY)
+    elif dates is not None:
         fact, first = per_interval(fact, states, plan_grain, dates), merge
 
     if not by_query:

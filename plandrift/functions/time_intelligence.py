@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plandrift.functions.columns import divide
+from plandrift.functions.joins import broadcast_if_small
 from plandrift.functions.measures import (
     BOTH, MEASURES, PLANS_SEEN, RUNTIME, WAIT, _merge_sql, _states, as_fact, evaluate, finish,
     per_interval,
@@ -74,17 +75,16 @@ def _daily_changes(fact: DataFrame, measures, kind: str, keys: list[str], dates:
     states = _states(mine, kind) or {"_rows": "count(1)"}
     per_query = {k: v for m in mine for k, v in m.per_query.items()}
     distinct = {k: v for m in mine for k, v in m.distinct.items()}
-    merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
     if not per_query and not distinct:
+        merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
         return per_interval(fact, states, [*keys, DATE], dates).groupBy(*keys, DATE).agg(*merge)
 
     query = list(dict.fromkeys([*keys, *QUERY_KEY]))
     needs_plans = any(PLANS_SEEN in sql for sql in per_query.values())
-    grain = [*query, DATE, *(["PlanId"] if needs_plans else ())]
-    by_interval = per_interval(fact, states, grain, dates)
-    daily = by_interval.groupBy(*query, DATE).agg(*merge)
+    fact = fact.join(broadcast_if_small(dates), INTERVAL_KEY)
+    daily = fact.groupBy(*query, DATE).agg(*[F.expr(sql).alias(n) for n, sql in states.items()])
     if needs_plans:
-        first_seen = by_interval.groupBy(*query, "PlanId").agg(F.min(DATE).alias(DATE))
+        first_seen = fact.groupBy(*query, "PlanId").agg(F.min(DATE).alias(DATE))
         new_plans = first_seen.groupBy(*query, DATE).agg(F.count(F.lit(1)).alias(PLANS_SEEN))
         daily = daily.join(new_plans, [*query, DATE], "left")
 

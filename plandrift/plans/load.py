@@ -16,14 +16,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from plandrift import schemas as S
-from plandrift.functions.columns import AsOf, as_of_column
+from plandrift.functions.columns import AsOf, as_of_column, pinned
+from plandrift.functions.joins import broadcast_if_small
 from plandrift.operators.regression import (
     DEFAULT_THRESHOLD, detect_plan_regressions, detected_today, flag_regressions,
     mark_investigated,
 )
 from plandrift.operators.retention import RetentionPolicy, cleanup, expired_intervals
 from plandrift.operators.runlog import failed_rows, log_rows, merge_result
-from plandrift.operators.upsert import collapse_wait_buckets, staging_duplicates, upsert
+from plandrift.operators.upsert import (
+    collapse_wait_buckets, keep_latest, staging_duplicates, upsert,
+)
 from plandrift.schemas import KEYS, QUERY_KEY, Table
 from plandrift.sources.warehouse import Warehouse, shared_dir
 
@@ -120,12 +123,15 @@ def stage_sources(
 def merge_table(warehouse: Warehouse, table: Table, staged: DataFrame, as_of: AsOf) -> DataFrame:
     """Merge staged rows into the stored table; inserted and updated rows per source.
 
-    Only the partitions that receive staged rows are read and rewritten.
+    Only the partitions that receive staged rows are read and rewritten. Every
+    database of a server delivers the server's intervals; should they disagree,
+    the later start is kept (``quality.interval_conflicts`` lists such ids).
     """
+    as_of = pinned(warehouse.spark, as_of)
     if table is S.WAIT:
         staged = collapse_wait_buckets(staged)
     elif table is S.INTERVAL:
-        staged = staged.distinct()
+        staged = keep_latest(staged, table, ["IntervalStartTime"])
     clash = staging_duplicates(staged, table).limit(1).collect()
     if clash:
         raise DuplicateStagingRows(f"{table.name}: {clash[0].asDict()}")
@@ -153,8 +159,10 @@ def detect_and_flag(
     warehouse: Warehouse, sources: DataFrame, as_of: AsOf, threshold: float = DEFAULT_THRESHOLD
 ) -> int:
     """Record new regressions of the given sources and flag their runtime rows."""
-    tenants = [(r.TenantName,) for r in sources.select("TenantName").distinct().collect()]
-    scope = F.col("TenantName").isin([t for (t,) in tenants])
+    as_of = pinned(warehouse.spark, as_of)
+    sources = broadcast_if_small(sources)
+    tenants = [r.TenantName for r in sources.select("TenantName").distinct().collect()]
+    scope = F.col("TenantName").isin(tenants)
     runtime = warehouse.read(S.RUNTIME).filter(scope).join(sources, KEYS, "left_semi")
     existing = warehouse.read(S.REGRESSION).filter(scope)
 
@@ -186,6 +194,7 @@ def load(
     Returns inserted, updated and regression counts of the run.
     """
     spark, started = warehouse.spark, time.monotonic()
+    as_of = pinned(spark, as_of)
     tables = [table for table in LOAD_ORDER if staging.has(table)]
     of_source = [table for table in tables if table is not S.INTERVAL]
     if not of_source:
@@ -256,6 +265,7 @@ def apply_retention(
     table alone, so recent partitions are not even read. A partition left
     without rows is dropped. Intervals go last: they decide what is expired.
     """
+    as_of = pinned(warehouse.spark, as_of)
     t = warehouse.telemetry()
     policy_days = policy or RetentionPolicy(retention_days, retention_days, retention_days, 0)
     scoped = {"tenant": tenant, "server": server}

@@ -93,15 +93,18 @@ class Warehouse:
 
     @staticmethod
     def _partition_predicate(table: Table, partitions: Iterable[tuple]):
-        """Static predicate on the partition columns, grouped by tenant."""
-        by_tenant: dict[str, list] = {}
+        """Static predicate on the partition columns; tenants with equal buckets share a term."""
+        buckets_of: dict[str, list] = {}
         for tenant, *bucket in partitions:
-            by_tenant.setdefault(tenant, []).extend(bucket)
+            buckets_of.setdefault(tenant, []).extend(bucket)
+        tenants_of: dict[tuple, list] = {}
+        for tenant, buckets in buckets_of.items():
+            tenants_of.setdefault(tuple(sorted(buckets)), []).append(tenant)
         predicate = F.lit(False)
-        for tenant, buckets in sorted(by_tenant.items()):
-            match = F.col("TenantName") == tenant
+        for buckets, tenants in sorted(tenants_of.items()):
+            match = F.col("TenantName").isin(sorted(tenants))
             if table.by_interval:
-                match = match & F.col(S.BUCKET_COLUMN).isin(sorted(buckets))
+                match = match & F.col(S.BUCKET_COLUMN).isin(list(buckets))
             predicate = predicate | match
         return predicate
 

@@ -191,6 +191,25 @@ def test_failed_load_is_logged(spark, make, tmp_path):
     assert [r.ExtractStatus for r in warehouse.read(S.RUN_LOG).collect()] == ["FAILED"]
 
 
+def test_load_at_the_wall_clock_counts_its_inserts(spark, make, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    staging = L.Staging(spark, warehouse)
+    for table, rows in raw_source(spark, make, "A", {1: 10.0, 2: 20.0}).items():
+        staging.write(S.TABLES[table], rows)
+    assert tuple(L.load(warehouse, staging, None).first()) == (3, 0, 1)
+
+
+def test_databases_may_disagree_on_an_interval(spark, make, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = [
+        {"TenantName": "A", "ServerName": "s", "RuntimeStatsIntervalId": 1,
+         "IntervalStartTime": TODAY + dt.timedelta(hours=h)} for h in (0, 1, 1)]
+    staged = make(None, rows, S.INTERVAL.staging_schema)
+    assert L.merge_table(warehouse, S.INTERVAL, staged, AS_OF).first().RecordsInserted == 1
+    stored = warehouse.read(S.INTERVAL).collect()
+    assert [r.IntervalStartTime for r in stored] == [TODAY + dt.timedelta(hours=1)]
+
+
 def test_empty_load(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     assert tuple(L.load(warehouse, L.Staging(spark, warehouse), AS_OF).first()) == (0, 0, 0)
