@@ -25,6 +25,8 @@ WORD = rf"[^{common.SPACE_CLASS}]+"
 SYMBOLS = "#*$%&|<>"  # fixed values
 RULES = ("symbol_rate", "upper_rate", "mark_rate", "dup_line_rate", "repeat_rate", "word_length")
 WINDOW = 8
+#: A row of cutoffs is kept for each; with more it is an error, as they are broadcast.
+MOST_STRATA = 10_000
 
 
 def base_features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -112,7 +114,10 @@ def cutoffs(labelled: DataFrame, risk: float = 0.02, error: float = 0.05, steps:
     ladder = ladder.select("stratum", F.posexplode(F.arrays_zip(*[f"c_{r}" for r in RULES])).alias("setting", "c"))
     # Every labelled row meets the settings of its stratum in one array, not in a product.
     arrays = ladder.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("setting", "c"))).alias("ladder"))
-    tested = labelled.where(half == 1).join(arrays, "stratum")
+    arrays = common.stored(arrays, "ladders")
+    if arrays.count() > MOST_STRATA:
+        raise ValueError(f"more than {MOST_STRATA} strata")
+    tested = labelled.where(half == 1).join(F.broadcast(arrays), "stratum")
     over = lambda c: _any([F.col(r) > c["c"][f"c_{r}"] for r in RULES])
     rejected = tested.select("stratum", F.transform("ladder", lambda c: over(c).cast("int")).alias("r"))
     counts = rejected.groupBy("stratum").agg(F.count("*").cast("int").alias("n"), *[
@@ -147,7 +152,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
     the base rule. Repeated rows stay; an empty table gives no rows.
     """
     features, limits = fitted(docs, labels, risk, error)
-    return (features.join(limits, "stratum", "left")
+    return (features.join(F.broadcast(limits), "stratum", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     BASE_FAILED.alias("base_failed"), FAILED.alias("rule_failed"), (~BASE_FAILED & ~FAILED).alias("kept")))
 
@@ -171,12 +176,12 @@ def keep_by_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
     """The documents that the rules keep, with their columns.
 
     Texts are counted a second time instead of being shuffled to meet their verdicts.
-    The cutoffs' table, one row per language, is left to Spark's size check.
+    The cutoffs' table has one row per language, of which there are ``MOST_STRATA`` at most.
     """
     _, limits = fitted(docs, labels, risk, error)
     row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text",
                       F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))
-    checked = rates(base_features(row, keep=["row", "stratum"])).join(limits, "stratum", "left")
+    checked = rates(base_features(row, keep=["row", "stratum"])).join(F.broadcast(limits), "stratum", "left")
     # A filter would be pushed below, and the nested counts be written out in it many times.
     return checked.select(F.explode(F.when(~BASE_FAILED & ~FAILED, F.array("row"))).alias("row")).select("row.*")
 
