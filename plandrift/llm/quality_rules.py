@@ -154,12 +154,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
     features, limits = fitted(docs, labels, risk, error)
     return (features.join(F.broadcast(limits), "stratum", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    BASE_FAILED.alias("base_failed"), FAILED.alias("rule_failed"), (~BASE_FAILED & ~FAILED).alias("kept")))
+                    F.expr(BASE_FAILED).alias("base_failed"), F.expr(FAILED).alias("rule_failed"), F.expr(KEPT).alias("kept")))
 
 
 #: The rule that every text has to pass, and whether a cutoff is exceeded.
-BASE_FAILED = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
-FAILED = F.expr(" or ".join(f"coalesce({r} > c_{r}, false)" for r in RULES))
+BASE_FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
+FAILED = " or ".join(f"coalesce({r} > c_{r}, false)" for r in RULES)
+KEPT = f"not ({BASE_FAILED} or {FAILED})"
 
 
 def fitted(docs: DataFrame, labels: DataFrame, risk: float, error: float) -> tuple[DataFrame, DataFrame]:
@@ -168,7 +169,7 @@ def fitted(docs: DataFrame, labels: DataFrame, risk: float, error: float) -> tup
         "stratum", F.coalesce(F.col("lang"), F.lit(""))), "features")
     good = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
             .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
-    labelled = features.where(~BASE_FAILED).join(good, "doc_id", "left_semi")
+    labelled = features.where(f"not ({BASE_FAILED})").join(good, "doc_id", "left_semi")
     return features, common.stored(cutoffs(labelled, risk, error), "cutoffs")
 
 
@@ -183,7 +184,7 @@ def keep_by_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
                       F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))
     checked = rates(base_features(row, keep=["row", "stratum"])).join(F.broadcast(limits), "stratum", "left")
     # A filter would be pushed below, and the nested counts be written out in it many times.
-    return checked.select(F.explode(F.when(~BASE_FAILED & ~FAILED, F.array("row"))).alias("row")).select("row.*")
+    return checked.select(F.explode(F.when(F.expr(KEPT), F.array("row"))).alias("row")).select("row.*")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
