@@ -93,9 +93,25 @@ CHECKS["s4_extract_texts"] = Check(
         F.length("QueryHash").alias("HashBytes")),
     f"SELECT {K}, QueryTextId, QueryTextContent, StatementType, 8 AS HashBytes FROM texts", ["texts"],
 )
+
+
+def _hash_summary(texts):
+    """Every text has one hash of its own; said in figures that SQL can state without the hash."""
+    pairs = texts.select("QueryTextContent", "QueryHash").distinct()
+    more = lambda key: pairs.groupBy(key).count().where("count > 1").agg(
+        F.count(F.lit(1)).alias("n")).scalar()
+    return pairs.agg(
+        F.count_distinct("QueryTextContent").alias("texts"), F.count_distinct("QueryHash").alias("hashes"),
+        F.max(F.length("QueryHash")).alias("hash_bytes"),
+    ).withColumns({"texts_with_more_hashes": more("QueryTextContent"),
+                   "hashes_with_more_texts": more("QueryHash")})
+
+
 CHECKS["s4_text_hashes"] = Check(
-    lambda f: extract.extract_query_texts(_raw_texts(f)).groupBy(F.hex("QueryHash").alias("hash")).agg(
-        F.count_distinct("QueryTextContent").alias("texts"), F.count(F.lit(1)).alias("n")),
+    lambda f: _hash_summary(extract.extract_query_texts(_raw_texts(f))),
+    """SELECT count(DISTINCT QueryTextContent) AS texts, count(DISTINCT QueryTextContent) AS hashes,
+      0 AS texts_with_more_hashes, 0 AS hashes_with_more_texts, 8 AS hash_bytes FROM texts""",
+    ["texts"],
 )
 
 
@@ -465,10 +481,12 @@ CHECKS["m13_retention_policy"] = Check(
 )
 CHECKS["m14_mark_investigated"] = Check(
     lambda f: regression.mark_investigated(
-        f.table(S.REGRESSION), 81321, "Root cause identified").select(
+        f.table(S.REGRESSION), f.table(S.REGRESSION).agg(F.min("RegressionId")).first()[0],
+        "Root cause identified").select(
         "RegressionId", "IsInvestigated", "Notes"),
-    """SELECT RegressionId, IsInvestigated OR RegressionId = 81321 AS IsInvestigated,
-      CASE WHEN RegressionId = 81321 THEN 'Root cause identified' ELSE Notes END AS Notes FROM regs""",
+    """SELECT RegressionId, IsInvestigated OR RegressionId = low AS IsInvestigated,
+      CASE WHEN RegressionId = low THEN 'Root cause identified' ELSE Notes END AS Notes
+    FROM regs, (SELECT min(RegressionId) AS low FROM regs)""",
     ["regs"],
 )
 
@@ -505,7 +523,17 @@ CHECKS["m16_table_sizes"] = Check(
     ),
     ["queries", "texts", "plans", "waits", "intervals", "regs", "log"],
 )
-CHECKS["m16_storage_usage"] = Check(lambda f: quality.storage_usage(f.telemetry))
+CHECKS["m16_storage_usage"] = Check(
+    lambda f: quality.storage_usage(f.telemetry).select(
+        "TableName", "RowCount", (F.col("Files") > 0).alias("HasFiles"),
+        (F.col("TableSizeMB") > 0).alias("HasSize")),
+    " UNION ALL ".join(
+        f"SELECT '{table.name}' AS TableName, count(*) AS RowCount, true AS HasFiles, true AS HasSize FROM {view}"
+        for table, view in ((S.QUERY, "queries"), (S.QUERY_TEXT, "texts"), (S.PLAN, "plans"), (S.RUNTIME, "rt"),
+                            (S.WAIT, "waits"), (S.INTERVAL, "intervals"), (S.REGRESSION, "regs"),
+                            (S.RUN_LOG, "log"))),
+    ["queries", "texts", "plans", "rt", "waits", "intervals", "regs", "log"],
+)
 
 # --- staging and interval quality, incremental refresh -----------------------------
 

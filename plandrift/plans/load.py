@@ -137,22 +137,20 @@ def merge_table(warehouse: Warehouse, table: Table, staged: DataFrame, as_of: As
         raise DuplicateStagingRows(f"{table.name}: {clash[0].asDict()}")
     partitions = warehouse.touched(staged, table)
     source = [k for k in KEYS if k in table.columns]
-    if partitions:
-        target = warehouse.read(table, partitions)
-        warehouse.replace_partitions(table, upsert(target, staged, table, as_of))
-    merged = warehouse.read(table, partitions)
-    new = merged.filter(F.col("LoadDate") == as_of_column(as_of)).groupBy(*source).agg(
-        F.count(F.lit(1)).alias("RecordsInserted")
-    )
-    total = staged.groupBy(*source).agg(F.count(F.lit(1)).alias("_staged"))
-    counts = total.join(new, source, "left").withColumn(
-        "RecordsInserted", F.coalesce("RecordsInserted", F.lit(0))
-    )
-    # Checkpointed (one row per source): later steps rewrite the files just read.
+    target = warehouse.read(table, partitions)
+    # Counted by keys before the write; checkpointed (one row per source), as the write
+    # replaces the files just read.
     shared_dir(warehouse.spark)
-    return counts.select(
-        *source, "RecordsInserted", (F.col("_staged") - F.col("RecordsInserted")).alias("RecordsUpdated")
+    new = staged.join(target.select(*table.keys), table.keys, "left_anti").groupBy(*source).agg(
+        F.count(F.lit(1)).alias("_new")
+    )
+    inserted = F.coalesce("_new", F.lit(0))
+    counts = staged.groupBy(*source).agg(F.count(F.lit(1)).alias("_staged")).join(new, source, "left").select(
+        *source, inserted.alias("RecordsInserted"), (F.col("_staged") - inserted).alias("RecordsUpdated")
     ).checkpoint()
+    if partitions:
+        warehouse.replace_partitions(table, upsert(target, staged, table, as_of))
+    return counts
 
 
 def detect_and_flag(
@@ -198,7 +196,12 @@ def load(
     tables = [table for table in LOAD_ORDER if staging.has(table)]
     of_source = [table for table in tables if table is not S.INTERVAL]
     if not of_source:
-        return merge_result(spark, 0, 0, 0)
+        # Intervals alone have no source to log; they are merged all the same.
+        merged = [merge_table(warehouse, table, staging.read(table), as_of) for table in tables]
+        totals = reduce(DataFrame.unionByName, merged).agg(
+            F.sum("RecordsInserted").alias("inserted"), F.sum("RecordsUpdated").alias("updated")
+        ).first() if merged else None
+        return merge_result(spark, totals.inserted or 0, totals.updated or 0, 0) if totals else merge_result(spark, 0, 0, 0)
     sources = reduce(
         DataFrame.unionByName, [staging.read(table).select(*KEYS).distinct() for table in of_source]
     ).distinct()

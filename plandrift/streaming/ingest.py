@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plandrift.functions.columns import AsOf
 from plandrift.operators.upsert import keep_latest
 from plandrift.plans.load import Staging, merge_table
-from plandrift.schemas import Table
+from plandrift.schemas import WAIT, Table
 from plandrift.sources.warehouse import Warehouse
 
 
@@ -27,23 +27,19 @@ def refresh(
     checkpoint: str,
     as_of: Callable[[], AsOf],
     order_by: list[str],
-    max_files: int = 1000,
 ) -> StreamingQuery:
-    """Merge all files that landed since the last run, then stop.
+    """Merge all files that landed since the last run as one unit, then stop.
 
-    A key that arrives several times within a batch is reduced to its latest
-    version by ``order_by``.
+    A key that arrives several times is reduced to its latest version by
+    ``order_by``, whatever files it is spread over; the wait buckets of a key add
+    up instead. A later run's version of a key replaces that of an earlier one.
     """
-    rows = (
-        spark.readStream.schema(table.staging_schema)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(landing)
-    )
+    rows = spark.readStream.schema(table.staging_schema).parquet(landing)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # Staged under a new name each time, so that a repeated batch starts clean.
         staging = Staging(spark, warehouse)
-        staging.write(table, keep_latest(batch, table, order_by))
+        staging.write(table, batch if table is WAIT else keep_latest(batch, table, order_by))
         merge_table(warehouse, table, staging.read(table), as_of())
 
     return (

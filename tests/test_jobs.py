@@ -318,3 +318,28 @@ def test_csv_export(spark, telemetry, tmp_path):
     reports.export_csv(reports.top_query_export(telemetry), str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.count() == 2 and "AvgMemoryMB" in back.columns
+
+
+def test_wait_buckets_of_a_refresh_add_up_over_files(spark, tmp_path, make):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    landing = str(tmp_path / "landing")
+    columns = S.WAIT.staging_schema
+    row = make(S.WAIT, [{}], columns).first().asDict()
+    for total in (100, 250):
+        spark.createDataFrame([tuple((row | {"TotalWaitTimeMs": total})[c] for c in columns.fieldNames())], columns) \
+            .coalesce(1).write.mode("append").parquet(landing)
+    refresh(spark, warehouse, S.WAIT, landing, str(tmp_path / "checkpoint"), lambda: "2024-01-01 00:00:00",
+            ["TotalWaitTimeMs"]).awaitTermination()
+    assert [r.TotalWaitTimeMs for r in warehouse.read(S.WAIT).collect()] == [350]
+
+
+def test_counts_of_two_loads_with_one_moment(spark, tmp_path, make):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    rows = lambda ids: make(S.INTERVAL, [{"RuntimeStatsIntervalId": k} for k in ids], S.INTERVAL.staging_schema)
+    results = []
+    for ids in (range(1, 9), range(5, 11)):
+        staging = L.Staging(spark, warehouse)
+        staging.write(S.INTERVAL, rows(ids))
+        results.append(tuple(L.load(warehouse, staging, "2024-01-01 00:00:00").first())[:2])
+    assert results[0] == (8, 0) and results[1] == (2, 4)
+    assert warehouse.read(S.INTERVAL).count() == 10
