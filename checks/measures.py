@@ -134,17 +134,17 @@ CHECKS["k13_k14_k15_changes_by_quarter"] = Check(
 CHECKS["w5_changes_with_gaps"] = Check(
     lambda f: TI.period_change(
         {"Total Executions": "Execution Count Change (%)"}, "month", f.table(S.INTERVAL),
-        ["TenantName"], runtime=f.table(S.RUNTIME).filter(F.col("QueryId") == 7)),
-    """SELECT TenantName, Period, n AS "Total Executions",
+        QUERY_KEY, runtime=f.table(S.RUNTIME)),
+    f"""SELECT {QK}, Period, n AS "Total Executions",
       CASE WHEN before IS NOT NULL THEN (ifnull(n, 0) - before) / CAST(before AS DOUBLE) * 100
         END AS "Execution Count Change (%)"
-    FROM (SELECT *, lag(n) OVER (PARTITION BY TenantName ORDER BY Period) AS before FROM (
-        SELECT TenantName, Period, n FROM (
-          SELECT TenantName, CAST(unnest(generate_series(min(IntervalDate), max(IntervalDate),
-            INTERVAL 1 MONTH)) AS DATE) AS Period FROM frd WHERE QueryId = 7 GROUP BY 1)
-        LEFT JOIN (SELECT TenantName, IntervalDate AS Period,
-            CAST(sum(CountExecutions) AS BIGINT) AS n FROM frd WHERE QueryId = 7 GROUP BY 1, 2)
-          USING (TenantName, Period)))""",
+    FROM (SELECT *, lag(n) OVER (PARTITION BY {QK} ORDER BY Period) AS before FROM (
+        SELECT {QK}, Period, n FROM (
+          SELECT {QK}, CAST(unnest(generate_series(min(IntervalDate), max(IntervalDate),
+            INTERVAL 1 MONTH)) AS DATE) AS Period FROM frd GROUP BY {QK})
+        LEFT JOIN (SELECT {QK}, IntervalDate AS Period,
+            CAST(sum(CountExecutions) AS BIGINT) AS n FROM frd GROUP BY {QK}, IntervalDate)
+          USING ({QK}, Period)))""",
     ["frd"], {"Execution Count Change (%)": 4},
 )
 CHECKS["k16_wait_hours_by_category"] = Check(
@@ -243,7 +243,7 @@ CHECKS["k52_regression_risk"] = Check(
 )
 
 
-def _bundle_sql(names):
+def _bundle_sql(names, by="TenantName"):
     """Runtime and wait measures of a bundle, each fact aggregated on its own."""
     runtime = [n for n in names if n in SQL_OF and SQL_OF[n][0] == "fr"]
     waits = [n for n in names if n in SQL_OF and SQL_OF[n][0] == "fw"]
@@ -252,8 +252,8 @@ def _bundle_sql(names):
         for fact, chosen in (("fr", runtime), ("fw", waits))
     }
     return f"""SELECT *, CAST("Total Wait (ms)" AS DOUBLE) / "Total Executions" AS "Waits per Execution (ms)"
-      FROM (SELECT TenantName, {parts['fr']} FROM fr GROUP BY 1)
-      FULL JOIN (SELECT TenantName, {parts['fw']} FROM fw GROUP BY 1) USING (TenantName)"""
+      FROM (SELECT {by}, {parts['fr']} FROM fr GROUP BY {by})
+      FULL JOIN (SELECT {by}, {parts['fw']} FROM fw GROUP BY {by}) USING ({by})"""
 
 
 SQL_OF["Avg Wait (ms)"] = ("fw", "avg(AvgWaitTimeMs)")
@@ -267,6 +267,13 @@ CHECKS["k54_operations_bundle"] = Check(
     {"Avg Duration (ms)": 4, "Avg Logical Reads": 4, "Avg Logical Writes": 4,
      "Avg Wait (ms)": 4, "Waits per Execution (ms)": 6},
 )
+CHECKS["k54_operations_by_query"] = Check(
+    lambda f: M.operations_by_query(f.table(S.RUNTIME), f.table(S.WAIT)),
+    f"""SELECT *, dense_rank() OVER (ORDER BY "Avg Duration (ms)" DESC NULLS LAST)
+        AS "Top Query Rank by Duration" FROM ({_bundle_sql(M.OPERATIONS, QK)})""", ["fr", "fw"],
+    {"Avg Duration (ms)": 4, "Avg Logical Reads": 4, "Avg Logical Writes": 4,
+     "Avg Wait (ms)": 4, "Waits per Execution (ms)": 6},
+)
 CHECKS["k_all_runtime_measures"] = Check(
     lambda f: _evaluate(
         f, [m for m, fact, _, _ in SIMPLE.values() if fact == "fr"], ["TenantName"]),

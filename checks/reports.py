@@ -252,7 +252,7 @@ CHECKS["r24_tenant_server_duration"] = Check(
       FROM rt GROUP BY 1, 2""", ["rt"], {"AvgQueryDuration": 4},
 )
 CHECKS["r25_duration_trend"] = Check(
-    lambda f: R.duration_trend(f.telemetry, AS_OF, days=1000),
+    lambda f: R.duration_trend(f.since(AS_OF, 1000), AS_OF, days=1000),
     f"""SELECT TenantName, ServerName, IntervalDate, avg(AvgDurationSeconds) AS "Avg Duration (seconds)"
       FROM frd WHERE IntervalDate >= {TODAY} - INTERVAL 1000 DAY GROUP BY 1, 2, 3""",
     ["frd"], {"Avg Duration (seconds)": 6},

@@ -170,6 +170,12 @@ CHECKS["f5_report_slicers"] = Check(
           AND dq.QueryId = frd.QueryId AND lower(dq.QueryText) LIKE '%red%')
       GROUP BY {K}""", ["frd", "dq"],
 )
+CHECKS["f5_default_period"] = Check(
+    lambda f: _summary(FI.slice_facts(
+        f.since("1998-07-15 10:00:00", 30).runtime, views.dim_interval(f.table(S.INTERVAL)),
+        as_of="1998-07-15 10:00:00")),
+    f"SELECT {K}, {_SUMMARY} FROM frd WHERE IntervalDate >= DATE '1998-06-15' GROUP BY {K}", ["frd"],
+)
 
 # --- joins ----------------------------------------------------------------------
 

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import AsOf, ago, as_of_column, start_of_day
-from plandrift.functions.joins import broadcast_if_small
 from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
 
+# Fixed value: the report slicers' period unless dates are chosen.
+DEFAULT_DAYS = 30
+
+
 def slice_source(df: DataFrame, tenant: str, server: str, database: str) -> DataFrame:
     """Rows of one source database; the tenant predicate prunes partitions."""
     return df.filter(
@@ -55,8 +58,9 @@ def slice_facts(
     databases: Sequence[str] | None = None,
     query_id: int | None = None,
     text_contains: str | None = None,
+    as_of: AsOf = None,
 ) -> DataFrame:
-    """The report slicers. Adds ``IntervalDate``; keeps the fact's columns.
+    """The report slicers; without dates, those of the last 30 days. Adds ``IntervalDate``; keeps the fact's columns.
 
     Column filters are applied before the joins so that they reach the scan,
     and the same tenant and server filters narrow both dimensions.
@@ -72,11 +76,13 @@ def slice_facts(
     dates = dim_interval.select(*INTERVAL_KEY, "IntervalDate")
     if tenants is not None:
         dates = dates.filter(F.col("TenantName").isin(list(tenants)))
+    if date_from is None and date_to is None:
+        dates = since_days(dates, "IntervalDate", as_of, DEFAULT_DAYS)
     if date_from is not None:
         dates = dates.filter(F.col("IntervalDate") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         dates = dates.filter(F.col("IntervalDate") <= F.lit(date_to).cast("date"))
-    fact = fact.join(broadcast_if_small(dates), INTERVAL_KEY)
+    fact = fact.join(dates, INTERVAL_KEY)
 
     if text_contains is not None:
         wanted = dim_query.filter(

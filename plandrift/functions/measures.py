@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from plandrift.functions.columns import wait_category_group, wait_minutes
-from plandrift.functions.joins import broadcast_if_small
 from plandrift.functions.ranking import count_top, rank_desc
 from plandrift.schemas import INTERVAL_KEY, QUERY_KEY
 
@@ -245,7 +244,7 @@ def group_states(
     plan_grain = list(dict.fromkeys([*grain, *(["PlanId"] if needs_plans else ())]))
     if dates is not None and by_query:
         # Per query and interval there is next to nothing to reduce beforehand.
-        fact = fact.join(broadcast_if_small(dates), INTERVAL_KEY)
+        fact = fact.join(dates, INTERVAL_KEY)
     elif dates is not None:
         fact, first = per_interval(fact, states, plan_grain, dates), merge
 
@@ -352,6 +351,12 @@ def rank_queries(
     return rank_desc(per_query, measure, name, dense, within)
 
 
+def operations_by_query(runtime: DataFrame, waits: DataFrame) -> DataFrame:
+    """The operations bundle per query, with the query's rank by duration."""
+    bundle = evaluate(OPERATIONS, QUERY_KEY, runtime=runtime, waits=waits)
+    return rank_desc(bundle, "Avg Duration (ms)", "Top Query Rank by Duration", dense=True)
+
+
 def top_queries_count(runtime: DataFrame, n: int = 10) -> DataFrame:
     """Size of the top ``n`` queries by average duration; ties can make it larger."""
     return count_top(evaluate(["Avg Duration (seconds)"], QUERY_KEY, runtime=runtime),

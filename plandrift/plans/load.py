@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, as_of_column, pinned
-from plandrift.functions.joins import broadcast_if_small
 from plandrift.operators.regression import (
     DEFAULT_THRESHOLD, detect_plan_regressions, detected_today, flag_regressions,
     mark_investigated,
@@ -82,6 +81,11 @@ class Staging:
             fs, path = self._filesystem(f"{self.path(table)}/{source}")
             fs.delete(path, True)
 
+    def clear(self) -> None:
+        """Remove the staged rows once they are merged; a failed run keeps them."""
+        fs, path = self._filesystem(self.root)
+        fs.delete(path, True)
+
     def has(self, table: Table) -> bool:
         fs, path = self._filesystem(self.path(table))
         return fs.exists(path) and len(fs.listStatus(path)) > 0
@@ -158,7 +162,6 @@ def detect_and_flag(
 ) -> int:
     """Record new regressions of the given sources and flag their runtime rows."""
     as_of = pinned(warehouse.spark, as_of)
-    sources = broadcast_if_small(sources)
     tenants = [r.TenantName for r in sources.select("TenantName").distinct().collect()]
     scope = F.col("TenantName").isin(tenants)
     runtime = warehouse.read(S.RUNTIME).filter(scope).join(sources, KEYS, "left_semi")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plandrift.functions.columns import (
     AsOf, ago, as_of_column, boundary_diff, preview, start_of_day, wait_category_group,
@@ -27,6 +27,7 @@ from plandrift.sources.warehouse import Telemetry
 
 MS_PER_HOUR = 1000.0 * 60.0 * 60.0
 HOST = ["TenantName", "ServerName"]
+SAME_TEXT = [*HOST, "QueryId", "TextDigest"]
 
 
 def _money(column: str) -> Column:
@@ -52,6 +53,19 @@ def _text(df: DataFrame, t: Telemetry) -> DataFrame:
     return df.join(content, [*KEYS, "QueryTextId"], "left")
 
 
+def _digest(df: DataFrame, t: Telemetry) -> DataFrame:
+    """The text's digest instead of the text, for grouping."""
+    digests = t.texts.select(
+        *KEYS, "QueryTextId", F.unhex(F.sha2("QueryTextContent", 256)).alias("TextDigest")
+    )
+    return df.join(digests, [*KEYS, "QueryTextId"], "left")
+
+
+def _source() -> Column:
+    """One of the databases that hold a group's text, and the text's id there."""
+    return F.min(F.struct("DatabaseName", "QueryTextId")).alias("Source")
+
+
 # --- monitoring ---------------------------------------------------------------
 
 def latest_loads(t: Telemetry, n: int = 10) -> DataFrame:
@@ -93,12 +107,21 @@ def slowest_queries(t: Telemetry, as_of: AsOf, days: int = 7, n: int = 20) -> Da
 def _by_host_query_text(
     per_query: DataFrame, t: Telemetry, *aggregates: Column, extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Re-group per-query rows by server, query id and text, across databases."""
-    return _text(_known(per_query, t), t).groupBy(*HOST, "QueryId", "QueryText", *extra).agg(*aggregates)
+    """Re-group per-query rows by server, query id and text, across databases.
+
+    Texts are compared by digest; ``Source`` names one of the rows that hold the text.
+    """
+    return _digest(_known(per_query, t), t).groupBy(*SAME_TEXT, *extra).agg(*aggregates, _source())
 
 
-def _shown(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(*HOST, "QueryId", preview(F.col("QueryText"), 80).alias("QueryPreview"), *columns)
+def _shown(
+    grouped: DataFrame, t: Telemetry, n: int, order: Sequence[Column], *columns: str, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The first ``n`` groups in order; only they are joined to their text."""
+    best = top(grouped, n, order, [*SAME_TEXT, *extra]).select("*", "Source.*")
+    return _text(best, t).orderBy(*order, *[F.asc(c) for c in (*SAME_TEXT, *extra)]).select(
+        *HOST, "QueryId", preview(F.col("QueryText"), 80).alias("QueryPreview"), *columns
+    )
 
 
 def cpu_consumers(t: Telemetry, min_cpu_ms: float = 1_000_000, n: int = 20) -> DataFrame:
@@ -111,8 +134,9 @@ def cpu_consumers(t: Telemetry, min_cpu_ms: float = 1_000_000, n: int = 20) -> D
         F.sum("executions").alias("ExecutionCount"),
     ).filter(F.col("cpu_ms") > min_cpu_ms)
     grouped = grouped.withColumn("TotalCpuHours", F.col("cpu_ms") / F.lit(MS_PER_HOUR))
-    best = top(grouped, n, [F.desc("TotalCpuHours")], [*HOST, "QueryId", "QueryText"])
-    return _shown(best, "TotalCpuHours", "AvgCpuTimeMs", "ExecutionCount")
+    return _shown(
+        grouped, t, n, [F.desc("TotalCpuHours")], "TotalCpuHours", "AvgCpuTimeMs", "ExecutionCount"
+    )
 
 
 def memory_hogs(t: Telemetry, min_memory_mb: float = 100, n: int = 20) -> DataFrame:
@@ -124,8 +148,9 @@ def memory_hogs(t: Telemetry, min_memory_mb: float = 100, n: int = 20) -> DataFr
         per_query, t, _merge_mean("AvgMemoryUsedMb", "AvgMemoryMB"),
         F.max("peak").alias("MaxMemoryMB"), F.sum("executions").alias("ExecutionCount"),
     ).filter(F.col("AvgMemoryMB") > min_memory_mb)
-    best = top(grouped, n, [F.desc("AvgMemoryMB")], [*HOST, "QueryId", "QueryText"])
-    return _shown(best, "AvgMemoryMB", "MaxMemoryMB", "ExecutionCount")
+    return _shown(
+        grouped, t, n, [F.desc("AvgMemoryMB")], "AvgMemoryMB", "MaxMemoryMB", "ExecutionCount"
+    )
 
 
 # --- regressions --------------------------------------------------------------
@@ -211,9 +236,10 @@ def waiting_queries(t: Telemetry, as_of: AsOf, days: int = 7, n: int = 50) -> Da
         per_query, t, F.sum("minutes").alias("TotalWaitMinutes"), F.sum("waits").alias("WaitCount"),
         _merge_mean("AvgWaitTimeMs", "AvgWaitTimeMs"), extra=["WaitCategoryGroup"],
     )
-    keys = [*HOST, "QueryId", "QueryText", "WaitCategoryGroup"]
-    best = top(grouped, n, [F.desc("TotalWaitMinutes")], keys)
-    return _shown(best, "WaitCategoryGroup", "TotalWaitMinutes", "WaitCount", "AvgWaitTimeMs")
+    return _shown(
+        grouped, t, n, [F.desc("TotalWaitMinutes")], "WaitCategoryGroup", "TotalWaitMinutes",
+        "WaitCount", "AvgWaitTimeMs", extra=["WaitCategoryGroup"],
+    )
 
 
 def memory_pressure(
@@ -278,30 +304,26 @@ def top_wait_queries(t: Telemetry, n: int = 10) -> DataFrame:
 def plan_instability(t: Telemetry, min_plans: int = 2, n: int = 50) -> DataFrame:
     """Queries with more than ``min_plans`` plans, counted across databases.
 
-    Databases of a server whose query has the same text count together. They
-    are given a common representative at query grain, so that neither text nor
-    any wide column is joined to the facts.
+    Databases of a server whose query has the same text count together; texts are
+    compared by digest, and only the queries shown are joined to their text.
     """
-    same_text = Window.partitionBy(*HOST, "QueryId", "QueryText")
-    named = _text(t.queries.select(*QUERY_KEY, "QueryTextId"), t).withColumn(
-        "Group", F.min("DatabaseName").over(same_text)
-    )
+    named = _digest(t.queries.select(*QUERY_KEY, "QueryTextId"), t)
     seen = t.runtime.select(*QUERY_KEY, "PlanId", "RuntimeStatsIntervalId").distinct()
     grouped = (
         seen.join(t.plans.select(*PLAN_KEY, "CreationTime"), PLAN_KEY)
-        .join(named.select(*QUERY_KEY, "Group"), QUERY_KEY)
-        .groupBy(*HOST, "QueryId", F.col("Group").alias("DatabaseName"))
+        .join(named, QUERY_KEY)
+        .groupBy(*SAME_TEXT)
         .agg(
             F.count_distinct("PlanId").alias("PlanCount"),
             F.min("CreationTime").alias("FirstPlanDate"),
             F.max("CreationTime").alias("LatestPlanDate"),
             F.count_distinct("RuntimeStatsIntervalId").alias("IntervalCount"),
+            _source(),
         )
         .filter(F.col("PlanCount") > min_plans)
     )
-    best = top(grouped, n, [F.desc("PlanCount")], QUERY_KEY)
     return _shown(
-        with_query_text(best, t.queries, t.texts),
+        grouped, t, n, [F.desc("PlanCount")],
         "PlanCount", "FirstPlanDate", "LatestPlanDate", "IntervalCount",
     )
 

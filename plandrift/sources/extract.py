@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, ago, as_of_column, boundary_diff, execution_type_desc
-from plandrift.functions.joins import broadcast_if_small
 from plandrift.schemas import KEYS, Table
 
 RECENT_INTERVALS = 100
@@ -128,13 +127,13 @@ def extract_plans(raw: DataFrame) -> DataFrame:
 def _recent(raw: DataFrame, raw_intervals: DataFrame, last: int) -> DataFrame:
     """Records within the newest ``last`` interval ids of their own source.
 
-    One row per source is joined to all records; a shuffle would send a large
-    source to one task.
+    One row per source is joined to all records: Spark broadcasts the side once its
+    size is known, and splits large sources where it has to shuffle them.
     """
     newest = raw_intervals.groupBy(*KEYS).agg(
         (F.max("runtime_stats_interval_id") - last).alias("_oldest")
     )
-    return raw.join(broadcast_if_small(newest), KEYS).filter(
+    return raw.join(newest, KEYS).filter(
         F.col("runtime_stats_interval_id") >= F.col("_oldest")
     ).drop("_oldest")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plandrift import schemas as S
 from plandrift.functions.columns import boundary_diff, execution_type_desc
 from plandrift.operators.regression import detect_plan_regressions
+from plandrift.functions.filters import since_days
 from plandrift.schemas import INTERVAL_KEY, KEYS, QUERY_KEY, Table
 from plandrift.sources.warehouse import Telemetry, Warehouse, shared_dir
 
@@ -338,6 +339,11 @@ class Fixture:
             _written.add(path)
         return self.warehouse.read(table)
 
+    def since(self, as_of: str, days: int) -> Telemetry:
+        """All tables, the facts cut to the buckets of the last ``days`` days' intervals."""
+        every = self.telemetry  # writes what is not there yet
+        return self.warehouse.telemetry(since_days(every.intervals, "IntervalStartTime", as_of, days))
+
     @property
     def telemetry(self) -> Telemetry:
         return Telemetry(

@@ -150,10 +150,18 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
-    def telemetry(self) -> Telemetry:
+    def telemetry(self, intervals: DataFrame | None = None) -> Telemetry:
+        """All tables; with ``intervals`` the facts' scans are cut to their buckets.
+
+        For reports over a window of interval dates: pass the window's rows of the
+        interval table. Facts keep whole buckets, so the report still filters.
+        """
+        def facts(table: Table) -> DataFrame:
+            return self.read(table, None if intervals is None else self.touched(intervals, table))
+
         return Telemetry(
-            runtime=self.read(S.RUNTIME),
-            waits=self.read(S.WAIT),
+            runtime=facts(S.RUNTIME),
+            waits=facts(S.WAIT),
             intervals=self.read(S.INTERVAL),
             queries=self.read(S.QUERY),
             texts=self.read(S.QUERY_TEXT),

@@ -41,6 +41,7 @@ def refresh(
         staging = Staging(spark, warehouse)
         staging.write(table, batch if table is WAIT else keep_latest(batch, table, order_by))
         merge_table(warehouse, table, staging.read(table), as_of())
+        staging.clear()
 
     return (
         rows.writeStream.foreachBatch(merge)

@@ -343,3 +343,14 @@ def test_counts_of_two_loads_with_one_moment(spark, tmp_path, make):
         results.append(tuple(L.load(warehouse, staging, "2024-01-01 00:00:00").first())[:2])
     assert results[0] == (8, 0) and results[1] == (2, 4)
     assert warehouse.read(S.INTERVAL).count() == 10
+
+
+def test_window_prunes_interval_buckets(spark, make, runtime, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "pruned"))
+    warehouse.create(S.RUNTIME, runtime(("T", 1, 1, 5, 1.0), ("T", 1, 1, 250, 2.0), ("U", 1, 1, 251, 3.0)))
+    recent = make(S.INTERVAL, [{"TenantName": "T", "ServerName": "s", "RuntimeStatsIntervalId": 250}])
+    kept = warehouse.telemetry(recent).runtime
+    assert [(r.TenantName, r.RuntimeStatsIntervalId) for r in kept.collect()] == [("T", 250)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert S.BUCKET_COLUMN in filters and "TenantName" in filters
