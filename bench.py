@@ -22,6 +22,7 @@ HEADLINE = [
     "m7_detect_regressions", "r5_cpu_consumers", "r14_tenant_performance_all_time",
     "k_all_runtime_measures", "k53_executive_bundle", "k33_duration_rank", "w3_ytd",
     "r12_plan_instability", "m11_cleanup_report", "m8_flag_regressions", "j17_star",
+    "r25_duration_trend", "f5_report_slicers", "m12_cleanup_applied", "m10_load_job", "r34_incremental_refresh",
 ]
 
 
