@@ -240,6 +240,18 @@ def test_classifier_rejects_junk_and_keeps_prose(spark, docs, labels, empty):
     assert quality_classifier.quality_scores(docs, labels.where("false")).count() == docs.count()
 
 
+def test_classifier_sample_has_a_row_per_id(spark):
+    schema = "doc_id long, text string, lang string"
+    rows = [(k, prose(50, k), "en") for k in range(40)]
+    marks = spark.createDataFrame([(k, 1) for k in range(0, 40, 2)] + [(None, 1)], "doc_id long, quality int")
+    bound = {"trusted_docs": 10, "trusted_chars": 100_000}
+    once = quality_classifier.quality_scores(spark.createDataFrame(rows, schema), marks, **bound)
+    copies = [rows[k] for k in range(0, 40, 2) for _ in range(30)]
+    more = quality_classifier.quality_scores(spark.createDataFrame(rows + copies, schema), marks, **bound)
+    scores = {r["doc_id"]: r["log10_perplexity"] for r in once.collect()}
+    assert all(r["log10_perplexity"] == pytest.approx(scores[r["doc_id"]]) for r in more.collect())
+
+
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     import re
 
@@ -368,6 +380,17 @@ def test_network_learns_and_sums_to_one():
     assert np.allclose(network.score(docs, window=3), network.score(docs, window=1000), atol=1e-3)
 
 
+def test_one_long_document_takes_few_lanes():
+    network = language_model.Network(np.array([0, 2, 6]), 8)
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 7, n).astype(np.int32) for n in (20_000, *[30] * 400)]
+    inputs, targets, owner = network.lanes(docs, 512)
+    assert len(inputs) == 20_000 and inputs.size <= 3 * sum(map(len, docs)) + len(docs[0])
+    assert all((targets.T[owner.T == d] == docs[d]).all() for d in range(len(docs)))
+    alone = [network.score([d])[0] for d in docs[:5]]
+    assert np.allclose(network.score(docs)[:5], alone, rtol=1e-4)
+
+
 def test_gradient_is_that_of_the_loss():
     network = language_model.Network(np.array([0, 2, 5]), 4)
     network.flat[:] = np.random.default_rng(1).normal(0, 0.4, network.flat.size)
