@@ -26,6 +26,11 @@ PATTERNS = {
 #: Changes with any change of the rules above.
 RULE_VERSION = "1"
 
+#: What is blanked from a private key's header on: up to its END line or, where that is missing,
+#: the header fields and the base64 that follow. The finding itself stays the header.
+KEY_BLOCK = (r"^-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z ]*PRIVATE KEY-----"
+             r"|(?:\s++[A-Za-z][A-Za-z-]*+: [^\n]*+){0,8}+(?:\s++[A-Za-z0-9+/=]{32,}+){0,400}+(?:\s++[A-Za-z0-9+/]*+=++)?+)")
+
 FINDINGS = "array<struct<start:bigint,kind_no:int,kind:string,stop:bigint>>"
 
 
@@ -107,7 +112,8 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with each secret replaced by ``mark``, overlapping spans by one.
+    """The documents with each secret replaced by ``mark``, overlapping spans by one;
+    of a private key all of its block.
 
     ``n_chars`` follows where it was the length of the text. Null texts stay null.
     """
@@ -117,8 +123,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     _, new = scan(versions)
     hits = new.where(F.size("spans") > 0).select(F.col("blob_id").alias("__blob"), F.col("spans").alias("__spans"))
     joined = addressed.join(hits, "__blob", "left")
+    block = lambda s: F.length(F.regexp_extract(F.substring(
+        F.col("text"), s["start"].cast("int") + 1, F.length("text")), KEY_BLOCK, 0))
+    spans = F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), F.when(
+        s["kind"] == "private_key", F.greatest(s["stop"], s["start"] + block(s))).otherwise(s["stop"]).alias("stop")))
     cut = F.aggregate(
-        "__spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
+        spans, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["stop"]).alias("at"),
             F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(

@@ -141,6 +141,16 @@ def test_secrets_spans_and_redaction(spark):
     assert secret_scan.secrets(frame.where("false")).count() == 0
 
 
+def test_redaction_takes_the_whole_private_key(spark):
+    body = "\n".join(["MIIEpAIBAAKCAQEA7bq9" + "Ab+/" * 11] * 3)
+    key = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\n{body}\nQ2w==\n"
+    end = "-----END RSA PRIVATE KEY-----"
+    rows = [f"né {key}{end} after", f"{key}prose goes on", f"{key}{end}\nmid\n{key}{end}", "-----BEGIN PRIVATE KEY----- is a header"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame).collect()}
+    assert [clean[k] for k in range(4)] == ["né [SECRET] after", "[SECRET]\nprose goes on", "[SECRET]\nmid\n[SECRET]", "[SECRET] is a header"]
+
+
 def test_ledger_scans_only_unseen_blobs(spark):
     first = spark.createDataFrame([(1, "token=abcdefgh"), (2, "token=abcdefgh"), (3, "clean"), (4, None)], "path_id long, content string")
     _, ledger = secret_scan.scan(first)
