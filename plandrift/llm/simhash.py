@@ -185,10 +185,182 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     Of rows that repeat this id one stays. Rows without an id can't be told apart and
     all stay.
     """
-    parts = near_duplicates(docs.where("doc_id is not null"), radius)
+    return _lowest_of_each(docs, near_duplicates(docs.where("doc_id is not null"), radius))
+
+
+def _lowest_of_each(docs: DataFrame, parts: DataFrame) -> DataFrame:
     kept = parts.groupBy("component_id").agg(F.count("*").alias("_")).select(F.col("component_id").alias("doc_id"))
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
 
 
+def shingle_hashes(text: bytes | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, sorted; one of all words where they are fewer."""
+    words = common.words_of(text)
+    n = max(1, len(words) - shingle + 1) if words else 0
+    hashes = b"".join([xxhash.xxh64_digest(b" ".join(words[k:k + shingle]), seed) for k in range(n)])
+    return np.unique(np.frombuffer(hashes, ">u8").astype(np.uint64))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted arrays without repetitions; 1 if both are empty."""
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both / union if (union := len(a) + len(b) - both) else 1.0
+
+
+def _near(code: np.ndarray, component: np.ndarray, wanted: np.ndarray, radius: int, most: int) -> tuple[np.ndarray, ...]:
+    """(rows, a row before each, whether the row has more): for the ``wanted`` rows the first ``most``
+    rows before them within the radius that are of another component. For a radius at which
+    BK-trees leave nothing out, so all rows are compared."""
+    found = []
+    step = max(1, (1 << 22) // len(code))
+    for at in range(0, len(code), step):
+        rows = np.arange(at, min(at + step, len(code)))
+        rows = rows[wanted[rows]]
+        if not rows.size:
+            continue
+        end = rows[-1] + 1
+        close = np.bitwise_count(code[rows, None] ^ code[None, :end]) <= radius
+        i, before = np.nonzero(close)
+        keep = (before < rows[i]) & (component[before] != component[rows[i]])
+        row, before = rows[i[keep]], before[keep]
+        left, right = np.searchsorted(row, row), np.searchsorted(row, row, "right")
+        some = np.arange(len(row)) - left < most
+        found.append((row[some], before[some], (right - left > most)[some]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+
+
+def _candidates(named: DataFrame, radius: int, most: int, again: bool, unit_size: int) -> DataFrame:
+    """(node, near, more): ``most`` of the nodes of other components within the radius that come before.
+
+    ``named``: node, code, component, open; only nodes that are ``open`` are asked for.
+    ``more`` tells that a node has others, too. A unit holds about 2 * ``unit_size`` nodes.
+    """
+    code = F.col("code")
+    bits = lambda at, size: F.shiftrightunsigned(code, 64 - at - size).bitwiseAND(F.lit((1 << size) - 1))
+    keys = F.array(*[F.xxhash64(F.lit(k), *[bits(*block) for block in choice])
+                     for k, choice in enumerate(_shard_keys(radius))])
+    columns = ["node", "code", *["component", "open"] * again]
+    keyed = named.select(*columns, F.explode(keys).alias("shard"))
+    # The number of shards is bounded by the radius, whatever the input.
+    if again:
+        asked = named.where("open").select(F.explode(keys).alias("shard")).distinct()
+        keyed = keyed.join(F.broadcast(asked), "shard", "left_semi")
+    large = keyed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > unit_size)
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(unit_size)).cast("int"), F.lit(1))
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    units = (keyed.join(F.broadcast(large), "shard", "left").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+             .select(*columns, F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("unit")))
+    schema = pa.schema([("node", pa.int64()), ("near", pa.int64()), ("more", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            unit, node, code = rows[:3]
+            component, wanted = rows[3:] if again else (node, np.ones(len(node), bool))
+            borders = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1, append=unit[-1] - 1))
+            parts = []
+            for low, high in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                if high - low > 1:
+                    row, before, more = _near(code[low:high].view(np.uint64), component[low:high], wanted[low:high], radius, most)
+                    if row.size:
+                        parts.append((node[low + row], node[low + before], more))
+            if parts:
+                yield common.record_batch(schema, [np.concatenate(x) for x in zip(*parts)])
+
+        held: list[np.ndarray] = []
+        for batch in batches:  # sorted by unit; the last unit may go on
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [np.concatenate(x) for x in zip(held, new)] if held else new
+            if len(held[0]) >= 1 << 16 and (end := np.searchsorted(held[0], held[0][-1])):
+                yield from found([x[:end] for x in held])
+                held = [x[end:] for x in held]
+        if held and len(held[0]):
+            yield from found(held)
+
+    pairs = (units.select("unit", *columns).repartition("unit").sortWithinPartitions("unit", "node")
+             .mapInArrow(run, "node long, near long, more boolean"))
+    merged = pairs.groupBy("node").agg(F.array_sort(F.collect_set("near")).alias("near"), F.max("more").alias("more"))
+    return merged.select("node", F.slice("near", 1, most).alias("near"), (F.col("more") | (F.size("near") > most)).alias("more"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts (node, text) have at least that Jaccard similarity."""
+    spark = pairs.sparkSession
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    # A map of the leading bits, bounded in size: most texts without a pair are left out before the shuffle.
+    leading = ends.select(F.shiftrightunsigned("node", 44).cast("int").alias("k")).distinct().toPandas()["k"].to_numpy()
+    present = np.zeros(1 << 20, bool)
+    present[leading] = True
+    shared = spark.sparkContext.broadcast(np.packbits(present).tobytes())
+    schema = pa.schema([("node", pa.int64()), ("hashes", pa.binary())])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        for batch in common.column_chunks(batches, 1000):
+            node = batch.column(0).to_numpy()
+            some = np.flatnonzero(present[(node.view(np.uint64) >> np.uint64(44)).astype(np.int64)])
+            if some.size:
+                taken = batch.column(1).take(pa.array(some)).to_pylist()
+                yield common.record_batch(schema, [node[some], [shingle_hashes(t, shingle).tobytes() for t in taken]])
+
+    sets = common.stored(texts.select("node", F.col("text").cast("binary").alias("text"))
+                         .mapInArrow(hashed, "node long, hashes binary")
+                         .groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
+    side = lambda k: sets.select(F.col("node").alias(k), F.col("hashes").alias(f"of_{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_a, of_b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
+            keep = np.array([jaccard(x, y) >= least for x, y in zip(of_a, of_b)], bool)
+            yield common.record_batch(out, [batch.column(k).to_numpy()[keep] for k in (0, 1)])
+
+    result = common.stored(both.mapInArrow(similar, "a long, b long"), "similar")
+    shared.unpersist()
+    return result
+
+
+def near_copies(docs: DataFrame, radius: int = 12, shingle: int = 5, least: float = 0.8, most: int = 4,
+                unit_size: int = 1 << 15) -> DataFrame:
+    """(doc_id, component_id) per row with an id: components of texts within ``radius`` bits
+    whose sets of word shingles have a Jaccard similarity of ``least``, computed exactly.
+
+    Texts are told apart by a 64-bit hash. A text is verified against ``most`` candidates
+    first; those with more go on with four times as many, without the candidates that
+    have come to their component, until none is left. So a large group of near copies
+    costs a multiple of its size, and no pair that could join two components is left out.
+    Texts without words link to each other.
+    """
+    # By text, not by id: ids may repeat. Null counts as empty.
+    texts = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("node"), "text")
+    codes = fingerprints(texts, "node").withColumnRenamed("doc_id", "node").groupBy("node").agg(F.first("code").alias("code"))
+    nodes = common.stored(codes, "codes")
+    named = nodes.select("node", "code", F.col("node").alias("component"), F.lit(True).alias("open"))
+    edges, again = None, False
+    while True:
+        found = common.stored(_candidates(named, radius, most, again, unit_size), "candidates")
+        pairs = found.select(F.col("node").alias("b"), F.explode("near").alias("a")).select("a", "b")
+        new = _verified(pairs, texts, shingle, least)
+        edges = new if edges is None else edges.unionByName(new)
+        parts = common.connected_components(edges)
+        left = found.where("more").select("node", F.lit(True).alias("open"))
+        named = common.stored(nodes.join(parts, "node", "left").join(left, "node", "left").select(
+            "node", "code", F.coalesce("component", "node").alias("component"), F.coalesce("open", F.lit(False)).alias("open")), "named")
+        if left.isEmpty():
+            break
+        most, again = 4 * most, True
+    rows = texts.select("doc_id", "node").join(named.select("node", "component"), "node")
+    lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(lowest, "component").select("doc_id", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """As ``drop_near_duplicates``, for the components of ``near_copies``."""
+    return _lowest_of_each(docs, near_copies(docs, **options))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.read(spark, sf_dir, "documents"))

@@ -331,6 +331,33 @@ def test_simhash_against_all_pairs(spark, docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_stage_drops_near_copies_beyond_three_bits(spark, docs):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(60):
+        words = [rng.choice(WORDS) + rng.choice(WORDS) + rng.choice(WORDS) for _ in range(300)]
+        changed = [w + "x" if i % 60 == 7 else w for i, w in enumerate(words)]
+        far = [w + "y" if i % 9 == 3 else w for i, w in enumerate(words)]
+        rows += [(1000 + 3 * k + i, " ".join(w), "en", "w", "row", 1) for i, w in enumerate((words, changed, far))]
+    hot = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(200)]
+    rows += [(5000 + k, " ".join([*hot[:k], f"zz{k}", *hot[k:]]), "en", "w", "row", 1) for k in range(150)]
+    frame = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    sets = {r[0]: set(simhash.shingle_hashes(r[1].encode()).tolist()) for r in rows}
+    assert all(len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) >= 0.8 for d in range(1000, 1180, 3))
+    codes = {r[0]: code_of(r[1]) for r in rows}
+    assert sum((codes[d] ^ codes[d + 1]).bit_count() > 3 for d in range(1000, 1180, 3)) > 20
+    kept = [r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, frame, "").collect()]
+    caught = {d + 1 for d in range(1000, 1180, 3) if (codes[d] ^ codes[d + 1]).bit_count() <= 12}
+    assert len(caught) >= 57  # beyond 12 bits are few
+    want = {*range(1000, 1180), 5000} - caught
+    assert sorted(x for x in kept if x and x >= 1000) == sorted(want)
+    assert sorted(x for x in kept if x and x < 1000) == [1, 3, 5, 6, 8, 9, 10] and kept.count(None) == 1
+    small = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(frame, most=1, unit_size=40).collect()}
+    assert small == {r["doc_id"]: r["component_id"] for r in simhash.near_copies(frame).collect()}
+
+
 def test_trees_find_all_within_the_radius(spark):
     rng = random.Random(2)
     codes = sorted({rng.getrandbits(64) for _ in range(50)} | {0xF0F0 ^ (1 << i) ^ (1 << j) for i in range(20) for j in range(20)})
