@@ -262,6 +262,18 @@ def test_classifier_sample_has_a_row_per_id(spark):
     assert all(r["log10_perplexity"] == pytest.approx(scores[r["doc_id"]]) for r in more.collect())
 
 
+def test_long_trusted_texts_leave_no_others_out(spark):
+    schema = "doc_id long, text string, lang string"
+    marks = spark.createDataFrame([(k, 1) for k in range(12)], "doc_id long, quality int")
+    first = marks.orderBy(F.xxhash64(F.lit("trusted"), F.col("doc_id").cast("long"))).first()["doc_id"]
+    rows = [(k, prose(6000 if k == first else 50, k), "en") for k in range(12)]
+    junk = (100, prose(50, 1).upper().replace(" ", "!! "), "en")
+    got = quality_classifier.quality_scores(spark.createDataFrame([*rows, junk], schema), marks, trusted_chars=20_000)
+    assert not got.where("doc_id = 100").first()["kept"]
+    with pytest.raises(ValueError):
+        quality_classifier.quality_scores(spark.createDataFrame(rows, schema), marks, trusted_chars=1000)
+
+
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     import re
 
