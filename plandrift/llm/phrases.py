@@ -34,10 +34,11 @@ _FOLD = bytes(0xFF if b in ENDS else b + 32 if 65 <= b <= 90 else 32 if b == 9 e
 #: Ids of words take 21 bits, so that three fit into a key of 64.
 ID_BITS = 21
 #: Tokens that a task counts at once, and that it takes from a text at once.
-MOST_TOKENS, SLICE = 2_000_000, 500_000
+MOST_TOKENS, SLICE = 800_000, 200_000
 #: Candidates travel as a bitmap of 2^28 bits (32 MB), whatever their number.
 BITMAP_BITS = 28
-RANGE_BYTES = 16_000_000
+RANGE_BYTES = 8_000_000
+ROWS_AT_ONCE = 256
 #: Sum of the hashes of a phrase's words, by place.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
@@ -104,23 +105,27 @@ class PhraseCounter:
         a, b, c = ids[:-2], ids[1:-1], ids[2:]
         two = ends[2:] & (b > 0)
         three = two & (a > 0)
-        keys = [c[ends[2:]], (b[two] << ID_BITS) | c[two],
-                (a[three] << 2 * ID_BITS) | (b[three] << ID_BITS) | c[three]]
-        keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+        keys = np.concatenate([c[ends[2:]], (b[two] << ID_BITS) | c[two],
+                               (a[three] << 2 * ID_BITS) | (b[three] << ID_BITS) | c[three]])
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        counts = np.diff(first, append=len(keys))
+        keys = keys[first]
         hashes = np.array(self.hashes, dtype=np.uint64)
         low = (1 << ID_BITS) - 1
         values = np.zeros(len(keys), dtype=np.uint64)
         for place in range(3):
-            values += hashes[(keys >> (place * ID_BITS)) & low] * _PLACES[place]
+            values += (hashes * _PLACES[place])[(keys >> (place * ID_BITS)) & low]
             values ^= values >> np.uint64(29)
             values *= np.uint64(0xBF58476D1CE4E5B9)
-        return keys, counts, values ^ (values >> np.uint64(32))
+        values ^= values >> np.uint64(32)
+        return keys, counts, values
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[PhraseCounter]:
     """The counter, each time that it is to be flushed; it is emptied afterwards."""
     counter = PhraseCounter()
-    for batch in batches:
+    for batch in common.column_chunks(batches, ROWS_AT_ONCE):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for _ in counter.slices(lang, text):
                 yield counter
