@@ -8,7 +8,7 @@ from checks.base import K, NOW, QK, Check, each
 from checks.views import _split
 from plandrift import schemas as S
 from plandrift.operators import quality, regression, retention, runlog, upsert
-from plandrift.plans.load import Staging, load
+from plandrift.plans.load import LOAD_ORDER, Staging, load, merge_table
 from plandrift.schemas import INTERVAL_KEY, KEYS, PLAN_KEY, QUERY_KEY
 from plandrift.sources import config, extract
 from plandrift.sources.fixture import AS_OF, _wait_events
@@ -227,17 +227,34 @@ CHECKS["s8_tagged_sources"] = Check(
 
 
 def _bulk_load(f):
+    """Every table appended in two parts, and what the warehouse then holds."""
     warehouse = Warehouse(f.spark, _new_root(f))
-    warehouse.append(S.WAIT, f.table(S.WAIT).filter(F.col("RuntimeStatsIntervalId") < 8000))
-    warehouse.append(S.WAIT, f.table(S.WAIT).filter(F.col("RuntimeStatsIntervalId") >= 8000))
-    return warehouse.read(S.WAIT).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("TotalWaitTimeMs").alias("TotalWaitTimeMs"))
+    halves = {
+        S.QUERY.name: "QueryId", S.QUERY_TEXT.name: "QueryTextId", S.PLAN.name: "PlanId",
+        S.INTERVAL.name: "RuntimeStatsIntervalId", S.RUNTIME.name: "RuntimeStatsIntervalId",
+        S.WAIT.name: "RuntimeStatsIntervalId",
+    }
+    for table in LOAD_ORDER:
+        odd = F.col(halves[table.name]) % 2 == 1
+        warehouse.append(table, f.table(table).filter(odd))
+        warehouse.append(table, f.table(table).filter(~odd))
+    return extract.combine([
+        warehouse.read(table).groupBy("TenantName").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(halves[table.name]).cast("long").alias("ids"))
+        .withColumn("TableName", F.lit(table.name)) for table in LOAD_ORDER])
 
 
+_STORED = [
+    ("QueryStoreQuery", "queries", "QueryId"), ("QueryStoreQueryText", "texts", "QueryTextId"),
+    ("QueryStorePlan", "plans", "PlanId"), ("RuntimeStatsInterval", "intervals", "RuntimeStatsIntervalId"),
+    ("QueryStoreRuntimeStats", "rt", "RuntimeStatsIntervalId"), ("QueryStoreWaitStats", "waits", "RuntimeStatsIntervalId"),
+]
 CHECKS["s9_bulk_load"] = Check(
     _bulk_load,
-    f"""SELECT {K}, count(*) AS n, CAST(sum(TotalWaitTimeMs) AS BIGINT) AS TotalWaitTimeMs
-      FROM waits GROUP BY {K}""", ["waits"],
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS TableName, TenantName, count(*) AS n, CAST(sum({column}) AS BIGINT) AS ids
+        FROM {view} GROUP BY TenantName""" for name, view, column in _STORED),
+    ["queries", "texts", "plans", "intervals", "rt", "waits"],
 )
 CHECKS["s10_run_totals"] = Check(
     lambda f: runlog.run_totals(f.table(S.RUN_LOG)),
@@ -265,6 +282,23 @@ CHECKS["m1_merge_query"] = Check(
         CASE WHEN QueryId % 5 = 0 THEN {NOW} ELSE LoadDate END AS LoadDate)
       FROM queries WHERE QueryId % 5 <> 0 OR QueryId % 2 = 0""", ["queries"],
 )
+def _stored(f, table, target, staged):
+    """The same merge on stored tables: what is new is appended, what differs rewritten."""
+    warehouse = Warehouse(f.spark, _new_root(f))
+    warehouse.create(table, target)
+    merge_table(warehouse, table, staged.select(*table.staging_schema.fieldNames()), AS_OF)
+    return warehouse.read(table)
+
+
+CHECKS["m1_stored_merge_query"] = Check(
+    lambda f: _stored(
+        f, S.QUERY, f.table(S.QUERY).filter(F.col("QueryId") % 5 != 0),
+        f.table(S.QUERY).filter(F.col("QueryId") % 2 == 0).withColumns({
+            "CompilationCount": F.col("CompilationCount") + 100,
+            "ContextSettingsId": F.lit(7).cast("long"),
+            "AvgCompileMemoryMb": F.col("AvgCompileMemoryMb") * 2})),
+    CHECKS["m1_merge_query"].sql, ["queries"],
+)
 CHECKS["m2_merge_query_text"] = Check(
     lambda f: upsert.merge_query_text(
         f.table(S.QUERY_TEXT).filter(F.col("QueryTextId") % 5 != 0),
@@ -274,6 +308,13 @@ CHECKS["m2_merge_query_text"] = Check(
       CASE WHEN QueryTextId % 5 = 0 THEN upper(QueryTextContent) ELSE QueryTextContent END AS QueryTextContent,
       CASE WHEN QueryTextId % 5 = 0 THEN {NOW} ELSE LoadDate END AS LoadDate FROM texts""", ["texts"],
 )
+CHECKS["m2_stored_merge_query_text"] = Check(
+    lambda f: _stored(
+        f, S.QUERY_TEXT, f.table(S.QUERY_TEXT).filter(F.col("QueryTextId") % 5 != 0),
+        f.table(S.QUERY_TEXT).withColumn("QueryTextContent", F.upper("QueryTextContent"))
+    ).select(*KEYS, "QueryTextId", "QueryTextContent", "LoadDate"),
+    CHECKS["m2_merge_query_text"].sql, ["texts"],
+)
 CHECKS["m3_merge_plan"] = Check(
     lambda f: upsert.merge_plan(
         f.table(S.PLAN).filter(F.col("PlanId") % 3 != 0),
@@ -287,6 +328,15 @@ CHECKS["m3_merge_plan"] = Check(
       CASE WHEN PlanId % 3 = 0 THEN {NOW} ELSE LoadDate END AS LoadDate
       FROM plans WHERE PlanId % 3 <> 0 OR PlanId % 2 = 0""", ["plans"],
 )
+CHECKS["m3_stored_merge_plan"] = Check(
+    lambda f: _stored(
+        f, S.PLAN, f.table(S.PLAN).filter(F.col("PlanId") % 3 != 0),
+        f.table(S.PLAN).filter(F.col("PlanId") % 2 == 0).withColumns({
+            "LastExecutionTime": F.col("LastExecutionTime") + F.expr("INTERVAL 1 DAY"),
+            "CompatibilityLevel": F.lit(999)})
+    ).select(*PLAN_KEY, "QueryId", "CompatibilityLevel", "LastExecutionTime", "LoadDate"),
+    CHECKS["m3_merge_plan"].sql, ["plans"],
+)
 CHECKS["m4_merge_interval"] = Check(
     lambda f: upsert.merge_interval(
         f.table(S.INTERVAL).filter(F.col("RuntimeStatsIntervalId") < 8000),
@@ -297,6 +347,13 @@ CHECKS["m4_merge_interval"] = Check(
         CASE WHEN RuntimeStatsIntervalId >= 8000 THEN {NOW} ELSE LoadDate END AS LoadDate)
       FROM intervals""", ["intervals"],
 )
+CHECKS["m4_stored_merge_interval"] = Check(
+    lambda f: _stored(
+        f, S.INTERVAL, f.table(S.INTERVAL).filter(F.col("RuntimeStatsIntervalId") < 8000),
+        f.table(S.INTERVAL).filter(F.col("RuntimeStatsIntervalId") >= 7998).withColumn(
+            "IntervalDurationMinutes", F.lit(1))),
+    CHECKS["m4_merge_interval"].sql, ["intervals"],
+)
 _RT_LIST = ", ".join(_RT_COLUMNS)
 CHECKS["m5_merge_runtime_stats"] = Check(
     lambda f: upsert.merge_runtime_stats(*_split(f), AS_OF).drop("RuntimeStatsId"),
@@ -344,7 +401,7 @@ CHECKS["m7_detect_regressions"] = Check(
 )
 CHECKS["m7_detect_regressions_split_groups"] = Check(
     lambda f: regression.detect_plan_regressions(
-        f.table(S.RUNTIME), f.table(S.REGRESSION), AS_OF, threshold=0.5, plans_per_group=2
+        f.table(S.RUNTIME), f.table(S.REGRESSION), AS_OF, threshold=0.5, intervals_per_bucket=3
     ).select(*QUERY_KEY, "OldPlanId", "NewPlanId"),
     f"""SELECT {QK}, OldPlanId, NewPlanId FROM found WHERE DurationChangePercentage > 50
       EXCEPT SELECT {QK}, OldPlanId, NewPlanId FROM regs WHERE CAST(DetectionDate AS DATE) >= CAST({NOW} AS DATE)""",
@@ -387,21 +444,74 @@ CHECKS["m10_merge_counts"] = Check(
 )
 
 
+def _halves(f):
+    """All six tables as they were stored, and as the next run extracts them."""
+    runtime, staged_runtime = _split(f)
+    waits, queries, texts = f.table(S.WAIT), f.table(S.QUERY), f.table(S.QUERY_TEXT)
+    plans, intervals = f.table(S.PLAN), f.table(S.INTERVAL)
+    interval, recent = F.col("RuntimeStatsIntervalId"), intervals.filter("RuntimeStatsIntervalId >= 7998")
+    # Two databases of a server disagree on every fifth interval.
+    other = recent.filter(interval % 5 == 0).withColumn(
+        "IntervalStartTime", F.col("IntervalStartTime") - F.expr("INTERVAL 1 HOUR"))
+    return [
+        (S.INTERVAL, intervals.filter(interval < 8000), recent.unionByName(other)),
+        (S.QUERY, queries.filter(F.col("QueryId") % 5 != 0), queries.filter(F.col("QueryId") % 2 == 0).withColumn(
+            "CompilationCount", F.col("CompilationCount") + 100)),
+        (S.QUERY_TEXT, texts.filter(F.col("QueryTextId") % 5 != 0), texts),
+        (S.PLAN, plans.filter(F.col("PlanId") % 3 != 0), plans.filter(F.col("PlanId") % 2 == 0)),
+        (S.RUNTIME, runtime, staged_runtime),
+        (S.WAIT, waits.filter(interval < 8000), waits.filter(interval >= 7998)),
+    ]
+
+
 def _load_job(f):
-    """A first load of the older intervals, then an incremental one."""
+    """A warehouse with the older part of all tables, and an incremental load of the rest."""
     warehouse = Warehouse(f.spark, _new_root(f))
-    target, staged = _split(f)
-    warehouse.create(S.RUNTIME, target)
     staging = Staging(f.spark, warehouse)
-    staging.write(S.RUNTIME, staged)
+    for table, target, staged in _halves(f):
+        warehouse.create(table, target)
+        staging.write(table, staged)
     return load(warehouse, staging, AS_OF)
 
 
+_LOADED = """SELECT RuntimeStatsIntervalId >= 8000 AS new FROM rt WHERE RuntimeStatsIntervalId >= 7998
+      UNION ALL SELECT RuntimeStatsIntervalId >= 8000 FROM waits WHERE RuntimeStatsIntervalId >= 7998
+      UNION ALL SELECT QueryId % 5 = 0 FROM queries WHERE QueryId % 2 = 0
+      UNION ALL SELECT QueryTextId % 5 = 0 FROM texts
+      UNION ALL SELECT PlanId % 3 = 0 FROM plans WHERE PlanId % 2 = 0"""
 CHECKS["m10_load_job"] = Check(
     _load_job,
-    """SELECT count(*) FILTER (WHERE RuntimeStatsIntervalId >= 8000) AS RecordsInserted,
-      count(*) FILTER (WHERE RuntimeStatsIntervalId BETWEEN 7998 AND 7999) AS RecordsUpdated,
-      (SELECT count(*) FROM found) AS RegressionsDetected FROM rt""", ["rt", "found"],
+    """SELECT count(*) FILTER (WHERE new) AS RecordsInserted,
+      count(*) FILTER (WHERE NOT new) AS RecordsUpdated,
+      (SELECT count(*) FROM found) AS RegressionsDetected,
+      (SELECT count(*) FROM intervals WHERE RuntimeStatsIntervalId >= 7998
+        AND RuntimeStatsIntervalId % 5 = 0) AS IntervalConflicts FROM staged""",
+    ["rt", "waits", "queries", "texts", "plans", "intervals", "found"], extra={"staged": _LOADED},
+)
+
+
+def _loaded_conflicts(f):
+    """The conflicts that a load of intervals stores, older rows and the extract together."""
+    warehouse = Warehouse(f.spark, _new_root(f))
+    staging = Staging(f.spark, warehouse)
+    (_, target, staged), *_ = _halves(f)
+    warehouse.create(S.INTERVAL, target.withColumn("IntervalEndTime", F.when(
+        F.col("RuntimeStatsIntervalId") % 2 == 0, F.col("IntervalStartTime")).otherwise(F.col("IntervalEndTime"))))
+    staging.write(S.INTERVAL, staged)
+    load(warehouse, staging, AS_OF)
+    return warehouse.read(S.INTERVAL_CONFLICT)
+
+
+CHECKS["m10_interval_conflicts"] = Check(
+    _loaded_conflicts,
+    f"""SELECT TenantName, ServerName, RuntimeStatsIntervalId,
+      CAST(1 + CASE WHEN RuntimeStatsIntervalId % 5 = 0 THEN 1 ELSE 0 END
+        + CASE WHEN RuntimeStatsIntervalId = 7998 THEN 1 ELSE 0 END AS BIGINT) AS Versions,
+      CASE WHEN RuntimeStatsIntervalId % 5 = 0 THEN IntervalStartTime - INTERVAL 1 HOUR
+        ELSE IntervalStartTime END AS FirstStart,
+      IntervalStartTime AS LastStart, {NOW} AS LoadDate
+      FROM intervals WHERE RuntimeStatsIntervalId >= 7998
+        AND (RuntimeStatsIntervalId % 5 = 0 OR RuntimeStatsIntervalId = 7998)""", ["intervals"],
 )
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-from plandrift.schemas import BUCKET_COLUMN, INTERVALS_PER_BUCKET, KEYS
+from plandrift.schemas import KEYS, Table
 
 AsOf = str | dt.datetime | Column | None
 
@@ -99,13 +99,10 @@ def execution_type_desc(code: Column) -> Column:
     return F.when(code == 0, "Regular").when(code == 1, "Aborted").when(code == 2, "Exception")
 
 
-def interval_bucket() -> Column:
-    """Storage bucket of an interval id (see ``schemas.INTERVALS_PER_BUCKET``)."""
-    return (
-        F.floor(F.col("RuntimeStatsIntervalId") / F.lit(INTERVALS_PER_BUCKET))
-        .cast("int")
-        .alias(BUCKET_COLUMN)
-    )
+def partition_bucket(table: Table) -> Column:
+    """The range that a row's id falls into (see ``Table.bucket``)."""
+    name, column, width = table.bucket
+    return F.floor(F.col(column) / F.lit(width)).cast("int").alias(name)
 
 
 def preview(text: Column, length: int) -> Column:

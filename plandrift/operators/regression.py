@@ -6,28 +6,28 @@ and a pair of plans is a regression when the new mean exceeds the old one by
 more than the threshold.
 
 Joining rows with rows would grow with the square of a query's history.
-Instead the rows of a plan are first folded into one time-ordered series, at
-most three entries (execution types) per interval. Plans, not rows, are then
-paired, and one pass over the two merged series yields the pair count and both
-pair-weighted sums from running totals. Only plan pairs that can still qualify
-are formed, so what the join emits stays close to what the result contains.
+Instead a plan is summarised per bucket of intervals: rows, sum of durations,
+and the few durations inside the bucket, which its width bounds. Whole buckets
+pair by running totals: the new plan's rows of a bucket meet all rows of the
+old plan before that bucket at once. Only inside the bucket that both share
+are durations looked at one by one. Contributions of buckets add up, so no
+row, group or task holds the history of a plan, and a stored summary
+(``schemas.PLAN_STATE``) need only be renewed for the buckets a load touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, as_of_column
-from plandrift.schemas import QUERY_KEY, REGRESSION, RUNTIME
+from plandrift.schemas import PLAN_STATE, QUERY_KEY, REGRESSION, RUNTIME
 
 DEFAULT_THRESHOLD = 0.25
 
-# A query with more plans than this is spread over several join groups.
-PLANS_PER_GROUP = 256
-
-# Walks both series in time order. At equal intervals the new plan's entries
-# come first (role 0), so only strictly older rows of the old plan are counted.
-# Both series arrive sorted, so sorting them together is a single merge.
+# Walks both series of a bucket in time order. At equal intervals the new
+# plan's entries come first (role 0), so only strictly older rows of the old
+# plan are counted. Both series arrive sorted: sorting them together is a merge.
 _FOLD = """
 aggregate(
   sort_array(concat(old_series, new_series)),
@@ -40,90 +40,128 @@ aggregate(
            a.new_sum + e.d * a.seen AS new_sum)))
 """
 
+# What a bucket of the new plan adds: pairs with all older buckets of the old
+# plan, and, where the old plan has rows in the same bucket, those inside it.
+_CONTRIBUTION = f"""
+transform(
+  array(IF(old_series IS NULL,
+    struct(0L AS seen, 0D AS seen_sum, 0L AS pairs, 0D AS old_sum, 0D AS new_sum), {_FOLD})),
+  f -> struct(
+    new_rows * rows_before + f.pairs AS pairs,
+    new_rows * sum_before + f.old_sum AS old_sum,
+    new_sum * rows_before + f.new_sum AS new_sum))
+"""
+
 
-def plan_series(runtime: DataFrame) -> DataFrame:
-    """One row per plan with its durations by interval.
+def plan_states(runtime: DataFrame, intervals_per_bucket: int = S.INTERVALS_PER_BUCKET) -> DataFrame:
+    """Summaries per plan and bucket; ``Series`` has one entry per row of the bucket.
 
-    Nothing but the series is aggregated, so that both sides of the plan
-    pairing need exactly the same shuffle and Spark runs it once.
+    Rows of a plan differ in interval and execution type, so a series has three
+    entries per interval of the bucket at most. ``RuntimeStatsIntervalId`` is the
+    first id of the bucket.
     """
-    entry = F.struct(F.col("RuntimeStatsIntervalId").alias("i"), F.col("AvgDurationMs").alias("d"))
-    return runtime.groupBy(*QUERY_KEY, "PlanId").agg(F.collect_list(entry).alias("series"))
+    interval, duration = F.col("RuntimeStatsIntervalId"), F.col("AvgDurationMs")
+    first = (F.floor(interval / intervals_per_bucket) * intervals_per_bucket).cast("int")
+    return (
+        runtime.select(*QUERY_KEY, "PlanId", first.alias("_bucket"), interval.alias("i"), duration.alias("d"),
+                       F.when(~F.col("IsRegression"), 1).alias("unflagged"))
+        .groupBy(*QUERY_KEY, "PlanId", "_bucket").agg(
+            F.count(F.lit(1)).alias("StateRows"), F.count("unflagged").alias("UnflaggedRows"), F.sum("d").alias("DurationSum"),
+            F.min("d").alias("FastestMs"), F.max("d").alias("SlowestMs"),
+            F.min("i").alias("FirstInterval"), F.max("i").alias("LastInterval"),
+            F.sort_array(F.collect_list(F.struct("i", "d"))).alias("Series"),
+        )
+        .withColumnRenamed("_bucket", "RuntimeStatsIntervalId").select(*PLAN_STATE.columns)
+    )
 
 
-def _in_role(role: int) -> Column:
+def _in_role(series: str, role: int) -> Column:
     """The sorted series with every entry marked as old (1) or new (0)."""
-    return F.expr(f"sort_array(transform(series, e -> struct(e.i AS i, {role} AS role, e.d AS d)))")
-
-
-def _group_counts(runtime: DataFrame, plans_per_group: int) -> DataFrame:
-    """Queries with so many plans that their pairing is split, and into how many groups."""
-    plans = runtime.select(*QUERY_KEY, "PlanId").distinct()
-    return (
-        plans.groupBy(*QUERY_KEY).agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > plans_per_group)
-        .select(*QUERY_KEY, F.ceil(F.col("n") / plans_per_group).cast("int").alias("groups"))
-    )
+    return F.expr(f"transform({series}, e -> struct(e.i AS i, {role} AS role, e.d AS d))")
 
 
-def plan_pair_averages(
-    runtime: DataFrame,
-    threshold: float = DEFAULT_THRESHOLD,
-    plans_per_group: int = PLANS_PER_GROUP,
-) -> DataFrame:
+def pair_averages(states: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Pair-weighted averages of every plan pair that may exceed ``threshold``."""
-    series = plan_series(runtime).join(
-        _group_counts(runtime, plans_per_group), QUERY_KEY, "left"
+    plan = Window.partitionBy(*QUERY_KEY, "PlanId")
+    by_time = plan.orderBy("RuntimeStatsIntervalId")
+    before = by_time.rowsBetween(Window.unboundedPreceding, -1)
+    steps = states.select(
+        *QUERY_KEY, "PlanId", F.col("RuntimeStatsIntervalId").alias("bucket"),
+        "StateRows", "DurationSum", "Series",
+        F.lead("RuntimeStatsIntervalId").over(by_time).alias("next_bucket"),
+        F.coalesce(F.sum("StateRows").over(before), F.lit(0)).alias("older_rows"),
+        F.coalesce(F.sum("DurationSum").over(before), F.lit(0.0)).alias("older_sum"),
+        F.min("FirstInterval").over(plan).alias("first"), F.max("LastInterval").over(plan).alias("last"),
+        F.min("FastestMs").over(plan).alias("fastest"), F.max("SlowestMs").over(plan).alias("slowest"),
     )
-    groups = F.coalesce(F.col("groups"), F.lit(1))
-    durations = F.col("series.d")
-    old = series.select(
-        *QUERY_KEY,
-        F.pmod(F.xxhash64("PlanId"), groups).cast("int").alias("part"),
-        F.col("PlanId").alias("OldPlanId"), _in_role(1).alias("old_series"),
-        F.array_min("series.i").alias("old_first"), F.array_min(durations).alias("old_fastest"),
+    at = states.select(*QUERY_KEY, F.col("RuntimeStatsIntervalId").alias("at")).distinct()
+    # The old plan's totals before each bucket of the query: those of its last step.
+    inside = F.col("at") == F.col("bucket")
+    old = steps.join(at, QUERY_KEY).filter(
+        (F.col("at") >= F.col("bucket")) & (F.col("next_bucket").isNull() | (F.col("at") < F.col("next_bucket")))
+    ).select(
+        *QUERY_KEY, "at", F.col("PlanId").alias("OldPlanId"),
+        (F.col("older_rows") + F.when(inside, 0).otherwise(F.col("StateRows"))).alias("rows_before"),
+        (F.col("older_sum") + F.when(inside, 0.0).otherwise(F.col("DurationSum"))).alias("sum_before"),
+        F.when(inside, _in_role("Series", 1)).alias("old_series"),
+        F.col("first").alias("old_first"), F.col("fastest").alias("old_fastest"),
     )
-    new = series.select(
-        *QUERY_KEY,
-        F.explode(F.sequence(F.lit(0), groups - 1)).alias("part"),
-        F.col("PlanId").alias("NewPlanId"), _in_role(0).alias("new_series"),
-        F.array_max("series.i").alias("new_last"), F.array_max(durations).alias("new_slowest"),
+    new = steps.select(
+        *QUERY_KEY, F.col("bucket").alias("at"), F.col("PlanId").alias("NewPlanId"),
+        F.col("StateRows").alias("new_rows"), F.col("DurationSum").alias("new_sum"),
+        _in_role("Series", 0).alias("new_series"),
+        F.col("last").alias("new_last"), F.col("slowest").alias("new_slowest"),
     )
     # The new mean cannot exceed the slowest new row nor the old mean undercut
     # the fastest old row; the factor leaves room for rounding in the means.
     may_exceed = (F.col("old_fastest") < 0) | (
         F.col("new_slowest") > F.col("old_fastest") * (1 + threshold) * (1 - 1e-9)
     )
-    pairs = (
-        old.join(new, [*QUERY_KEY, "part"])
-        .filter(F.col("OldPlanId") != F.col("NewPlanId"))
-        .filter(F.col("old_first") < F.col("new_last"))
+    pairs = old.join(new, [*QUERY_KEY, "at"]).filter(
+        (F.col("OldPlanId") != F.col("NewPlanId")) & (F.col("old_first") < F.col("new_last"))
     )
     if threshold > -1:
         pairs = pairs.filter(may_exceed)
-    # inline() of a one-element array computes the fold once per pair; as a plain
-    # projection the filters below would pull copies of it into the join.
-    totals = pairs.select(*QUERY_KEY, "OldPlanId", "NewPlanId", F.inline(F.array(F.expr(_FOLD))))
+    pair = [*QUERY_KEY, "OldPlanId", "NewPlanId"]
+    # inline() computes the fold once per row, which plain projections would repeat.
+    totals = pairs.select(*pair, F.inline(F.expr(_CONTRIBUTION))).groupBy(*pair).agg(
+        *[F.sum(c).alias(c) for c in ("pairs", "old_sum", "new_sum")]
+    )
     return totals.filter(F.col("pairs") > 0).select(
-        *QUERY_KEY, "OldPlanId", "NewPlanId",
+        *pair,
         F.try_divide("old_sum", "pairs").alias("OldAvgDurationMs"),
         F.try_divide("new_sum", "pairs").alias("NewAvgDurationMs"),
     )
 
 
+def plan_pair_averages(
+    runtime: DataFrame,
+    threshold: float = DEFAULT_THRESHOLD,
+    intervals_per_bucket: int = S.INTERVALS_PER_BUCKET,
+) -> DataFrame:
+    return pair_averages(plan_states(runtime, intervals_per_bucket), threshold)
+
+
 def detect_plan_regressions(
     runtime: DataFrame,
     existing: DataFrame | None,
     as_of: AsOf,
     threshold: float = DEFAULT_THRESHOLD,
-    plans_per_group: int = PLANS_PER_GROUP,
+    intervals_per_bucket: int = S.INTERVALS_PER_BUCKET,
 ) -> DataFrame:
     """New regression rows; pairs already recorded on the ``as_of`` day are left out."""
+    return detect_from_states(plan_states(runtime, intervals_per_bucket), existing, as_of, threshold)
+
+
+def detect_from_states(
+    states: DataFrame, existing: DataFrame | None, as_of: AsOf, threshold: float = DEFAULT_THRESHOLD
+) -> DataFrame:
+    """As ``detect_plan_regressions``, from summaries instead of runtime rows."""
     now = as_of_column(as_of)
     old, new = F.col("OldAvgDurationMs"), F.col("NewAvgDurationMs")
     change = F.try_divide(new - old, old)
     found = (
-        plan_pair_averages(runtime, threshold, plans_per_group)
+        pair_averages(states, threshold)
         .filter(change > threshold)
         .withColumn("DurationChangePercentage", change * 100)
     )

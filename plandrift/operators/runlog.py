@@ -12,9 +12,12 @@ SUCCESS, FAILED = "SUCCESS", "FAILED"
 
 def log_rows(
     per_source: DataFrame, as_of: AsOf, duration_seconds: int, status: str = SUCCESS,
-    error: str | None = None,
+    error: str | None = None, run_id: str = "",
 ) -> DataFrame:
-    """Run-log rows for sources with their inserted and updated counts."""
+    """Run-log rows for sources with their inserted and updated counts.
+
+    The id tells runs apart by ``run_id``, also if they share a moment.
+    """
     now = as_of_column(as_of)
     return per_source.select(
         *KEYS, now.alias("LastExtractTime"),
@@ -24,15 +27,17 @@ def log_rows(
         F.lit(status).alias("ExtractStatus"), F.lit(error).cast("string").alias("ErrorMessage"),
         now.alias("LoadDate"),
     ).withColumn(
-        "ETLControlId", F.xxhash64(*KEYS, "LastExtractTime", "ExtractStatus")
+        "ETLControlId", F.xxhash64(*KEYS, "LastExtractTime", "ExtractStatus", F.lit(run_id))
     ).select(*RUN_LOG.columns)
 
 
-def failed_rows(sources: DataFrame, as_of: AsOf, duration_seconds: int, error: str) -> DataFrame:
+def failed_rows(
+    sources: DataFrame, as_of: AsOf, duration_seconds: int, error: str, run_id: str = ""
+) -> DataFrame:
     nothing = sources.select(
         *KEYS, F.lit(0).alias("RecordsInserted"), F.lit(0).alias("RecordsUpdated")
     )
-    return log_rows(nothing, as_of, duration_seconds, FAILED, error)
+    return log_rows(nothing, as_of, duration_seconds, FAILED, error, run_id)
 
 
 def run_totals(log: DataFrame) -> DataFrame:
@@ -48,10 +53,13 @@ def run_totals(log: DataFrame) -> DataFrame:
 
 
 def merge_result(
-    spark: SparkSession, inserted: int, updated: int, regressions: int | None = None
+    spark: SparkSession, inserted: int, updated: int, regressions: int | None = None,
+    conflicts: int | None = None,
 ) -> DataFrame:
     """The one-row result of a merge job."""
     row = {"RecordsInserted": inserted, "RecordsUpdated": updated}
     if regressions is not None:
         row["RegressionsDetected"] = regressions
+    if conflicts is not None:
+        row["IntervalConflicts"] = conflicts
     return spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])

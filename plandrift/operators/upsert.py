@@ -2,7 +2,9 @@
 
 A merge is one full outer join on the natural key, so each side is shuffled
 once and every row of both sides is seen exactly once. Natural keys are unique,
-hence no key can become hot.
+hence no key can become hot. Stored tables are merged by ``plans.load``, which
+joins keys and compared values only, appends what is new and rewrites no
+partition in which nothing changed.
 """
 
 from __future__ import annotations
@@ -52,6 +54,26 @@ def upsert(
     return joined.select(*merged)
 
 
+def inserted_rows(staging: DataFrame, table: Table, as_of: AsOf) -> DataFrame:
+    """Staged rows as a merge inserts them."""
+    own = {"LoadDate": as_of_column(as_of), "IsRegression": F.lit(False)}
+    if table.surrogate:
+        own[table.surrogate] = F.xxhash64(*table.keys)
+    return staging.select(*[own[c].alias(c) if c in own else F.col(c) for c in table.columns])
+
+
+def merge_marks(target: DataFrame, staging: DataFrame, table: Table, compared: list[str]) -> DataFrame:
+    """Keys of ``staging`` with whether the target has them, and whether a compared value differs."""
+    old = target.select(*table.keys, *[F.col(c).alias(f"_old_{c}") for c in compared], F.lit(True).alias("Known"))
+    same = F.lit(True)
+    for c in compared:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    return staging.select(*table.keys, *compared).join(old, table.keys, "left").select(
+        *table.keys, F.coalesce("Known", F.lit(False)).alias("Known"),
+        (F.col("Known").isNotNull() & ~same).alias("Changed"),
+    )
+
+
 def merge_query(target, staging, as_of) -> DataFrame:
     return upsert(target, staging, S.QUERY, as_of)
 

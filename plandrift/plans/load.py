@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -17,16 +17,17 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from plandrift import schemas as S
 from plandrift.functions.columns import AsOf, as_of_column, pinned
+from plandrift.operators.quality import interval_conflicts
 from plandrift.operators.regression import (
-    DEFAULT_THRESHOLD, detect_plan_regressions, detected_today, flag_regressions,
-    mark_investigated,
+    DEFAULT_THRESHOLD, detect_from_states, detected_today, flag_regressions, mark_investigated,
+    plan_states,
 )
 from plandrift.operators.retention import RetentionPolicy, cleanup, expired_intervals
 from plandrift.operators.runlog import failed_rows, log_rows, merge_result
 from plandrift.operators.upsert import (
-    collapse_wait_buckets, keep_latest, staging_duplicates, upsert,
+    collapse_wait_buckets, inserted_rows, keep_latest, merge_marks, staging_duplicates, upsert,
 )
-from plandrift.schemas import KEYS, QUERY_KEY, Table
+from plandrift.schemas import INTERVAL_KEY, KEYS, QUERY_KEY, Table
 from plandrift.sources.warehouse import Warehouse, shared_dir
 
 # Dimensions first, so that no fact is ever visible without its dimensions.
@@ -57,7 +58,8 @@ class Staging:
 
     def __init__(self, spark: SparkSession, warehouse: Warehouse, run_id: str | None = None):
         self.spark = spark
-        self.root = f"{warehouse.root}/_staging/{run_id or uuid.uuid4().hex}"
+        self.run_id = run_id or uuid.uuid4().hex
+        self.root = f"{warehouse.root}/_staging/{self.run_id}"
 
     def path(self, table: Table) -> str:
         return f"{self.root}/{table.name}"
@@ -127,9 +129,12 @@ def stage_sources(
 def merge_table(warehouse: Warehouse, table: Table, staged: DataFrame, as_of: AsOf) -> DataFrame:
     """Merge staged rows into the stored table; inserted and updated rows per source.
 
-    Only the partitions that receive staged rows are read and rewritten. Every
-    database of a server delivers the server's intervals; should they disagree,
-    the later start is kept (``quality.interval_conflicts`` lists such ids).
+    Keys and updatable columns are compared first. New rows are appended, and only
+    partitions in which a value differs are rewritten, so texts, plans and
+    intervals are never rewritten by a load: the one column of plans that changes
+    is merged into the small activity table. Every database of a server delivers
+    the server's intervals; should they disagree, the later start is kept
+    (``record_interval_conflicts`` stores such ids).
     """
     as_of = pinned(warehouse.spark, as_of)
     if table is S.WAIT:
@@ -139,51 +144,85 @@ def merge_table(warehouse: Warehouse, table: Table, staged: DataFrame, as_of: As
     clash = staging_duplicates(staged, table).limit(1).collect()
     if clash:
         raise DuplicateStagingRows(f"{table.name}: {clash[0].asDict()}")
-    partitions = warehouse.touched(staged, table)
     source = [k for k in KEYS if k in table.columns]
-    target = warehouse.read(table, partitions)
-    # Counted by keys before the write; checkpointed (one row per source), as the write
-    # replaces the files just read.
+    partitions = warehouse.touched(staged, table)
+    known = sorted(set(partitions) & set(warehouse.stored(table)))
+    compared = [] if table is S.PLAN else table.update
+    # Checkpointed, as the writes below replace files that it is read from.
     shared_dir(warehouse.spark)
-    new = staged.join(target.select(*table.keys), table.keys, "left_anti").groupBy(*source).agg(
-        F.count(F.lit(1)).alias("_new")
+    target = warehouse.read(table, known, stored=True)
+    marks = merge_marks(target, staged, table, compared).checkpoint()
+    counts = marks.groupBy(*source).agg(
+        F.count(F.when(~F.col("Known"), 1)).alias("RecordsInserted"),
+        F.count(F.when(F.col("Known"), 1)).alias("RecordsUpdated"),
     )
-    inserted = F.coalesce("_new", F.lit(0))
-    counts = staged.groupBy(*source).agg(F.count(F.lit(1)).alias("_staged")).join(new, source, "left").select(
-        *source, inserted.alias("RecordsInserted"), (F.col("_staged") - inserted).alias("RecordsUpdated")
-    ).checkpoint()
-    if partitions:
-        warehouse.replace_partitions(table, upsert(target, staged, table, as_of))
+    rewritten = warehouse.touched(marks.filter("Changed"), table) if compared and known else []
+    added = marks.filter(~F.col("Known"))
+    if rewritten:
+        rows = warehouse.within(staged, table, rewritten)
+        warehouse.replace_partitions(table, upsert(warehouse.read(table, rewritten, stored=True), rows, table, as_of))
+        added = warehouse.within(added, table, rewritten, inside=False)
+    if not added.isEmpty():
+        new = staged if not known else staged.join(added, table.keys, "left_semi")
+        warehouse.append(table, inserted_rows(new, table, as_of))
+    if table is S.PLAN:
+        merge_table(warehouse, S.PLAN_ACTIVITY, staged.select(*S.PLAN_ACTIVITY.columns), as_of)
     return counts
 
 
+def record_interval_conflicts(warehouse: Warehouse, staged: DataFrame, as_of: AsOf) -> int:
+    """Store the interval ids whose times differ within the extracts or from what is stored.
+
+    Call before the intervals are merged. Returns the number of ids.
+    """
+    columns = [*INTERVAL_KEY, "IntervalStartTime", "IntervalEndTime"]
+    earlier = warehouse.read(S.INTERVAL, warehouse.touched(staged, S.INTERVAL)).select(*columns).join(
+        staged.select(*INTERVAL_KEY).distinct(), INTERVAL_KEY, "left_semi")
+    found = interval_conflicts(staged.select(*columns).unionByName(earlier)).withColumn(
+        "LoadDate", as_of_column(as_of)).select(*S.INTERVAL_CONFLICT.columns).checkpoint()
+    n = found.count()
+    if n:
+        warehouse.append(S.INTERVAL_CONFLICT, found)
+    return n
+
+
+def renew_states(warehouse: Warehouse, partitions: Iterable[tuple] = ()) -> None:
+    """Summarise the given runtime partitions again, and those without a summary.
+
+    Summaries of partitions that are gone are dropped, so the stored states always
+    follow from the stored runtime rows, whoever wrote them.
+    """
+    runtime, states = set(warehouse.stored(S.RUNTIME)), set(warehouse.stored(S.PLAN_STATE))
+    warehouse.drop_partitions(S.PLAN_STATE, sorted(states - runtime))
+    stale = sorted((runtime - states) | (set(partitions) & runtime))
+    if stale:
+        warehouse.replace_partitions(S.PLAN_STATE, plan_states(warehouse.read(S.RUNTIME, stale)))
+
+
 def detect_and_flag(
-    warehouse: Warehouse, sources: DataFrame, as_of: AsOf, threshold: float = DEFAULT_THRESHOLD
+    warehouse: Warehouse, sources: DataFrame, as_of: AsOf, threshold: float = DEFAULT_THRESHOLD,
+    touched: Iterable[tuple] | None = None,
 ) -> int:
-    """Record new regressions of the given sources and flag their runtime rows."""
-    as_of = pinned(warehouse.spark, as_of)
-    tenants = [r.TenantName for r in sources.select("TenantName").distinct().collect()]
-    scope = F.col("TenantName").isin(tenants)
-    runtime = warehouse.read(S.RUNTIME).filter(scope).join(sources, KEYS, "left_semi")
-    existing = warehouse.read(S.REGRESSION).filter(scope)
+    """Record new regressions of the given sources and flag their runtime rows.
 
-    warehouse.append(
-        S.REGRESSION, detect_plan_regressions(runtime, existing, as_of, threshold)
-    )
-    recorded = warehouse.read(S.REGRESSION).filter(scope)
-    new = recorded.filter(F.col("DetectionDate") == as_of_column(as_of)).join(
-        sources, KEYS, "left_semi"
-    ).count()
-    regressed = detected_today(recorded, as_of).select(
-        *QUERY_KEY, F.col("NewPlanId").alias("PlanId")
-    )
-    unflagged = runtime.filter(~F.col("IsRegression")).join(
-        regressed, [*QUERY_KEY, "PlanId"], "left_semi"
-    )
+    Both follow from the stored summaries, renewed for the ``touched`` runtime
+    partitions (all by default); runtime rows are read only where some are flagged.
+    """
+    as_of = pinned(warehouse.spark, as_of)
+    renew_states(warehouse, warehouse.stored(S.RUNTIME) if touched is None else touched)
+    ours = lambda df: df.join(sources, KEYS, "left_semi")
+    states = ours(warehouse.read(S.PLAN_STATE))
+    existing = ours(detected_today(warehouse.read(S.REGRESSION), as_of))
+    warehouse.append(S.REGRESSION, detect_from_states(states, existing, as_of, threshold))
+    recorded = ours(detected_today(warehouse.read(S.REGRESSION), as_of))
+    new = recorded.filter(F.col("DetectionDate") == as_of_column(as_of)).count()
+    regressed = recorded.select(*QUERY_KEY, F.col("NewPlanId").alias("PlanId"))
+    unflagged = states.filter(F.col("UnflaggedRows") > 0).join(regressed, [*QUERY_KEY, "PlanId"], "left_semi")
     partitions = warehouse.touched(unflagged, S.RUNTIME)
     if partitions:
         rows = warehouse.read(S.RUNTIME, partitions)
         warehouse.replace_partitions(S.RUNTIME, flag_regressions(rows, recorded, as_of))
+        renew_states(warehouse, partitions)
     return new
 
 
@@ -192,59 +231,65 @@ def load(
 ) -> DataFrame:
     """Merge everything staged, detect regressions, write the run log.
 
-    Returns inserted, updated and regression counts of the run.
+    Returns inserted, updated, regression and interval-conflict counts of the run.
     """
     spark, started = warehouse.spark, time.monotonic()
     as_of = pinned(spark, as_of)
     tables = [table for table in LOAD_ORDER if staging.has(table)]
     of_source = [table for table in tables if table is not S.INTERVAL]
-    if not of_source:
-        # Intervals alone have no source to log; they are merged all the same.
-        merged = [merge_table(warehouse, table, staging.read(table), as_of) for table in tables]
-        totals = reduce(DataFrame.unionByName, merged).agg(
-            F.sum("RecordsInserted").alias("inserted"), F.sum("RecordsUpdated").alias("updated")
-        ).first() if merged else None
-        return merge_result(spark, totals.inserted or 0, totals.updated or 0, 0) if totals else merge_result(spark, 0, 0, 0)
     sources = reduce(
         DataFrame.unionByName, [staging.read(table).select(*KEYS).distinct() for table in of_source]
-    ).distinct()
+    ).distinct() if of_source else None
+    shared_dir(spark)
     try:
+        conflicts = record_interval_conflicts(warehouse, staging.read(S.INTERVAL), as_of) if S.INTERVAL in tables else 0
         counts = {
             table.name: merge_table(warehouse, table, staging.read(table), as_of)
             for table in tables
         }
         regressions = 0
         if staging.has(S.RUNTIME):
-            regressions = detect_and_flag(warehouse, sources, as_of, threshold)
+            touched = warehouse.touched(staging.read(S.RUNTIME), S.RUNTIME)
+            regressions = detect_and_flag(warehouse, sources, as_of, threshold, touched)
     except Exception as problem:
-        seconds = int(time.monotonic() - started)
-        reason = str(problem).splitlines()[0]
-        warehouse.append(S.RUN_LOG, failed_rows(sources, as_of, seconds, reason))
+        if sources is not None:
+            seconds = int(time.monotonic() - started)
+            reason = str(problem).splitlines()[0]
+            warehouse.append(S.RUN_LOG, failed_rows(sources, as_of, seconds, reason, staging.run_id))
         raise
-    per_source = reduce(DataFrame.unionByName, [counts[table.name] for table in of_source])
-    per_source = per_source.groupBy(*KEYS).agg(
-        F.sum("RecordsInserted").alias("RecordsInserted"),
-        F.sum("RecordsUpdated").alias("RecordsUpdated"),
-    )
-    seconds = int(time.monotonic() - started)
-    warehouse.append(S.RUN_LOG, log_rows(per_source, as_of, seconds))
-    totals = per_source.agg(
+    # Intervals belong to a server; they count only if there is no source to log.
+    logged = of_source or tables
+    if not logged:
+        return merge_result(spark, 0, 0, 0, 0)
+    merged = reduce(DataFrame.unionByName, [
+        counts[table.name].select("RecordsInserted", "RecordsUpdated", *keys)
+        for table in logged for keys in [KEYS if of_source else []]
+    ])
+    if of_source:
+        merged = merged.groupBy(*KEYS).agg(
+            F.sum("RecordsInserted").alias("RecordsInserted"),
+            F.sum("RecordsUpdated").alias("RecordsUpdated"),
+        )
+        seconds = int(time.monotonic() - started)
+        warehouse.append(S.RUN_LOG, log_rows(merged, as_of, seconds, run_id=staging.run_id))
+    totals = merged.agg(
         F.sum("RecordsInserted").alias("inserted"), F.sum("RecordsUpdated").alias("updated")
     ).first()
-    return merge_result(spark, totals.inserted or 0, totals.updated or 0, regressions)
+    return merge_result(spark, totals.inserted or 0, totals.updated or 0, regressions, conflicts)
 
 
 def log_failed_sources(
-    warehouse: Warehouse, results: Sequence[SourceResult], as_of: AsOf
+    warehouse: Warehouse, results: Sequence[SourceResult], as_of: AsOf, run_id: str = ""
 ) -> None:
-    """Run-log rows for sources whose extraction failed."""
-    for r in results:
-        if r.status == "FAILED":
-            source = warehouse.spark.range(1).select(
-                F.lit(r.tenant).alias("TenantName"), F.lit(r.server).alias("ServerName"),
-                F.lit(r.database).alias("DatabaseName"),
-            )
-            warehouse.append(S.RUN_LOG, failed_rows(source, as_of, int(r.seconds), r.error))
+    """Run-log rows for sources whose extraction failed, in one write."""
+    failed = [(r.tenant, r.server, r.database, int(r.seconds), r.error) for r in results if r.status == "FAILED"]
+    if not failed:
+        return
+    rows = warehouse.spark.createDataFrame(
+        failed, "TenantName string, ServerName string, DatabaseName string, seconds int, error string")
+    logged = failed_rows(rows, as_of, 0, "", run_id).drop("ExtractDurationSeconds", "ErrorMessage")
+    warehouse.append(S.RUN_LOG, logged.join(rows, KEYS).withColumnsRenamed(
+        {"seconds": "ExtractDurationSeconds", "error": "ErrorMessage"}))
 
 
 def record_investigation(warehouse: Warehouse, regression_id: int, note: str) -> None:
@@ -297,6 +342,7 @@ def apply_retention(
     if drop_stale_plans:
         _rewrite(warehouse, S.PLAN, kept_plans, tenants(t.plans, S.PLAN))
     _rewrite(warehouse, S.RUNTIME, kept.runtime, runtime_parts)
+    renew_states(warehouse, runtime_parts)
     _rewrite(warehouse, S.WAIT, kept.waits, wait_parts)
     _rewrite(warehouse, S.REGRESSION, kept.regressions, tenants(t.regressions, S.REGRESSION))
     if policy is not None:

@@ -21,6 +21,11 @@ INTERVAL_KEY = ["TenantName", "ServerName", "RuntimeStatsIntervalId"]
 INTERVALS_PER_BUCKET = 100
 BUCKET_COLUMN = "IntervalBucket"
 
+# Queries and plans get ascending ids, so ranges of ids are ranges of age: what a
+# load updates lies in few of them.
+IDS_PER_BUCKET = 10_000
+ID_BUCKET_COLUMN = "IdBucket"
+
 _TYPES = {
     "string": T.StringType(),
     "long": T.LongType(),
@@ -30,6 +35,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "date": T.DateType(),
     "binary": T.BinaryType(),
+    "series": T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("d", T.DoubleType())])),
 }
 
 
@@ -58,6 +64,16 @@ class Table:
     update: list[str] = field(default_factory=list)
     surrogate: str | None = None
     by_interval: bool = False
+    by_id: str | None = None
+
+    @property
+    def bucket(self) -> tuple[str, str, int] | None:
+        """Partition column below the tenant, the id it is a range of, and its width."""
+        if self.by_interval:
+            return BUCKET_COLUMN, "RuntimeStatsIntervalId", INTERVALS_PER_BUCKET
+        if self.by_id:
+            return ID_BUCKET_COLUMN, self.by_id, IDS_PER_BUCKET
+        return None
 
     @property
     def columns(self) -> list[str]:
@@ -65,7 +81,7 @@ class Table:
 
     @property
     def partitions(self) -> list[str]:
-        return ["TenantName", BUCKET_COLUMN] if self.by_interval else ["TenantName"]
+        return ["TenantName", self.bucket[0]] if self.bucket else ["TenantName"]
 
     @property
     def staging_schema(self) -> T.StructType:
@@ -100,6 +116,7 @@ QUERY = Table(
         "AvgCompileMemoryMb", "MaxCompileMemoryMb", "CompilationEndTime",
         "LastCompilationBatchUTC",
     ],
+    by_id="QueryId",
 )
 
 QUERY_TEXT = Table(
@@ -124,6 +141,25 @@ PLAN = Table(
     update=["LastExecutionTime"],
 )
 
+# The one column of plans that changes, apart from them: plans are appended only.
+PLAN_ACTIVITY = Table(
+    "QueryStorePlanActivity",
+    _struct(*_keys(), "PlanId long", "LastExecutionTime timestamp"),
+    keys=PLAN_KEY,
+    update=["LastExecutionTime"],
+    by_id="PlanId",
+)
+
+# Interval ids that a load was given with several times; the latest start was kept.
+INTERVAL_CONFLICT = Table(
+    "RuntimeStatsIntervalConflict",
+    _struct(
+        "TenantName string", "ServerName string", "RuntimeStatsIntervalId int", "Versions long",
+        "FirstStart timestamp", "LastStart timestamp", "LoadDate timestamp",
+    ),
+    keys=[*INTERVAL_KEY, "LoadDate"],
+)
+
 _RUNTIME_METRICS = [
     "CountExecutions long",
     *_avg_max_min("DurationMs", "double"),
@@ -165,6 +201,20 @@ WAIT = Table(
     by_interval=True,
 )
 
+# Summaries of runtime rows per plan and bucket of intervals, from which plan
+# regressions are found (see ``operators.regression``). The interval id is the
+# first of the bucket; a load renews the buckets it touched.
+PLAN_STATE = Table(
+    "PlanBucketStates",
+    _struct(
+        *_keys(), "QueryId long", "PlanId long", "RuntimeStatsIntervalId int", "StateRows long", "UnflaggedRows long",
+        "DurationSum double", "FastestMs double", "SlowestMs double",
+        "FirstInterval int", "LastInterval int", "Series series",
+    ),
+    keys=[*KEYS, "RuntimeStatsIntervalId", "QueryId", "PlanId"],
+    by_interval=True,
+)
+
 RUN_LOG = Table(
     "ETLControl",
     _struct(

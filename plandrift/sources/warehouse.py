@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plandrift import schemas as S
-from plandrift.functions.columns import interval_bucket
+from plandrift.functions.columns import partition_bucket
 from plandrift.schemas import Table
 
 
@@ -55,8 +55,8 @@ def lay_out(df: DataFrame, table: Table) -> DataFrame:
     ``rebalance`` lets adaptive execution cut an oversized tenant into several
     tasks and merge small ones, so one large tenant does not become one task.
     """
-    if table.by_interval:
-        df = df.withColumn(S.BUCKET_COLUMN, interval_bucket())
+    if table.bucket:
+        df = df.withColumn(table.bucket[0], partition_bucket(table))
     inner = [c for c in ("ServerName", "DatabaseName", "QueryId", "PlanId") if c in df.columns]
     return df.hint("rebalance", *[F.col(p) for p in table.partitions]).sortWithinPartitions(
         *table.partitions, *inner
@@ -79,17 +79,41 @@ class Warehouse:
         fs, path = self._filesystem(self.path(table))
         return fs.exists(path)
 
-    def read(self, table: Table, partitions: Iterable[tuple] | None = None) -> DataFrame:
-        """The table's columns; ``partitions`` restricts the scan to those values."""
+    def read(
+        self, table: Table, partitions: Iterable[tuple] | None = None, stored: bool = False
+    ) -> DataFrame:
+        """The table's columns; ``partitions`` restricts the scan to those values.
+
+        Plans come with their last execution from the activity table; ``stored``
+        leaves them as they were appended.
+        """
         schema = table.schema
-        if table.by_interval:
-            schema = T.StructType([*schema.fields, T.StructField(S.BUCKET_COLUMN, T.IntegerType())])
+        if table.bucket:
+            schema = T.StructType([*schema.fields, T.StructField(table.bucket[0], T.IntegerType())])
         if not self.exists(table):
             return self.spark.createDataFrame([], table.schema)
         df = self.spark.read.schema(schema).parquet(self.path(table))
         if partitions is not None:
+            partitions = list(partitions)
             df = df.filter(self._partition_predicate(table, partitions))
-        return df.select(*table.columns)
+        df = df.select(*table.columns)
+        if table is S.PLAN and not stored and self.exists(S.PLAN_ACTIVITY):
+            last = self.read(S.PLAN_ACTIVITY).withColumnRenamed("LastExecutionTime", "_last")
+            if partitions is not None:
+                last = last.filter(F.col("TenantName").isin(sorted({tenant for tenant, *_ in partitions})))
+            latest = F.coalesce("_last", "LastExecutionTime").alias("LastExecutionTime")
+            df = df.join(last, S.PLAN_KEY, "left").select(
+                *[latest if c == "LastExecutionTime" else F.col(c) for c in table.columns]
+            )
+        return df
+
+    def within(self, df: DataFrame, table: Table, partitions: Iterable[tuple], inside: bool = True) -> DataFrame:
+        """Rows of ``df`` that belong into the given partitions, or that do not."""
+        if table.bucket:
+            df = df.withColumn(table.bucket[0], partition_bucket(table))
+        match = self._partition_predicate(table, partitions)
+        df = df.filter(match if inside else ~match)
+        return df.drop(table.bucket[0]) if table.bucket else df
 
     @staticmethod
     def _partition_predicate(table: Table, partitions: Iterable[tuple]):
@@ -103,16 +127,35 @@ class Warehouse:
         predicate = F.lit(False)
         for buckets, tenants in sorted(tenants_of.items()):
             match = F.col("TenantName").isin(sorted(tenants))
-            if table.by_interval:
-                match = match & F.col(S.BUCKET_COLUMN).isin(list(buckets))
+            if table.bucket:
+                match = match & F.col(table.bucket[0]).isin(list(buckets))
             predicate = predicate | match
         return predicate
 
     def touched(self, df: DataFrame, table: Table) -> list[tuple]:
         """Partition values that occur in ``df``: one entry per stored folder."""
-        columns = [F.col("TenantName")] + ([interval_bucket()] if table.by_interval else [])
+        columns = [F.col("TenantName")] + ([partition_bucket(table)] if table.bucket else [])
         return sorted(tuple(r) for r in df.select(*columns).distinct().collect())
 
+    def stored(self, table: Table) -> list[tuple]:
+        """Partition values that the table has, from its folders alone."""
+        if not self.exists(table):
+            return []
+        fs, path = self._filesystem(self.path(table))
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        folders = [(status.getPath(), ()) for status in fs.listStatus(path) if status.isDirectory()]
+        for depth, name in enumerate(table.partitions):
+            found = []
+            for folder, values in folders:
+                key, _, value = folder.getName().partition("=")
+                if key != name:
+                    continue
+                values = (*values, unescape(value) if depth == 0 else int(value))
+                below = fs.listStatus(folder) if depth + 1 < len(table.partitions) else []
+                found += [(s.getPath(), values) for s in below if s.isDirectory()] or [(folder, values)]
+            folders = found
+        return sorted({values for _, values in folders if len(values) == len(table.partitions)})
+
     def append(self, table: Table, df: DataFrame) -> None:
         self._write(table, df, "append")
 
@@ -128,17 +171,32 @@ class Warehouse:
         """
         self._write(table, df, "overwrite", "dynamic")
 
+    def compact(self, table: Table, most_files: int = 16) -> list[tuple]:
+        """Rewrite partitions of more files than that, as appends leave one or more each.
+
+        Returns the partitions rewritten; their rows stay the same.
+        """
+        if not self.exists(table):
+            return []
+        fs, _ = self._filesystem(self.path(table))
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        crowded = []
+        for values in self.stored(table):
+            files = fs.listStatus(path_of(f"{self.path(table)}/{self._folder(table, values)}"))
+            if sum(status.getPath().getName().startswith("part-") for status in files) > most_files:
+                crowded.append(values)
+        if crowded:
+            self.replace_partitions(table, self.read(table, crowded, stored=True))
+        return crowded
+
+    def _folder(self, table: Table, values: tuple) -> str:
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return "/".join(f"{name}={escape(str(value))}" for name, value in zip(table.partitions, values))
+
     def drop_partitions(self, table: Table, partitions: Iterable[tuple]) -> None:
         """Delete whole partitions: an overwrite never touches an emptied one."""
-        listing = (
-            self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        )
         for values in partitions:
-            folder = "/".join(
-                f"{name}={listing.escapePathName(str(value))}"
-                for name, value in zip(table.partitions, values)
-            )
-            fs, path = self._filesystem(f"{self.path(table)}/{folder}")
+            fs, path = self._filesystem(f"{self.path(table)}/{self._folder(table, values)}")
             fs.delete(path, True)
 
     def _write(self, table: Table, df: DataFrame, mode: str, overwrite: str = "static") -> None:

@@ -152,7 +152,7 @@ def test_load_merges_detects_flags_and_logs(spark, make, tmp_path):
     results = L.stage_sources(staging, sources, extract_one)
     assert [(r.tenant, r.status, r.records) for r in results] == [
         ("A", "SUCCESS", 3), ("B", "SUCCESS", 3), ("C", "FAILED", 0)]
-    assert tuple(L.load(warehouse, staging, AS_OF).first()) == (6, 0, 1)
+    assert tuple(L.load(warehouse, staging, AS_OF).first()) == (6, 0, 1, 0)
     L.log_failed_sources(warehouse, results, AS_OF)
 
     flagged = warehouse.read(S.RUNTIME).filter("IsRegression").collect()
@@ -168,7 +168,7 @@ def test_load_merges_detects_flags_and_logs(spark, make, tmp_path):
     again = L.Staging(spark, warehouse)
     L.stage_sources(again, sources[:2], extract_one)
     before = warehouse.read(S.RUNTIME).collect()
-    assert tuple(L.load(warehouse, again, "2024-03-10 18:00:00").first()) == (0, 6, 0)
+    assert tuple(L.load(warehouse, again, "2024-03-10 18:00:00").first()) == (0, 6, 0, 0)
     assert sorted(before) == sorted(warehouse.read(S.RUNTIME).collect())
 
 
@@ -196,7 +196,7 @@ def test_load_at_the_wall_clock_counts_its_inserts(spark, make, tmp_path):
     staging = L.Staging(spark, warehouse)
     for table, rows in raw_source(spark, make, "A", {1: 10.0, 2: 20.0}).items():
         staging.write(S.TABLES[table], rows)
-    assert tuple(L.load(warehouse, staging, None).first()) == (3, 0, 1)
+    assert tuple(L.load(warehouse, staging, None).first()) == (3, 0, 1, 0)
 
 
 def test_databases_may_disagree_on_an_interval(spark, make, tmp_path):
@@ -212,7 +212,7 @@ def test_databases_may_disagree_on_an_interval(spark, make, tmp_path):
 
 def test_empty_load(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
-    assert tuple(L.load(warehouse, L.Staging(spark, warehouse), AS_OF).first()) == (0, 0, 0)
+    assert tuple(L.load(warehouse, L.Staging(spark, warehouse), AS_OF).first()) == (0, 0, 0, 0)
 
 
 def test_refresh_loads_only_new_files(spark, make, tmp_path):

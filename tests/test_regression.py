@@ -43,21 +43,36 @@ def test_agrees_with_all_row_pairs(runtime, rows, threshold):
     # Several rows of a plan in one interval differ in their execution type.
     rows = [(*r, {"ExecutionType": n}) for n, r in enumerate(rows)]
     expected = brute_force(rows, threshold)
-    for plans_per_group in (2, 256):
+    for intervals_per_bucket in (1, 2, 100):
         got = detected(R.detect_plan_regressions(
-            runtime(*rows), None, AS_OF, threshold, plans_per_group))
+            runtime(*rows), None, AS_OF, threshold, intervals_per_bucket))
         assert got.keys() == expected.keys()
         for key, (old, new) in expected.items():
             assert got[key] == pytest.approx((old, new))
 
 
-def test_hot_query_splits_without_losing_pairs(runtime):
+def test_buckets_of_any_width_give_the_same_pairs(runtime):
     rows = [("A", 1, plan, interval, float(plan * 10 + interval))
-            for plan in range(1, 31) for interval in (1, 2, 3)]
+            for plan in range(1, 31) for interval in (1, 2, 3, 250, 251, 900)]
     whole = detected(R.plan_pair_averages(runtime(*rows), -1.0, 1000))
-    split = detected(R.plan_pair_averages(runtime(*rows), -1.0, 4))
     assert len(whole) == 30 * 29
-    assert split == whole
+    for width in (1, 2, 100):
+        split = detected(R.plan_pair_averages(runtime(*rows), -1.0, width))
+        assert split.keys() == whole.keys()
+        assert all(split[pair] == pytest.approx(whole[pair]) for pair in whole)
+
+
+def test_a_state_holds_no_more_than_its_bucket(runtime):
+    """However long the history of a plan: its rows are spread over buckets."""
+    rows = [("A", 1, plan, interval, float(interval), {"ExecutionType": kind})
+            for plan in (1, 2) for interval in range(0, 1000, 10) for kind in (0, 1)]
+    states = R.plan_states(runtime(*rows), 100).collect()
+    assert len(states) == 20 and {len(s.Series) for s in states} == {20}
+    assert all(s.RuntimeStatsIntervalId <= s.FirstInterval <= s.LastInterval < s.RuntimeStatsIntervalId + 100
+               for s in states)
+    # The old plan's last bucket and a later one of the new plan pair by totals alone.
+    late = [("A", 1, 1, 5, 4.0), ("A", 1, 1, 105, 8.0), ("A", 1, 2, 720, 30.0), ("A", 1, 3, 9000, 1.0)]
+    assert detected(R.plan_pair_averages(runtime(*late), 0.25)) == {("A", 1, 1, 2): (6.0, 30.0)}
 
 
 def test_equal_intervals_do_not_pair(runtime):
