@@ -13,7 +13,7 @@ from plandrift.schemas import INTERVAL_KEY, KEYS, PLAN_KEY, QUERY_KEY
 from plandrift.sources import config, extract
 from plandrift.sources.fixture import AS_OF, _wait_events
 from plandrift.sources.warehouse import Warehouse, shared_dir
-from plandrift.streaming.ingest import refresh
+from plandrift.streaming.ingest import refresh_all
 
 CHECKS: dict[str, Check] = {}
 
@@ -695,24 +695,73 @@ CHECKS["d_required_nulls"] = Check(
 )
 
 
-def _incremental(f):
+def _refreshed(f):
+    """Two runs over all six tables; the wait buckets of a key land in different runs."""
     root = _new_root(f)
     warehouse = Warehouse(f.spark, root)
-    target, staged = _split(f)
-    columns = S.RUNTIME.staging_schema.fieldNames()
-    for extract_rows in (target, staged):
-        extract_rows.select(*columns).write.mode("append").parquet(f"{root}/landing")
-        refresh(
-            f.spark, warehouse, S.RUNTIME, f"{root}/landing", f"{root}/checkpoint",
-            lambda: AS_OF, ["CountExecutions"],
-        ).awaitTermination()
-    return warehouse.read(S.RUNTIME).groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("CountExecutions").alias("executions"))
-
-
+    raw, categories = _raw_waits(f)
+    buckets = extract.extract_wait_buckets(raw, _raw_runtime(f), _raw_intervals(f), categories)
+    halves = {table.name: (table, target, staged) for table, target, staged in _halves(f)}
+    bucket = F.col("QueryWaitTimeCategory")
+    halves[S.WAIT.name] = (S.WAIT, buckets.filter(bucket == 0), buckets.filter(bucket != 0))
+    for run in (1, 2):
+        for table, *parts in halves.values():
+            parts[run - 1].select(*table.staging_schema.fieldNames()).write.mode("append").parquet(
+                f"{root}/landing/{table.name}")
+        refresh_all(f.spark, warehouse, f"{root}/landing", f"{root}/checkpoint", lambda: AS_OF)
+    totals = [
+        (S.INTERVAL, "RuntimeStatsIntervalId"), (S.QUERY, "CompilationCount"), (S.QUERY_TEXT, "QueryTextId"),
+        (S.PLAN, "PlanId"), (S.RUNTIME, "CountExecutions"), (S.WAIT, "TotalWaitTimeMs"),
+        (S.REGRESSION, "NewPlanId"), (S.RUN_LOG, "RecordsInserted"),
+    ]
+    frames = [(table.name, warehouse.read(table), column) for table, column in totals]
+    frames.append(("Flagged", warehouse.read(S.RUNTIME).filter("IsRegression"), "PlanId"))
+    return extract.combine([
+        df.groupBy("TenantName").agg(F.count(F.lit(1)).alias("n"), F.sum(column).cast("long").alias("total"))
+        .withColumn("TableName", F.lit(name)) for name, df, column in frames])
+
+
+_EARLY = f"""SELECT {QK}, OldPlanId, NewPlanId FROM (
+      SELECT o.TenantName, o.ServerName, o.DatabaseName, o.QueryId, o.PlanId AS OldPlanId,
+        n.PlanId AS NewPlanId, avg(o.AvgDurationMs) AS a, avg(n.AvgDurationMs) AS b
+      FROM rt o JOIN rt n USING ({QK})
+      WHERE o.PlanId <> n.PlanId AND o.RuntimeStatsIntervalId < n.RuntimeStatsIntervalId
+        AND n.RuntimeStatsIntervalId < 8000 GROUP BY ALL) WHERE a <> 0 AND (b - a) / a > 0.25"""
+_EVER = f"SELECT {QK}, OldPlanId, NewPlanId FROM found UNION SELECT * FROM early"
+_WAIT_KEYS = f"""SELECT {QK}, PlanId, RuntimeStatsIntervalId, WaitCategory, min(bucket) AS first,
+      CAST(sum(cents) AS BIGINT) AS total
+    FROM wait_events SEMI JOIN rt USING ({QK}, PlanId, RuntimeStatsIntervalId) GROUP BY ALL"""
+_INSERTED = " UNION ALL ".join([
+    "SELECT TenantName, DatabaseName, ServerName, count(*) AS n FROM rt WHERE RuntimeStatsIntervalId {0} 8000 GROUP BY ALL",
+    "SELECT TenantName, DatabaseName, ServerName, count(*) AS n FROM landed WHERE first {4} 0 GROUP BY ALL",
+    "SELECT TenantName, DatabaseName, ServerName, count(*) AS n FROM queries WHERE QueryId % 5 {1} 0 {2} GROUP BY ALL",
+    "SELECT TenantName, DatabaseName, ServerName, count(*) AS n FROM texts WHERE QueryTextId % 5 {1} 0 GROUP BY ALL",
+    "SELECT TenantName, DatabaseName, ServerName, count(*) AS n FROM plans WHERE PlanId % 3 {1} 0 {3} GROUP BY ALL",
+])
 CHECKS["r34_incremental_refresh"] = Check(
-    _incremental,
-    f"""SELECT {K}, count(*) AS n, CAST(sum(CountExecutions +
-      CASE WHEN RuntimeStatsIntervalId >= 7998 THEN 1 ELSE 0 END) AS BIGINT) AS executions
-      FROM rt GROUP BY {K}""", ["rt"],
+    _refreshed,
+    """SELECT 'RuntimeStatsInterval' AS TableName, TenantName, count(*) AS n,
+        CAST(sum(RuntimeStatsIntervalId) AS BIGINT) AS total FROM intervals GROUP BY TenantName
+      UNION ALL SELECT 'QueryStoreQuery', TenantName, count(*),
+        CAST(sum(CompilationCount + CASE WHEN QueryId % 2 = 0 THEN 100 ELSE 0 END) AS BIGINT)
+        FROM queries WHERE QueryId % 5 <> 0 OR QueryId % 2 = 0 GROUP BY TenantName
+      UNION ALL SELECT 'QueryStoreQueryText', TenantName, count(*), CAST(sum(QueryTextId) AS BIGINT) FROM texts GROUP BY TenantName
+      UNION ALL SELECT 'QueryStorePlan', TenantName, count(*), CAST(sum(PlanId) AS BIGINT)
+        FROM plans WHERE PlanId % 3 <> 0 OR PlanId % 2 = 0 GROUP BY TenantName
+      UNION ALL SELECT 'QueryStoreRuntimeStats', TenantName, count(*), CAST(sum(CountExecutions +
+        CASE WHEN RuntimeStatsIntervalId >= 7998 THEN 1 ELSE 0 END) AS BIGINT) FROM rt GROUP BY TenantName
+      UNION ALL SELECT 'QueryStoreWaitStats', TenantName, count(*), CAST(sum(total) AS BIGINT) FROM landed GROUP BY TenantName
+      UNION ALL SELECT 'PlanRegressions', TenantName, count(*), CAST(sum(NewPlanId) AS BIGINT) FROM ever GROUP BY TenantName
+      UNION ALL SELECT 'ETLControl', TenantName, count(*), CAST(sum(n) AS BIGINT) FROM runs GROUP BY TenantName
+      UNION ALL SELECT 'Flagged', TenantName, count(*), CAST(sum(PlanId) AS BIGINT) FROM rt
+        SEMI JOIN (SELECT TenantName, ServerName, DatabaseName, QueryId, NewPlanId AS PlanId FROM ever)
+        USING (TenantName, ServerName, DatabaseName, QueryId, PlanId) GROUP BY TenantName""",
+    ["rt", "wait_events", "queries", "texts", "plans", "intervals", "found"],
+    extra={
+        "early": _EARLY, "ever": _EVER, "landed": _WAIT_KEYS,
+        "runs": "SELECT TenantName, ServerName, DatabaseName, run, sum(n) AS n FROM ("
+                + f"SELECT 1 AS run, * FROM ({_INSERTED.format('<', '<>', '', '', '=')}) UNION ALL SELECT 2, * FROM ("
+                + _INSERTED.format(">=", "=", "AND QueryId % 2 = 0", "AND PlanId % 2 = 0", "<>")
+                + ")) GROUP BY ALL",
+    },
 )

@@ -63,10 +63,9 @@ def plan_states(runtime: DataFrame, intervals_per_bucket: int = S.INTERVALS_PER_
     interval, duration = F.col("RuntimeStatsIntervalId"), F.col("AvgDurationMs")
     first = (F.floor(interval / intervals_per_bucket) * intervals_per_bucket).cast("int")
     return (
-        runtime.select(*QUERY_KEY, "PlanId", first.alias("_bucket"), interval.alias("i"), duration.alias("d"),
-                       F.when(~F.col("IsRegression"), 1).alias("unflagged"))
+        runtime.select(*QUERY_KEY, "PlanId", first.alias("_bucket"), interval.alias("i"), duration.alias("d"))
         .groupBy(*QUERY_KEY, "PlanId", "_bucket").agg(
-            F.count(F.lit(1)).alias("StateRows"), F.count("unflagged").alias("UnflaggedRows"), F.sum("d").alias("DurationSum"),
+            F.count(F.lit(1)).alias("StateRows"), F.sum("d").alias("DurationSum"),
             F.min("d").alias("FastestMs"), F.max("d").alias("SlowestMs"),
             F.min("i").alias("FirstInterval"), F.max("i").alias("LastInterval"),
             F.sort_array(F.collect_list(F.struct("i", "d"))).alias("Series"),

@@ -217,15 +217,31 @@ def detect_and_flag(
     recorded = ours(detected_today(warehouse.read(S.REGRESSION), as_of))
     new = recorded.filter(F.col("DetectionDate") == as_of_column(as_of)).count()
     regressed = recorded.select(*QUERY_KEY, F.col("NewPlanId").alias("PlanId"))
-    unflagged = states.filter(F.col("UnflaggedRows") > 0).join(regressed, [*QUERY_KEY, "PlanId"], "left_semi")
+    # Where those plans have rows follows from the summaries; flags are read there only.
+    known = states.join(regressed, [*QUERY_KEY, "PlanId"], "left_semi")
+    unflagged = warehouse.read(S.RUNTIME, warehouse.touched(known, S.RUNTIME)).filter(
+        ~F.col("IsRegression")).join(regressed, [*QUERY_KEY, "PlanId"], "left_semi")
     partitions = warehouse.touched(unflagged, S.RUNTIME)
     if partitions:
         rows = warehouse.read(S.RUNTIME, partitions)
         warehouse.replace_partitions(S.RUNTIME, flag_regressions(rows, recorded, as_of))
-        renew_states(warehouse, partitions)
     return new
 
 
+def merge_staged(warehouse: Warehouse, staging: Staging, tables: Sequence[Table], as_of: AsOf) -> dict[str, DataFrame]:
+    """Merge the tables' staged rows; counts by table. Dimensions come before facts,
+    and the tables of either kind side by side, as they share nothing."""
+    def merge(table: Table) -> tuple[str, DataFrame]:
+        return table.name, merge_table(warehouse, table, staging.read(table), as_of)
+
+    counts: dict[str, DataFrame] = {}
+    for facts in (False, True):
+        kind = [table for table in tables if table.by_interval == facts]
+        with ThreadPoolExecutor(max_workers=max(1, len(kind))) as pool:
+            counts.update(pool.map(merge, kind))
+    return counts
+
+
 def load(
     warehouse: Warehouse, staging: Staging, as_of: AsOf, threshold: float = DEFAULT_THRESHOLD
 ) -> DataFrame:
@@ -243,10 +259,7 @@ def load(
     shared_dir(spark)
     try:
         conflicts = record_interval_conflicts(warehouse, staging.read(S.INTERVAL), as_of) if S.INTERVAL in tables else 0
-        counts = {
-            table.name: merge_table(warehouse, table, staging.read(table), as_of)
-            for table in tables
-        }
+        counts = merge_staged(warehouse, staging, tables, as_of)
         regressions = 0
         if staging.has(S.RUNTIME):
             touched = warehouse.touched(staging.read(S.RUNTIME), S.RUNTIME)
@@ -344,6 +357,9 @@ def apply_retention(
     _rewrite(warehouse, S.RUNTIME, kept.runtime, runtime_parts)
     renew_states(warehouse, runtime_parts)
     _rewrite(warehouse, S.WAIT, kept.waits, wait_parts)
+    # Landed buckets leave when the whole partition has.
+    gone = set(wait_parts) - set(warehouse.stored(S.WAIT))
+    warehouse.drop_partitions(S.WAIT_BUCKET, sorted(gone))
     _rewrite(warehouse, S.REGRESSION, kept.regressions, tenants(t.regressions, S.REGRESSION))
     if policy is not None:
         _rewrite(warehouse, S.RUN_LOG, kept.run_log, tenants(t.run_log, S.RUN_LOG))

@@ -26,6 +26,9 @@ BUCKET_COLUMN = "IntervalBucket"
 IDS_PER_BUCKET = 10_000
 ID_BUCKET_COLUMN = "IdBucket"
 
+# Rows kept per landed batch replace themselves if the batch is repeated.
+BATCH_COLUMN = "LandingBatch"
+
 _TYPES = {
     "string": T.StringType(),
     "long": T.LongType(),
@@ -65,6 +68,7 @@ class Table:
     surrogate: str | None = None
     by_interval: bool = False
     by_id: str | None = None
+    by_batch: bool = False
 
     @property
     def bucket(self) -> tuple[str, str, int] | None:
@@ -81,7 +85,8 @@ class Table:
 
     @property
     def partitions(self) -> list[str]:
-        return ["TenantName", self.bucket[0]] if self.bucket else ["TenantName"]
+        below = [self.bucket[0]] if self.bucket else []
+        return ["TenantName", *below, *([BATCH_COLUMN] if self.by_batch else [])]
 
     @property
     def staging_schema(self) -> T.StructType:
@@ -201,13 +206,26 @@ WAIT = Table(
     by_interval=True,
 )
 
+# Wait buckets as they landed. Those of one key can land in several batches; the
+# key's waits are summed over all of them (see ``streaming.ingest``).
+WAIT_BUCKET = Table(
+    "QueryStoreWaitBuckets",
+    T.StructType([
+        *[f for f in WAIT.schema.fields if f.name not in ("WaitStatsId", "LoadDate")],
+        T.StructField(BATCH_COLUMN, T.LongType(), False),
+    ]),
+    keys=[*WAIT.keys, "QueryWaitTimeCategory", BATCH_COLUMN],
+    by_interval=True,
+    by_batch=True,
+)
+
 # Summaries of runtime rows per plan and bucket of intervals, from which plan
 # regressions are found (see ``operators.regression``). The interval id is the
 # first of the bucket; a load renews the buckets it touched.
 PLAN_STATE = Table(
     "PlanBucketStates",
     _struct(
-        *_keys(), "QueryId long", "PlanId long", "RuntimeStatsIntervalId int", "StateRows long", "UnflaggedRows long",
+        *_keys(), "QueryId long", "PlanId long", "RuntimeStatsIntervalId int", "StateRows long",
         "DurationSum double", "FastestMs double", "SlowestMs double",
         "FirstInterval int", "LastInterval int", "Series series",
     ),
