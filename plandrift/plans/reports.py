@@ -90,7 +90,7 @@ def table_row_counts(t: Telemetry) -> DataFrame:
 # --- performance --------------------------------------------------------------
 
 def slowest_queries(t: Telemetry, as_of: AsOf, days: int = 7, n: int = 20) -> DataFrame:
-    per_query = since_days(t.runtime, "LoadDate", as_of, days).groupBy(*QUERY_KEY).agg(
+    per_query = t.loaded_since("runtime", as_of, days).groupBy(*QUERY_KEY).agg(
         F.avg("AvgDurationMs").alias("AvgDurationMs"),
         F.max("MaxDurationMs").alias("MaxDurationMs"),
         F.sum("CountExecutions").alias("TotalExecutions"),
@@ -216,7 +216,7 @@ def _grouped_waits(waits: DataFrame) -> DataFrame:
 
 
 def waits_by_group(t: Telemetry, as_of: AsOf, days: int = 7) -> DataFrame:
-    waits = _grouped_waits(since_days(t.waits, "LoadDate", as_of, days))
+    waits = _grouped_waits(t.loaded_since("waits", as_of, days))
     totals = waits.groupBy(*HOST, "WaitCategoryGroup").agg(
         F.sum("minutes").alias("TotalWaitMinutes"), F.sum("CountWaits").alias("TotalWaits"),
         F.avg("AvgWaitTimeMs").alias("AvgWaitTimeMs"),
@@ -227,7 +227,7 @@ def waits_by_group(t: Telemetry, as_of: AsOf, days: int = 7) -> DataFrame:
 
 
 def waiting_queries(t: Telemetry, as_of: AsOf, days: int = 7, n: int = 50) -> DataFrame:
-    waits = _grouped_waits(since_days(t.waits, "LoadDate", as_of, days))
+    waits = _grouped_waits(t.loaded_since("waits", as_of, days))
     per_query = waits.groupBy(*QUERY_KEY, "WaitCategoryGroup").agg(
         F.sum("minutes").alias("minutes"), F.sum("CountWaits").alias("waits"),
         *_mean_of("AvgWaitTimeMs"),
@@ -245,7 +245,7 @@ def waiting_queries(t: Telemetry, as_of: AsOf, days: int = 7, n: int = 50) -> Da
 def memory_pressure(
     t: Telemetry, as_of: AsOf, days: int = 1, min_minutes: float = 60
 ) -> DataFrame:
-    waits = _grouped_waits(since_days(t.waits, "LoadDate", as_of, days))
+    waits = _grouped_waits(t.loaded_since("waits", as_of, days))
     affected = waits.filter(F.col("WaitCategoryGroup") == "Memory Pressure").groupBy(*HOST).agg(
         F.sum("minutes").alias("MemoryWaitMinutes"),
         F.count_distinct("QueryId").alias("AffectedQueries"),
@@ -375,7 +375,7 @@ def _query_grain(runtime: DataFrame) -> DataFrame:
 
 
 def tenant_performance(t: Telemetry, as_of: AsOf, days: int = 7) -> DataFrame:
-    grain = _query_grain(since_days(t.runtime, "LoadDate", as_of, days))
+    grain = _query_grain(t.loaded_since("runtime", as_of, days))
     return grain.groupBy("TenantName").agg(
         F.count_distinct("ServerName").alias("ServerCount"),
         F.count_distinct("DatabaseName").alias("DatabaseCount"),
@@ -388,7 +388,7 @@ def tenant_performance(t: Telemetry, as_of: AsOf, days: int = 7) -> DataFrame:
 
 
 def server_comparison(t: Telemetry, as_of: AsOf, days: int = 7) -> DataFrame:
-    grain = _query_grain(since_days(t.runtime, "LoadDate", as_of, days))
+    grain = _query_grain(t.loaded_since("runtime", as_of, days))
     return grain.groupBy("ServerName").agg(
         F.count_distinct("TenantName").alias("TenantCount"),
         F.count_distinct("DatabaseName").alias("DatabaseCount"),

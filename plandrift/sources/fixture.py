@@ -346,9 +346,6 @@ class Fixture:
 
     @property
     def telemetry(self) -> Telemetry:
-        return Telemetry(
-            runtime=self.table(S.RUNTIME), waits=self.table(S.WAIT),
-            intervals=self.table(S.INTERVAL), queries=self.table(S.QUERY),
-            texts=self.table(S.QUERY_TEXT), plans=self.table(S.PLAN),
-            regressions=self.table(S.REGRESSION), run_log=self.table(S.RUN_LOG),
-        )
+        for table in S.TABLES.values():
+            self.table(table)
+        return self.warehouse.telemetry()

@@ -3,18 +3,26 @@
 Facts are partitioned by tenant and by a bucket of interval ids, dimensions by
 tenant. A merge or a retention run therefore reads and rewrites only the
 partitions its rows fall into, never a whole fact table.
+
+Load dates do not follow from interval ids, so a zone map holds the first and
+last load date of every file of a fact. Files never change: only those that the
+map does not know yet are measured, and windows over load dates scan no
+partition that lies before them.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plandrift import schemas as S
-from plandrift.functions.columns import partition_bucket
+from plandrift.functions.columns import AsOf, ago, partition_bucket, start_of_day
+from plandrift.functions.filters import since_days
 from plandrift.schemas import Table
 
 
@@ -47,6 +55,21 @@ class Telemetry:
     plans: DataFrame
     regressions: DataFrame
     run_log: DataFrame
+    #: Where the facts are stored, and the facts as read from there.
+    warehouse: Warehouse | None = None
+    stored: tuple[DataFrame, DataFrame] | None = None
+
+    def loaded_since(self, fact: str, as_of: AsOf, days: int) -> DataFrame:
+        """Rows of ``runtime`` or ``waits`` loaded in the last ``days`` days.
+
+        Of a stored fact only partitions with such rows are scanned; a frame that
+        was derived or narrowed since is filtered as it is.
+        """
+        frame = getattr(self, fact)
+        for table, name, own in zip((S.RUNTIME, S.WAIT), ("runtime", "waits"), self.stored or ()):
+            if fact == name and frame is own:
+                frame = self.warehouse.read(table, self.warehouse.loaded_since(table, as_of, days))
+        return since_days(frame, "LoadDate", as_of, days)
 
 
 def lay_out(df: DataFrame, table: Table) -> DataFrame:
@@ -63,6 +86,10 @@ def lay_out(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
+#: Zone maps by table path, with the files that they were made from.
+_zones: dict[str, tuple] = {}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -208,6 +235,52 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
+    def zones(self, table: Table) -> dict[tuple, tuple]:
+        """Partition values to the first and last load date of their rows.
+
+        One row per file is stored below ``_zones``. Spark's own listing of the table
+        tells which files there are; those not known yet are measured, by their
+        ``LoadDate`` alone, and what is gone leaves the map.
+        """
+        if not self.exists(table):
+            return {}
+        path, folder = self.path(table), f"{self.root}/_zones/{table.name}"
+        relative = lambda file: unquote(file).rpartition(f"/{table.name}/")[2]
+        live = {relative(file) for file in self.read(table).inputFiles()}
+        known, spans = _zones.get(path, (None, {}))
+        if known == live:
+            return spans
+        fs, root = self._filesystem(folder)
+        versions = sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
+        columns = "File string, TenantName string, Bucket int, FirstLoad timestamp, LastLoad timestamp"
+        rows = self.spark.read.schema(columns).parquet(f"{folder}/{versions[-1]}").collect() if versions else []
+        kept = [tuple(row) for row in rows if row.File in live]
+        found = {row[0] for row in kept}
+        missing = [f"{path}/{name}" for name in sorted(live - found)]
+        if missing:
+            schema = T.StructType([*table.schema.fields, T.StructField(table.bucket[0], T.IntegerType())])
+            new = self.spark.read.schema(schema).option("basePath", path).parquet(*(missing if kept else [path]))
+            kept += [(relative(row.File), *row[1:]) for row in new.groupBy(
+                F.col("_metadata.file_path").alias("File"), "TenantName", table.bucket[0]
+            ).agg(F.min("LoadDate"), F.max("LoadDate")).collect()]
+        if missing or len(kept) < len(rows):
+            # A new version is complete before an old one goes; readers use the last.
+            version = f"{int(versions[-1].split('-')[0]) + 1 if versions else 0:012d}-{uuid.uuid4().hex}"
+            self.spark.createDataFrame(kept, columns).coalesce(1).write.parquet(f"{folder}/{version}")
+            for old in versions[:-2]:
+                fs.delete(self._filesystem(f"{folder}/{old}")[1], True)
+        spans = {}
+        for _, tenant, bucket, first, last in kept:
+            low, high = spans.get((tenant, bucket), (first, last))
+            spans[tenant, bucket] = (min(low, first), max(high, last))
+        _zones[path] = (live, spans)
+        return spans
+
+    def loaded_since(self, table: Table, as_of: AsOf, days: int) -> list[tuple]:
+        """Partitions with rows loaded in the last ``days`` days before ``as_of``."""
+        cutoff = self.spark.range(1).select(ago(start_of_day(as_of), days, "day")).first()[0]
+        return sorted(values for values, (_, last) in self.zones(table).items() if last >= cutoff)
+
     def telemetry(self, intervals: DataFrame | None = None) -> Telemetry:
         """All tables; with ``intervals`` the facts' scans are cut to their buckets.
 
@@ -217,9 +290,12 @@ class Warehouse:
         def facts(table: Table) -> DataFrame:
             return self.read(table, None if intervals is None else self.touched(intervals, table))
 
+        runtime, waits = facts(S.RUNTIME), facts(S.WAIT)
+        own = {} if intervals is not None else {"warehouse": self, "stored": (runtime, waits)}
         return Telemetry(
-            runtime=facts(S.RUNTIME),
-            waits=facts(S.WAIT),
+            runtime=runtime,
+            waits=waits,
+            **own,
             intervals=self.read(S.INTERVAL),
             queries=self.read(S.QUERY),
             texts=self.read(S.QUERY_TEXT),

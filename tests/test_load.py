@@ -228,3 +228,55 @@ def test_retention_drops_summaries_and_landed_buckets(spark, make, tmp_path):
     L.apply_retention(warehouse, NEW)
     assert warehouse.stored(S.PLAN_STATE) == warehouse.stored(S.RUNTIME) == []
     assert {r.RuntimeStatsIntervalId for r in warehouse.read(S.WAIT_BUCKET).collect()} == {300}
+
+
+# --- zone map -----------------------------------------------------------------------
+
+def _scan(frame):
+    """Partition filters of the one scan of a plan."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+
+
+def test_load_date_windows_prune_partitions(make, spark, tmp_path):
+    """A bucket of old interval ids loaded late is read, recent ids loaded early are not."""
+    from plandrift.plans import reports
+
+    warehouse = Warehouse(spark, str(tmp_path))
+    fact = lambda i, day, t="A": row(RuntimeStatsIntervalId=i, QueryId=i, PlanId=1, ExecutionType=0, TenantName=t,
+                                     LoadDate=dt.datetime(2024, 1, day), WaitCategory="CPU")
+    for table in (S.RUNTIME, S.WAIT):
+        warehouse.create(table, make(table, [fact(5, 30), fact(6, 1), fact(250, 2), fact(350, 29), fact(355, 3, "B")]))
+    t = warehouse.telemetry()
+    for name in ("runtime", "waits"):
+        recent = t.loaded_since(name, "2024-01-31 10:00:00", 7)
+        assert {r.RuntimeStatsIntervalId for r in recent.collect()} == {5, 350}
+        filters = _scan(recent)
+        assert "IntervalBucket" in filters and "INSET" not in filters.upper().replace("IN (", "")
+        assert "0" in filters and "3" in filters and "2," not in filters and "B" not in filters.split("TenantName")[1][:12]
+    assert {r.QueryId for r in reports.slowest_queries(t, "2024-01-31 10:00:00").collect()} == set()
+    # What a report narrowed itself is filtered, never read anew.
+    from dataclasses import replace
+    own = replace(t, runtime=t.runtime.filter("QueryId = 350"))
+    assert [r.QueryId for r in own.loaded_since("runtime", "2024-01-31 10:00:00", 7).collect()] == [350]
+    assert warehouse.loaded_since(S.RUNTIME, "2025-01-01", 7) == []
+    assert t.loaded_since("runtime", "2025-01-01", 7).count() == 0
+
+
+def test_zones_measure_new_files_only(make, spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    day = lambda n: dt.datetime(2024, 1, n)
+    fact = lambda i, n: row(RuntimeStatsIntervalId=i, QueryId=1, PlanId=n, ExecutionType=0, LoadDate=day(n), TenantName="a b/c")
+    assert warehouse.zones(S.RUNTIME) == {}
+    warehouse.append(S.RUNTIME, make(S.RUNTIME, [fact(5, 3), fact(205, 4)]))
+    assert warehouse.zones(S.RUNTIME) == {("a b/c", 0): (day(3), day(3)), ("a b/c", 2): (day(4), day(4))}
+    warehouse.append(S.RUNTIME, make(S.RUNTIME, [fact(6, 1), fact(7, 9)]))
+    spark.sparkContext.setJobGroup("zones", "")
+    assert warehouse.zones(S.RUNTIME) == {("a b/c", 0): (day(1), day(9)), ("a b/c", 2): (day(4), day(4))}
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("zones"))
+    assert before > 0 and warehouse.zones(S.RUNTIME)[("a b/c", 0)] == (day(1), day(9))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("zones")) == before  # known files: no job
+    spark.sparkContext.setJobGroup("", "")
+    warehouse.drop_partitions(S.RUNTIME, [("a b/c", 0)])
+    assert Warehouse(spark, str(tmp_path)).zones(S.RUNTIME) == {("a b/c", 2): (day(4), day(4))}
+    assert len(list((tmp_path / "_zones" / S.RUNTIME.name).iterdir())) <= 3
