@@ -207,80 +207,68 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / union if (union := len(a) + len(b) - both) else 1.0
 
 
-def _near(code: np.ndarray, component: np.ndarray, wanted: np.ndarray, radius: int, most: int) -> tuple[np.ndarray, ...]:
-    """(rows, a row before each, whether the row has more): for the ``wanted`` rows the first ``most``
-    rows before them within the radius that are of another component. For a radius at which
-    BK-trees leave nothing out, so all rows are compared."""
-    found = []
-    step = max(1, (1 << 22) // len(code))
-    for at in range(0, len(code), step):
-        rows = np.arange(at, min(at + step, len(code)))
-        rows = rows[wanted[rows]]
-        if not rows.size:
-            continue
-        end = rows[-1] + 1
-        close = np.bitwise_count(code[rows, None] ^ code[None, :end]) <= radius
-        i, before = np.nonzero(close)
-        keep = (before < rows[i]) & (component[before] != component[rows[i]])
-        row, before = rows[i[keep]], before[keep]
-        left, right = np.searchsorted(row, row), np.searchsorted(row, row, "right")
-        some = np.arange(len(row)) - left < most
-        found.append((row[some], before[some], (right - left > most)[some]))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
-
-
-def _candidates(named: DataFrame, radius: int, most: int, again: bool, unit_size: int) -> DataFrame:
-    """(node, near, more): ``most`` of the nodes of other components within the radius that come before.
-
-    ``named``: node, code, component, open; only nodes that are ``open`` are asked for.
-    ``more`` tells that a node has others, too. A unit holds about 2 * ``unit_size`` nodes.
+_MIX = np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """For each band a hash of ``rows`` minima; sets share a band's key with probability J^rows.
+
+    Multiplication by an odd number permutes the hashes; each minimum is one of such an order.
     """
-    code = F.col("code")
-    bits = lambda at, size: F.shiftrightunsigned(code, 64 - at - size).bitwiseAND(F.lit((1 << size) - 1))
-    keys = F.array(*[F.xxhash64(F.lit(k), *[bits(*block) for block in choice])
-                     for k, choice in enumerate(_shard_keys(radius))])
-    columns = ["node", "code", *["component", "open"] * again]
-    keyed = named.select(*columns, F.explode(keys).alias("shard"))
-    # The number of shards is bounded by the radius, whatever the input.
-    if again:
-        asked = named.where("open").select(F.explode(keys).alias("shard")).distinct()
-        keyed = keyed.join(F.broadcast(asked), "shard", "left_semi")
-    large = keyed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > unit_size)
-    parts = F.coalesce(F.ceil(F.col("n") / F.lit(unit_size)).cast("int"), F.lit(1))
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    units = (keyed.join(F.broadcast(large), "shard", "left").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-             .select(*columns, F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("unit")))
-    schema = pa.schema([("node", pa.int64()), ("near", pa.int64()), ("more", pa.bool_())])
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1 << 12):  # bounded memory for very long texts
+        block = hashes[at:at + (1 << 12), None] * _MIX[None, :bands * rows]
+        np.minimum(least, block.min(0), out=least)
+    keys = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for column in least.reshape(bands, rows).T:
+        keys = (keys ^ column) * np.uint64(0xBF58476D1CE4E5B9)
+        keys ^= keys >> np.uint64(31)
+    return keys.view(np.int64)
+
+
+def _classes(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, text_hash, digest, code, bands) per row: the digest is that of the set of shingles."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.int64()),
+                        ("code", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            unit, node, code = rows[:3]
-            component, wanted = rows[3:] if again else (node, np.ones(len(node), bool))
-            borders = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1, append=unit[-1] - 1))
-            parts = []
-            for low, high in zip(borders[:-1].tolist(), borders[1:].tolist()):
-                if high - low > 1:
-                    row, before, more = _near(code[low:high].view(np.uint64), component[low:high], wanted[low:high], radius, most)
-                    if row.size:
-                        parts.append((node[low + row], node[low + before], more))
-            if parts:
-                yield common.record_batch(schema, [np.concatenate(x) for x in zip(*parts)])
-
-        held: list[np.ndarray] = []
-        for batch in batches:  # sorted by unit; the last unit may go on
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = [np.concatenate(x) for x in zip(held, new)] if held else new
-            if len(held[0]) >= 1 << 16 and (end := np.searchsorted(held[0], held[0][-1])):
-                yield from found([x[:end] for x in held])
-                held = [x[end:] for x in held]
-        if held and len(held[0]):
-            yield from found(held)
+        for batch in common.column_chunks(batches, 1000):
+            digests, codes, keys = [], [], []
+            for text in batch.column(2).to_pylist():
+                hashes = shingle_hashes(text, shingle)
+                digests.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
+                codes.append(fingerprint(text))
+                keys.append(band_keys(hashes, bands, rows))
+            yield common.record_batch(schema, [
+                batch.column(0), batch.column(1), digests, np.frombuffer(b"".join(codes), ">i8").astype(np.int64), keys])
 
-    pairs = (units.select("unit", *columns).repartition("unit").sortWithinPartitions("unit", "node")
-             .mapInArrow(run, "node long, near long, more boolean"))
-    merged = pairs.groupBy("node").agg(F.array_sort(F.collect_set("near")).alias("near"), F.max("more").alias("more"))
-    return merged.select("node", F.slice("near", 1, most).alias("near"), (F.col("more") | (F.size("near") > most)).alias("more"))
+    return (texts.select("doc_id", "node", F.col("text").cast("binary").alias("text"))
+            .mapInArrow(run, "doc_id long, text_hash long, digest long, code long, bands array<long>"))
+
+
+def _near_codes(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b) of nodes that connect fingerprints within the radius, found by the BK-trees."""
+    first = common.stored(nodes.groupBy("code").agg(F.min("node").alias("first")), "codes")
+    same = nodes.select("node", "code").join(first, "code").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    side = lambda k: first.select(F.col("code").alias(k), F.col("first").alias(f"of_{k}"))
+    near = links(first.select("code"), radius).join(side("a"), "a").join(side("b"), "b")
+    return same.unionByName(near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+
+
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _asked(members: DataFrame, spread: int) -> DataFrame:
+    """(a, b): every member of a bucket with the bucket's representatives of other components.
+
+    A bucket has one representative in each of ``spread`` parts that its members fall into.
+    """
+    part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
+    chosen = (members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "component")).alias("r"))
+              .select("bucket", "r.*").toDF("bucket", "near", "of_near"))
+    pairs = members.select("bucket", "node", "component").join(chosen, "bucket").where("component <> of_near")
+    return pairs.select(*_ordered("node", "near")).distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -321,45 +309,76 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return result
 
 
-def near_copies(docs: DataFrame, radius: int = 12, shingle: int = 5, least: float = 0.8, most: int = 4,
-                unit_size: int = 1 << 15) -> DataFrame:
-    """(doc_id, component_id) per row with an id: components of texts within ``radius`` bits
-    whose sets of word shingles have a Jaccard similarity of ``least``, computed exactly.
-
-    Texts are told apart by a 64-bit hash. A text is verified against ``most`` candidates
-    first; those with more go on with four times as many, without the candidates that
-    have come to their component, until none is left. So a large group of near copies
-    costs a multiple of its size, and no pair that could join two components is left out.
-    Texts without words link to each other.
-    """
-    # By text, not by id: ids may repeat. Null counts as empty.
-    texts = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = texts.select("doc_id", F.xxhash64("text").alias("node"), "text")
-    codes = fingerprints(texts, "node").withColumnRenamed("doc_id", "node").groupBy("node").agg(F.first("code").alias("code"))
-    nodes = common.stored(codes, "codes")
-    named = nodes.select("node", "code", F.col("node").alias("component"), F.lit(True).alias("open"))
-    edges, again = None, False
+def _copy_components(texts: DataFrame, radius: int, shingle: int, least: float, bands: int, rows: int
+                     ) -> tuple[DataFrame, DataFrame]:
+    """((text_hash, digest) of all texts, (digest, low, component) of all sets of shingles)."""
+    known = common.stored(_classes(texts, shingle, bands, rows).groupBy("text_hash").agg(
+        F.min("doc_id").alias("low"), *[F.first(c).alias(c) for c in ("digest", "code", "bands")]), "classes")
+    nodes = common.stored(known.groupBy("digest").agg(
+        F.min("text_hash").alias("node"), F.min("low").alias("low"), F.min("code").alias("code"),
+        F.first("bands").alias("bands")), "nodes")
+    keyed = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = common.stored(keyed.join(shared, "bucket"), "buckets")
+    members = buckets.withColumn("component", F.col("node"))
+    pairs = _near_codes(nodes, radius).where("a <> b").select(*_ordered("a", "b"))
+    spread, edges = 1, None
     while True:
-        found = common.stored(_candidates(named, radius, most, again, unit_size), "candidates")
-        pairs = found.select(F.col("node").alias("b"), F.explode("near").alias("a")).select("a", "b")
+        pairs = common.stored(_asked(members, spread).unionByName(pairs).distinct(), "candidates")
         new = _verified(pairs, texts, shingle, least)
         edges = new if edges is None else edges.unionByName(new)
         parts = common.connected_components(edges)
-        left = found.where("more").select("node", F.lit(True).alias("open"))
-        named = common.stored(nodes.join(parts, "node", "left").join(left, "node", "left").select(
-            "node", "code", F.coalesce("component", "node").alias("component"), F.coalesce("open", F.lit(False)).alias("open")), "named")
+        members = common.stored(buckets.join(parts, "node", "left").select(
+            "bucket", "node", "n", F.coalesce("component", "node").alias("component")), "members")
+        # Open: more than one component, and members that have not met each other.
+        part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
+        state = members.groupBy("bucket", part.alias("part")).agg(
+            F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("n"))
+        left = common.stored(state.groupBy("bucket").agg(
+            F.min("x").alias("x"), F.max("y").alias("y"), F.max("n").alias("n"), F.count("*").alias("k"))
+            .where("x <> y and k < n - 1").select("bucket"), "open")
         if left.isEmpty():
             break
-        most, again = 4 * most, True
-    rows = texts.select("doc_id", "node").join(named.select("node", "component"), "node")
-    lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(lowest, "component").select("doc_id", "component_id")
+        members = common.stored(members.join(left, "bucket"), "members")
+        pairs, spread = pairs.limit(0), spread * 4
+    named = nodes.join(parts, "node", "left").select("digest", "low", F.coalesce("component", "node").alias("component"))
+    return known.select("text_hash", "digest"), common.stored(named, "named")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    # By text, not by id: ids may repeat. Null counts as empty.
+    rows = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.select("doc_id", F.xxhash64("text").alias("node"), "text")
+
+
+def near_copies(docs: DataFrame, radius: int = 3, shingle: int = 5, least: float = 0.8, bands: int = 16,
+                rows: int = 5) -> DataFrame:
+    """(doc_id, component_id) per row with an id: components of texts whose sets of word
+    shingles have a Jaccard similarity of ``least``, computed exactly.
+
+    Candidates come from the BK-trees (fingerprints within ``radius`` bits) and, as most
+    near copies lie beyond, from ``bands`` of ``rows`` minima of the sets: of pairs at
+    0.8 all but 0.2 % share a band. Texts with equal sets are one from the start, and
+    are told apart by 64-bit hashes. The members of a band's bucket are compared with
+    one representative; only buckets that hold several components then go on, with four
+    times as many representatives, until all members of different components have met
+    or the bucket is one component. So groups cost a multiple of their size. A pair
+    whose only bands became one component by other links is connected all the same.
+    Texts without words link to each other.
+    """
+    texts = _texts(docs)
+    known, named = _copy_components(texts, radius, shingle, least, bands, rows)
+    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    ids = known.join(named.join(lowest, "component").select("digest", "component_id"), "digest")
+    return texts.select("doc_id", F.col("node").alias("text_hash")).join(ids, "text_hash").select("doc_id", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+def drop_near_copies(docs: DataFrame, radius: int = 3, shingle: int = 5, least: float = 0.8, bands: int = 16,
+                     rows: int = 5) -> DataFrame:
     """As ``drop_near_duplicates``, for the components of ``near_copies``."""
-    return _lowest_of_each(docs, near_copies(docs, **options))
+    _, named = _copy_components(_texts(docs), radius, shingle, least, bands, rows)
+    return _lowest_of_each(docs, named.groupBy("component").agg(F.min("low").alias("component_id")))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
