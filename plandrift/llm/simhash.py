@@ -232,7 +232,7 @@ def _classes(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
                         ("code", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.column_chunks(batches, 1000):
+        for batch in common.column_chunks(batches, 200):
             digests, codes, keys = [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = shingle_hashes(text, shingle)
@@ -284,7 +284,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        for batch in common.column_chunks(batches, 1000):
+        for batch in common.column_chunks(batches, 200):
             node = batch.column(0).to_numpy()
             some = np.flatnonzero(present[(node.view(np.uint64) >> np.uint64(44)).astype(np.int64)])
             if some.size:
@@ -299,7 +299,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.column_chunks(batches, 100):
             of_a, of_b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
             keep = np.array([jaccard(x, y) >= least for x, y in zip(of_a, of_b)], bool)
             yield common.record_batch(out, [batch.column(k).to_numpy()[keep] for k in (0, 1)])
