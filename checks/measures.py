@@ -225,7 +225,8 @@ CHECKS["k51_duration_improvement"] = Check(
     {"daily": "SELECT TenantName, IntervalDate, avg(AvgDurationSeconds) AS d FROM frd GROUP BY 1, 2"},
 )
 CHECKS["k52_regression_risk"] = Check(
-    lambda f: TI.regression_risk(f.table(S.RUNTIME), f.table(S.INTERVAL), "year", ["TenantName"]),
+    lambda f: TI.regression_risk(
+        None, f.table(S.INTERVAL), "year", ["TenantName"], f.table(S.RUNTIME_DAILY)),
     f"""SELECT TenantName, Period, unstable AS "Plan Instability Count",
       regressed AS "Regression Count", change AS "Duration Change (%)",
       CASE WHEN unstable > 0 THEN ifnull(regressed, 0) * 10 + ifnull(change, 0) / 10
@@ -309,7 +310,7 @@ def _to_date_sql(period):
 for _key, _period in (("w3_mtd", "month"), ("w3_qtd", "quarter"), ("w3_ytd", "year")):
     CHECKS[_key] = Check(
         lambda f, p=_period: TI.to_date(
-            _TO_DATE, p, f.table(S.INTERVAL), ["TenantName"], runtime=f.table(S.RUNTIME)),
+            _TO_DATE, p, by=["TenantName"], daily=f.table(S.RUNTIME_DAILY)),
         _to_date_sql(_period), ["frd"], {"Avg Duration (seconds)": 6, "Avg Plans per Query": 6},
     )
 CHECKS["w3_ytd_hours_and_instability"] = Check(

@@ -219,17 +219,24 @@ def _states(measures: Sequence[Measure], fact: str) -> dict[str, str]:
     return wanted
 
 
+def fact_states(kind: str) -> dict[str, str]:
+    """The states of all measures of a fact: what a stored roll-up has to hold."""
+    return _states(list(MEASURES.values()), kind)
+
+
 def group_states(
     fact: DataFrame,
     measures: Sequence[Measure],
     kind: str,
     by: Sequence[str],
     dates: DataFrame | None = None,
+    rolled_up: bool = False,
 ) -> DataFrame:
     """All states, per-query sums and distinct counts of the measures, per group.
 
     With ``dates``, grouping columns may come from there. Figures that do not
     depend on single queries are reduced per interval before the dates are joined.
+    ``rolled_up`` says that ``fact`` holds states per plan already, and no fact rows.
     """
     mine = [m for m in measures if m.fact in (kind, BOTH)]
     states = _states(mine, kind) or {"_rows": "count(1)"}
@@ -238,6 +245,8 @@ def group_states(
     needs_plans = any(PLANS_SEEN in sql for sql in per_query.values())
     merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
     first = [F.expr(sql).alias(name) for name, sql in states.items()]
+    if rolled_up:
+        first = merge if _states(mine, kind) else first
 
     by_query = bool(per_query or distinct)
     grain = list(dict.fromkeys([*by, *(QUERY_KEY if by_query else ())]))
@@ -286,17 +295,21 @@ def evaluate(
     runtime: DataFrame | None = None,
     waits: DataFrame | None = None,
     dates: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Evaluate measures per group of ``by`` (the filter context of a report cell).
 
     ``runtime`` and ``waits`` are base tables or facts already sliced; only the
     facts the measures use need to be given. Each fact is aggregated before the
     two are joined, so neither multiplies the rows of the other. ``dates`` maps
-    the interval key to further grouping columns.
+    the interval key to further grouping columns. ``daily`` are stored daily states
+    (``operators.rollup``) in place of runtime rows; their grouping columns, dates
+    included, must be among their own.
     """
     measures = [MEASURES[n] for n in names]
     parts = [
-        group_states(as_fact(fact, kind), measures, kind, by, dates)
+        group_states(daily, measures, kind, by, rolled_up=True) if kind == RUNTIME and daily is not None
+        else group_states(as_fact(fact, kind), measures, kind, by, dates)
         for kind, fact in ((RUNTIME, runtime), (WAIT, waits))
         if any(m.fact in (kind, BOTH) for m in measures)
     ]

@@ -28,13 +28,19 @@ def _period_start(period: str, date: str = DATE):
     return F.to_date(F.date_trunc(period, F.col(date)))
 
 
+def _dated(daily: DataFrame) -> DataFrame:
+    """Stored daily states whose date is known."""
+    return daily.filter(F.col(DATE).isNotNull())
+
+
 def to_date(
     names: Sequence[str],
     period: str,
-    intervals: DataFrame,
+    intervals: DataFrame | None = None,
     by: Sequence[str] = (),
     runtime: DataFrame | None = None,
     waits: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Measures accumulated from the start of the period to each date with data.
 
@@ -42,20 +48,23 @@ def to_date(
     dates the query has rows, so each query contributes the *change* of its
     figure on those dates and the changes are accumulated. Distinct values are
     counted on the first date they appear in the period. Every step is linear
-    in the daily rows; no date is joined with the dates before it.
+    in the daily rows; no date is joined with the dates before it. With ``daily``,
+    the stored daily states, neither runtime rows nor intervals are read.
     """
     measures = [MEASURES[n] for n in names]
     keys = list(by) or ["_all"]
-    dates = date_lookup(intervals).withColumn("_period", _period_start(period))
+    in_period = lambda df: df.withColumn("_period", _period_start(period))
     parts = []
     for kind, fact in ((RUNTIME, runtime), (WAIT, waits)):
         if any(m.fact in (kind, BOTH) for m in measures):
-            fact = as_fact(fact, kind)
+            stored = kind == RUNTIME and daily is not None
+            fact = in_period(_dated(daily)) if stored else as_fact(fact, kind)
             if not by:
                 fact = fact.withColumn("_all", F.lit(1))
+            dates = None if stored else in_period(date_lookup(intervals))
             parts.append(_daily_changes(fact, measures, kind, [*keys, "_period"], dates))
     grain = [*keys, "_period", DATE]
-    daily = parts[0] if len(parts) == 1 else parts[0].join(parts[1], grain, "full_outer")
+    days = parts[0] if len(parts) == 1 else parts[0].join(parts[1], grain, "full_outer")
 
     so_far = (
         Window.partitionBy(*keys, "_period").orderBy(DATE)
@@ -63,29 +72,44 @@ def to_date(
     )
     totals = [
         (F.max(c) if c.startswith("max_") else F.sum(c)).over(so_far).alias(c)
-        for c in daily.columns if c not in grain
+        for c in days.columns if c not in grain
     ]
-    return finish(daily.select(*grain, *totals), names, [*by, DATE])
+    return finish(days.select(*grain, *totals), names, [*by, DATE])
+
 
+def _daily_changes(
+    fact: DataFrame, measures, kind: str, keys: list[str], dates: DataFrame | None
+) -> DataFrame:
+    """Per group and date: daily states and daily changes of non-additive figures.
 
-def _daily_changes(fact: DataFrame, measures, kind: str, keys: list[str], dates: DataFrame) -> DataFrame:
-    """Per group and date: daily states and daily changes of non-additive figures."""
+    Without ``dates``, ``fact`` holds daily states per plan already. Rows meet once per
+    query: the shuffle by query serves the plans' first days and all running values.
+    """
     mine = [m for m in measures if m.fact in (kind, BOTH)]
     states = _states(mine, kind) or {"_rows": "count(1)"}
     per_query = {k: v for m in mine for k, v in m.per_query.items()}
     distinct = {k: v for m in mine for k, v in m.distinct.items()}
+    merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
+    if "_rows" in states and dates is None:
+        fact = fact.withColumn("_rows", F.lit(1).cast("long"))
     if not per_query and not distinct:
-        merge = [F.expr(_merge_sql(name)).alias(name) for name in states]
-        return per_interval(fact, states, [*keys, DATE], dates).groupBy(*keys, DATE).agg(*merge)
+        reduced = fact if dates is None else per_interval(fact, states, [*keys, DATE], dates)
+        return reduced.groupBy(*keys, DATE).agg(*merge)
 
     query = list(dict.fromkeys([*keys, *QUERY_KEY]))
     needs_plans = any(PLANS_SEEN in sql for sql in per_query.values())
-    fact = fact.join(dates, INTERVAL_KEY)
-    daily = fact.groupBy(*query, DATE).agg(*[F.expr(sql).alias(n) for n, sql in states.items()])
+    grain = [*query, *(["PlanId"] if needs_plans else [])]
+    if dates is not None:
+        fact = fact.join(dates, INTERVAL_KEY).groupBy(*grain, DATE).agg(
+            *[F.expr(sql).alias(n) for n, sql in states.items()])
+    # One exchange: whatever groups or orders by query below finds its rows together.
+    daily = fact.select(*grain, DATE, *states).repartition(*query)
     if needs_plans:
-        first_seen = fact.groupBy(*query, "PlanId").agg(F.min(DATE).alias(DATE))
-        new_plans = first_seen.groupBy(*query, DATE).agg(F.count(F.lit(1)).alias(PLANS_SEEN))
-        daily = daily.join(new_plans, [*query, DATE], "left")
+        daily = daily.groupBy(*grain, DATE).agg(*merge)
+        first_day = F.min(DATE).over(Window.partitionBy(*grain))
+        daily = daily.withColumn("_new", (F.col(DATE) == first_day).cast("long"))
+        merge.append(F.sum("_new").alias(PLANS_SEEN))
+    daily = daily.groupBy(*query, DATE).agg(*merge)
 
     in_query = Window.partitionBy(*query).orderBy(DATE)
     so_far = in_query.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,15 +149,20 @@ def previous_date(
     days: int = 0,
     runtime: DataFrame | None = None,
     waits: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
-    """Daily measures next to their values the given months or days earlier."""
-    daily = evaluate(names, [*by, DATE], runtime, waits, date_lookup(intervals))
-    earlier = daily.select(
+    """Daily measures next to their values the given months or days earlier.
+
+    ``daily`` are stored daily states, to be read in place of runtime rows.
+    """
+    stored = None if daily is None else _dated(daily)
+    values = evaluate(names, [*by, DATE], runtime, waits, date_lookup(intervals), stored)
+    earlier = values.select(
         *by, F.col(DATE).alias("_earlier"), *[F.col(n).alias(f"Previous {n}") for n in names]
     )
     shifted = F.add_months(F.col(DATE), -months) if months else F.date_sub(F.col(DATE), days)
     return (
-        daily.withColumn("_earlier", shifted)
+        values.withColumn("_earlier", shifted)
         .join(earlier, [*by, "_earlier"], "left")
         .drop("_earlier")
     )
@@ -158,18 +187,21 @@ def period_change(
     runtime: DataFrame | None = None,
     waits: DataFrame | None = None,
     also: Sequence[str] = (),
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Change of measures against the period before, in percent.
 
     ``names`` maps a measure to the name of its change. Periods without data
     between the first and last of a group are filled in, so "the period
     before" is always the adjacent one: no change is reported after a gap, and
-    a period without data itself counts as zero.
+    a period without data itself counts as zero. ``daily`` are stored daily states,
+    to be read in place of runtime rows.
     """
     wanted = [*names, *also]
 
     dates = date_lookup(intervals).withColumn("Period", _period_start(period))
-    values = evaluate(wanted, [*by, "Period"], runtime, waits, dates)
+    stored = None if daily is None else _dated(daily).withColumn("Period", _period_start(period))
+    values = evaluate(wanted, [*by, "Period"], runtime, waits, dates, stored)
     keys = list(by) or ["_all"]
     if not by:
         values = values.withColumn("_all", F.lit(1))
@@ -198,12 +230,13 @@ CHANGES = {
 
 
 def regression_risk(
-    runtime: DataFrame, intervals: DataFrame, period: str = "month", by: Sequence[str] = ()
+    runtime: DataFrame | None, intervals: DataFrame, period: str = "month", by: Sequence[str] = (),
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Risk score per period: regressions weigh ten, a tenth of the duration change adds."""
     parts = period_change(
         {"Avg Duration (seconds)": "Duration Change (%)"}, period, intervals, by,
-        runtime=runtime, also=["Plan Instability Count", "Regression Count"],
+        runtime=runtime, also=["Plan Instability Count", "Regression Count"], daily=daily,
     )
     score = F.coalesce(F.col("Regression Count"), F.lit(0)) * 10 + F.coalesce(
         F.col("Duration Change (%)"), F.lit(0.0)

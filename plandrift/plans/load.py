@@ -23,6 +23,7 @@ from plandrift.operators.regression import (
     plan_states,
 )
 from plandrift.operators.retention import RetentionPolicy, cleanup, expired_intervals
+from plandrift.operators.rollup import daily_states
 from plandrift.operators.runlog import failed_rows, log_rows, merge_result
 from plandrift.operators.upsert import (
     collapse_wait_buckets, inserted_rows, keep_latest, merge_marks, staging_duplicates, upsert,
@@ -186,17 +187,23 @@ def record_interval_conflicts(warehouse: Warehouse, staged: DataFrame, as_of: As
     return n
 
 
-def renew_states(warehouse: Warehouse, partitions: Iterable[tuple] = ()) -> None:
+def renew_states(
+    warehouse: Warehouse, partitions: Iterable[tuple] = (), table: Table = S.PLAN_STATE
+) -> None:
     """Summarise the given runtime partitions again, and those without a summary.
 
-    Summaries of partitions that are gone are dropped, so the stored states always
-    follow from the stored runtime rows, whoever wrote them.
+    ``table`` is ``PLAN_STATE`` or ``RUNTIME_DAILY``. Summaries of partitions that are
+    gone are dropped, so the stored states always follow from the stored runtime
+    rows, whoever wrote them.
     """
-    runtime, states = set(warehouse.stored(S.RUNTIME)), set(warehouse.stored(S.PLAN_STATE))
-    warehouse.drop_partitions(S.PLAN_STATE, sorted(states - runtime))
+    runtime, states = set(warehouse.stored(S.RUNTIME)), set(warehouse.stored(table))
+    warehouse.drop_partitions(table, sorted(states - runtime))
     stale = sorted((runtime - states) | (set(partitions) & runtime))
     if stale:
-        warehouse.replace_partitions(S.PLAN_STATE, plan_states(warehouse.read(S.RUNTIME, stale)))
+        rows = warehouse.read(S.RUNTIME, stale)
+        daily = table is S.RUNTIME_DAILY
+        summary = daily_states(rows, warehouse.read(S.INTERVAL)) if daily else plan_states(rows)
+        warehouse.replace_partitions(table, summary)
 
 
 def detect_and_flag(
@@ -207,9 +214,11 @@ def detect_and_flag(
 
     Both follow from the stored summaries, renewed for the ``touched`` runtime
     partitions (all by default); runtime rows are read only where some are flagged.
+    The daily states of touched and flagged partitions are renewed last.
     """
     as_of = pinned(warehouse.spark, as_of)
-    renew_states(warehouse, warehouse.stored(S.RUNTIME) if touched is None else touched)
+    touched = warehouse.stored(S.RUNTIME) if touched is None else list(touched)
+    renew_states(warehouse, touched)
     ours = lambda df: df.join(sources, KEYS, "left_semi")
     states = ours(warehouse.read(S.PLAN_STATE))
     existing = ours(detected_today(warehouse.read(S.REGRESSION), as_of))
@@ -225,6 +234,8 @@ def detect_and_flag(
     if partitions:
         rows = warehouse.read(S.RUNTIME, partitions)
         warehouse.replace_partitions(S.RUNTIME, flag_regressions(rows, recorded, as_of))
+    # Daily states hold the flags, so they come after them.
+    renew_states(warehouse, {*touched, *partitions}, S.RUNTIME_DAILY)
     return new
 
 
@@ -260,10 +271,14 @@ def load(
     try:
         conflicts = record_interval_conflicts(warehouse, staging.read(S.INTERVAL), as_of) if S.INTERVAL in tables else 0
         counts = merge_staged(warehouse, staging, tables, as_of)
-        regressions = 0
+        regressions, touched = 0, []
         if staging.has(S.RUNTIME):
             touched = warehouse.touched(staging.read(S.RUNTIME), S.RUNTIME)
             regressions = detect_and_flag(warehouse, sources, as_of, threshold, touched)
+        if S.INTERVAL in tables:
+            # Rows loaded before their interval get their date now.
+            dated = set(warehouse.touched(staging.read(S.INTERVAL), S.RUNTIME)) - set(touched)
+            renew_states(warehouse, dated, S.RUNTIME_DAILY)
     except Exception as problem:
         if sources is not None:
             seconds = int(time.monotonic() - started)
@@ -356,6 +371,7 @@ def apply_retention(
         _rewrite(warehouse, S.PLAN, kept_plans, tenants(t.plans, S.PLAN))
     _rewrite(warehouse, S.RUNTIME, kept.runtime, runtime_parts)
     renew_states(warehouse, runtime_parts)
+    renew_states(warehouse, runtime_parts, S.RUNTIME_DAILY)
     _rewrite(warehouse, S.WAIT, kept.waits, wait_parts)
     # Landed buckets leave when the whole partition has.
     gone = set(wait_parts) - set(warehouse.stored(S.WAIT))

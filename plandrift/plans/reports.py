@@ -305,25 +305,42 @@ def plan_instability(t: Telemetry, min_plans: int = 2, n: int = 50) -> DataFrame
     """Queries with more than ``min_plans`` plans, counted across databases.
 
     Databases of a server whose query has the same text count together; texts are
-    compared by digest, and only the queries shown are joined to their text.
+    compared by digest, and only the queries shown are joined to their text. Plans
+    are counted group by group of plans; the intervals, which order nothing, are
+    looked up for the ``n`` groups shown.
     """
     named = _digest(t.queries.select(*QUERY_KEY, "QueryTextId"), t)
-    seen = t.runtime.select(*QUERY_KEY, "PlanId", "RuntimeStatsIntervalId").distinct()
-    grouped = (
-        seen.join(t.plans.select(*PLAN_KEY, "CreationTime"), PLAN_KEY)
+    created = t.plans.select(*PLAN_KEY, "CreationTime")
+    order = [F.desc("PlanCount")]
+    counted = (
+        t.runtime.select(*QUERY_KEY, "PlanId").distinct()
+        .join(created, PLAN_KEY)
         .join(named, QUERY_KEY)
+        .groupBy(*SAME_TEXT, "PlanId")
+        .agg(F.min("CreationTime").alias("first"), F.max("CreationTime").alias("last"), _source())
         .groupBy(*SAME_TEXT)
         .agg(
-            F.count_distinct("PlanId").alias("PlanCount"),
-            F.min("CreationTime").alias("FirstPlanDate"),
-            F.max("CreationTime").alias("LatestPlanDate"),
-            F.count_distinct("RuntimeStatsIntervalId").alias("IntervalCount"),
-            _source(),
+            F.count(F.lit(1)).alias("PlanCount"),
+            F.min("first").alias("FirstPlanDate"),
+            F.max("last").alias("LatestPlanDate"),
+            F.min("Source").alias("Source"),
         )
         .filter(F.col("PlanCount") > min_plans)
     )
+    best = top(counted, n, order, SAME_TEXT)
+    figures = [c for c in best.columns if c not in SAME_TEXT]
+    shown = best.withColumnsRenamed({c: f"_{c}" for c in SAME_TEXT})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SAME_TEXT]
+    members = named.select(*QUERY_KEY, "TextDigest").join(shown, same)
+    with_intervals = (
+        t.runtime.select(*QUERY_KEY, "PlanId", "RuntimeStatsIntervalId")
+        .join(members.select(*QUERY_KEY, "TextDigest", *figures), QUERY_KEY)
+        .join(created.select(*PLAN_KEY), PLAN_KEY, "left_semi")
+        .groupBy(*SAME_TEXT, *figures, "RuntimeStatsIntervalId").agg(F.lit(1))
+        .groupBy(*SAME_TEXT, *figures).agg(F.count(F.lit(1)).alias("IntervalCount"))
+    )
     return _shown(
-        grouped, t, n, [F.desc("PlanCount")],
+        with_intervals, t, n, order,
         "PlanCount", "FirstPlanDate", "LatestPlanDate", "IntervalCount",
     )
 

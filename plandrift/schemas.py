@@ -233,6 +233,30 @@ PLAN_STATE = Table(
     by_interval=True,
 )
 
+_DAILY_MEANS = {
+    "AvgDurationSeconds": "double", "AvgCpuTimeSeconds": "double", "AvgLogicalIoReads": "long",
+    "AvgPhysicalIoReads": "long", "AvgMemoryUsedMb": "double", "AvgDurationMs": "double",
+    "AvgCpuTimeMs": "double", "AvgRowCount": "double", "AvgLogicalIoWrites": "long",
+}
+_DAILY_FLAGS = ["slow", "high_memory", "high_io", "critical", "index_review", "regressed"]
+
+# States of all runtime measures per plan and day (see ``operators.rollup``), kept in
+# the partitions of the runtime rows they follow from. Rows whose interval is not
+# known yet have no date.
+RUNTIME_DAILY = Table(
+    "RuntimeDailyStates",
+    _struct(
+        *_keys(), "QueryId long", "PlanId long", "RuntimeStatsIntervalId int", "IntervalDate date?",
+        *[f"sum_{c} {kind}?" for c, kind in _DAILY_MEANS.items()],
+        *[f"count_{c} long" for c in _DAILY_MEANS],
+        "sum_CountExecutions long?", "sum_weighted_cpu double?", "sum_regressed_rows long?",
+        "max_MaxDurationMs double?", "max_MaxCpuTimeMs double?",
+        *[f"max_{name} int" for name in _DAILY_FLAGS],
+    ),
+    keys=[*KEYS, "RuntimeStatsIntervalId", "QueryId", "PlanId", "IntervalDate"],
+    by_interval=True,
+)
+
 RUN_LOG = Table(
     "ETLControl",
     _struct(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plandrift import schemas as S
 from plandrift.functions.columns import boundary_diff, execution_type_desc
+from plandrift.operators.rollup import daily_states
 from plandrift.operators.regression import detect_plan_regressions
 from plandrift.functions.filters import since_days
 from plandrift.schemas import INTERVAL_KEY, KEYS, QUERY_KEY, Table
@@ -326,6 +327,8 @@ class Fixture:
             return wait_stats(read)
         if table is S.QUERY_TEXT:
             return query_texts(self.table(S.QUERY), read)
+        if table is S.RUNTIME_DAILY:
+            return daily_states(self.table(S.RUNTIME), self.table(S.INTERVAL))
         from_runtime = {
             S.INTERVAL.name: intervals, S.QUERY.name: queries, S.PLAN.name: plans,
             S.REGRESSION.name: regressions, S.RUN_LOG.name: run_log,

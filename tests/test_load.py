@@ -6,10 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from plandrift import schemas as S
+from checks.measures import _TO_DATE as TO_DATE
+from plandrift.functions import time_intelligence as TI
+from plandrift.functions.measures import fact_states
 from plandrift.operators import regression as R
+from plandrift.operators.rollup import daily_states
 from plandrift.plans import load as L
+from plandrift.sources.fixture import Fixture
 from plandrift.sources.warehouse import Warehouse
 from plandrift.streaming.ingest import refresh_all
+from tests.conftest import DATA_DIR
 
 OLD, NEW = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 DAY = dt.datetime(2024, 1, 5)
@@ -137,6 +143,51 @@ def test_a_load_detects_over_buckets_it_does_not_read(make, spark, tmp_path):
     assert len({r.ETLControlId for r in warehouse.read(S.RUN_LOG).collect()}) == len(ids) + 1
 
 
+def test_daily_states_follow_rows_flags_and_late_intervals(make, spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert set(S.RUNTIME_DAILY.columns) == {*S.RUNTIME_DAILY.keys, *fact_states("runtime")}
+
+    def run(as_of, facts, intervals):
+        staging = L.Staging(spark, warehouse)
+        if facts:
+            staging.write(S.RUNTIME, make(None, [
+                row(RuntimeStatsIntervalId=i, QueryId=q, PlanId=p, ExecutionType=0, AvgDurationMs=d, CountExecutions=n)
+                for i, q, p, d, n in facts], S.RUNTIME.staging_schema))
+        staging.write(S.INTERVAL, make(None, [
+            row(RuntimeStatsIntervalId=i, IntervalStartTime=DAY + dt.timedelta(days=i)) for i in intervals],
+            S.INTERVAL.staging_schema))
+        L.load(warehouse, staging, as_of)
+
+    def same():
+        t, names = warehouse.telemetry(), list(TO_DATE)
+        daily = warehouse.read(S.RUNTIME_DAILY)
+        by = ["TenantName"]
+        assert sorted(map(str, TI.to_date(names, "month", by=by, daily=daily).collect())) == sorted(
+            map(str, TI.to_date(names, "month", t.intervals, by, t.runtime).collect()))
+        assert sorted(map(str, daily.collect())) == sorted(
+            map(str, daily_states(t.runtime, t.intervals).select(*daily.columns).collect()))
+        return daily
+
+    run(OLD, [(1, 1, 1, 8.0, 2), (2, 1, 1, 16.0, 3), (1, 2, 5, 2048.0, 1), (30, 1, 1, 4.0, 1), (140, 1, 1, 8.0, 1)], [1, 2, 140])
+    assert same().filter("IntervalDate IS NULL").count() == 1
+    before = files(tmp_path, S.RUNTIME_DAILY)
+    # A late interval gives the waiting row its date; buckets without news stay as they are.
+    run(NEW, [(31, 1, 2, 64.0, 4), (31, 2, 5, 2048.0, 4)], [30, 31])
+    daily, t = same(), warehouse.telemetry()
+    risk = lambda runtime, **o: TI.regression_risk(runtime, t.intervals, "month", ["TenantName"], **o).collect()
+    assert risk(None, daily=daily) == risk(t.runtime)
+    assert daily.filter("IntervalDate IS NULL").isEmpty()
+    assert daily.filter("sum_regressed_rows > 0").select("PlanId").collect() == [(2,)]
+    kept = files(tmp_path, S.RUNTIME_DAILY)
+    assert any("IntervalBucket=1" in name and kept.get(name) == at for name, at in before.items())
+
+
+def test_to_date_from_daily_states_reads_no_facts(spark):
+    fixture = Fixture(spark, DATA_DIR)
+    df = TI.to_date(TO_DATE, "year", by=["TenantName"], daily=fixture.table(S.RUNTIME_DAILY))
+    assert {name.split("/" + S.RUNTIME_DAILY.name)[0] != name for name in df.inputFiles()} == {True}
+
+
 # --- conflicts --------------------------------------------------------------------
 
 def test_conflicting_intervals_are_stored_and_counted(make, spark, tmp_path):
