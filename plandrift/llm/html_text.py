@@ -45,12 +45,84 @@ PURPOSE = {
     "content": "article content post entry story main body text blog prose page",
 }
 PURPOSE_OF = {w: k for k, words in PURPOSE.items() for w in words.split()}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile("[>\"']")
 PURPOSE_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LABEL_ATTRIBUTE = re.compile(r"\bdata-content=\"([01])\"")
 SPACES = re.compile(r"\s+")
 
 
+class Tags:
+    """Finds comments, declarations and tags from left to right, in linear time.
+
+    A tag ends at the first ``>`` outside quotes; a ``<`` without such an end is text.
+    What a vain search has learnt is kept: where the next ``>`` and the next special
+    character are, and from which opening quotes on there is no end.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.gt = self.special = -1  # positions of the next of their kind, as last seen
+        self.vain: set[int] = set()
+
+    def _next_gt(self, at: int) -> int:
+        if self.gt < at:
+            found = self.html.find(">", at)
+            self.gt = found if found >= 0 else len(self.html)
+        return self.gt
+
+    def _next_special(self, at: int) -> int:
+        if self.special < at:
+            found = SPECIAL.search(self.html, at)
+            self.special = found.start() if found else len(self.html)
+        return self.special
+
+    def _end(self, at: int) -> int:
+        """Position of the ``>`` that ends the tag whose name ends at ``at``, or -1."""
+        html, opened, here = self.html, [], self._next_special(at)
+        while here < len(html) and html[here] != ">":
+            closing = -1 if here in self.vain else html.find(html[here], here + 1)
+            opened.append(here)
+            if closing < 0:
+                break
+            found = SPECIAL.search(html, closing + 1)
+            here = found.start() if found else len(html)
+        else:
+            if here < len(html):
+                return here
+        self.vain.update(opened)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether closing, name ("" for no tag) and attributes of the next one."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            at = start + 1
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(html), False, "", ""
+            gt = self._next_gt(at)
+            if gt == len(html):
+                # Without any more ``>`` only a comment can follow.
+                at = html.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            if html.startswith(("<!", "<?"), start):
+                return start, gt + 1, False, "", ""
+            name = NAME.match(html, start)
+            end = self._end(name.end()) if name else -1
+            if end >= 0:
+                return start, end + 1, bool(name[1]), name[2].lower(), html[name.end():end]
+        return None
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """Where the raw text of a script, style or the like ends, its end tag included."""
+        close = re.compile(rf"</{tag}\b", re.I).search(self.html, at)
+        end = self.html.find(">", close.end()) if close else -1
+        return end + 1 if end >= 0 else len(self.html)
+
+
 def parse(html: str) -> tuple[list[int], list[list[str]], list[tuple[int, str]], list[int]]:
     """Parents (-1 at the root, always before their children), features, text segments
     (node, text) in page order, and labels (of pages that carry them) of the blocks."""
@@ -58,6 +130,12 @@ def parse(html: str) -> tuple[list[int], list[list[str]], list[tuple[int, str]],
     own_text, own_links = [0], [0]
     segments: list[tuple[int, str]] = []
     stack, pending, in_link, at = [0], [], 0, 0
+    depths: dict[str, list[int]] = {}  # of the open blocks of each tag, ascending
+    found = Tags(html)
+
+    def close_to(depth: int) -> None:
+        while len(stack) > depth:
+            depths[tags[stack.pop()]].pop()
 
     def flush() -> None:
         if pending:
@@ -70,20 +148,19 @@ def parse(html: str) -> tuple[list[int], list[list[str]], list[tuple[int, str]],
                 own_links[stack[-1]] += len(text) * (in_link > 0)
 
     while at < len(html):
-        match = TOKEN.search(html, at)
+        match = found.next(at)
         if match is None:
             pending.append(html[at:])
             break
-        if match.start() > at:
-            pending.append(html[at:match.start()])
-        at, tag = match.end(), (match[2] or "").lower()
+        start, end, closing, tag, named = match
+        if start > at:
+            pending.append(html[at:start])
+        at = end
         if not tag:
             continue
-        closing = bool(match[1])
         if tag in RAW:
-            if not closing and not match[3].endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if not closing and not named.endswith("/"):
+                at = found.raw_end(tag, at)
             continue
         if tag == "br" or tag == "hr":
             pending.append(" ")
@@ -101,28 +178,24 @@ def parse(html: str) -> tuple[list[int], list[list[str]], list[tuple[int, str]],
                 in_link = 0
             flush()
             if closing:
-                names = [tags[k] for k in stack]
-                if tag in names[1:]:
-                    while tags[stack.pop()] != tag:
-                        pass
+                if depths.get(tag):
+                    close_to(depths[tag][-1])
                 continue
             if tag in CLOSES:
                 ends, within = CLOSES[tag]
-                for k in reversed(range(1, len(stack))):
-                    if tags[stack[k]] in ends:
-                        del stack[k:]
-                        break
-                    if tags[stack[k]] in within:
-                        break
+                nearest = max((depths[t][-1] for t in ends if depths.get(t)), default=0)
+                if nearest > max((depths[t][-1] for t in within if depths.get(t)), default=0):
+                    close_to(nearest)
             while tags[stack[-1]] == "p" or tags[stack[-1]] in HEADINGS and tag in HEADINGS:
-                stack.pop()  # a paragraph ends where a block begins
+                close_to(len(stack) - 1)  # a paragraph ends where a block begins
             parents.append(stack[-1])
             tags.append(tag)
-            attributes.append(" ".join(a or b or c for a, b, c in PURPOSE_ATTRIBUTE.findall(match[3])))
-            label = LABEL_ATTRIBUTE.search(match[3])
+            attributes.append(" ".join(a or b or c for a, b, c in PURPOSE_ATTRIBUTE.findall(named)))
+            label = LABEL_ATTRIBUTE.search(named)
             labels.append(int(label[1]) if label else labels[stack[-1]])
             own_text.append(0)
             own_links.append(0)
+            depths.setdefault(tag, []).append(len(stack))
             stack.append(len(parents) - 1)
     flush()
     text, links = own_text[:], own_links[:]
@@ -175,7 +248,7 @@ class TreeModel:
             if not root[k]:
                 depth[k] = depth[parents[k]] + 1
         belief[root] += np.log([0.999, 0.001])
-        levels = [np.flatnonzero(depth == d) for d in range(depth.max(initial=0) + 1)]
+        levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth, minlength=1))[:-1])
         message = np.zeros((n, 2))
         for level in reversed(levels[1:]):
             p = parents[level]

@@ -34,6 +34,11 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+#: Pretokens of more code points are long: their tables are not cached by text, and cuts
+#: inside them move no border, so counts there are looked up.
+LONG = 64
+
+
 class PrefixTables:
     """Counts of all prefixes of pretokens under the merges of a vocabulary file."""
 
@@ -50,15 +55,18 @@ class PrefixTables:
         self.merges = Merges({k: t for t, k in ids.items()}, lambda a, b: ranks.get((a, b), math.inf),
                              {b: ids[bytes([b])] for b in range(256)})
         self._tables: dict[str, list[int]] = {}
+        self._long: dict[str, list[int]] = {}
         self._totals = _Totals(self)
 
     def table(self, pretoken: str) -> list[int]:
         """table[i]: tokens of the first i code points' bytes."""
-        known = self._tables.get(pretoken)
+        long = len(pretoken) > LONG
+        tables = self._long if long else self._tables
+        known = tables.get(pretoken)
         if known is None:
-            if len(self._tables) >= CACHE // 16:
-                self._tables.clear()
-            known = self._tables[pretoken] = self._count(pretoken)
+            if len(tables) >= (4 if long else CACHE // 16):
+                tables.clear()
+            known = tables[pretoken] = self._count(pretoken)
         return known
 
     def _count(self, pretoken: str) -> list[int]:
@@ -90,10 +98,13 @@ class _Totals(dict):
         self.tables = tables
 
     def __missing__(self, pretoken: str) -> int:
+        total = self.tables.table(pretoken)[-1]
+        if len(pretoken) > LONG:
+            return total
         if len(self) >= CACHE:
             self.clear()
             self.update({t: 1 for t in byte_bpe.added_strings(self.tables.path)[1]})
-        total = self[pretoken] = self.tables._count(pretoken)[-1]
+        self[pretoken] = total
         return total
 
 
@@ -119,6 +130,8 @@ class PrefixCounts:
         A cut can move borders in the pretoken it meets and the one before; those are
         split again, and their counts read from the tables. Added strings of a text
         may be cut, too; a cut one is ordinary text that joins what lies before it.
+        From the second code point of a long pretoken on, which is a run of one class
+        of characters (behind a space, maybe), a cut moves no border.
         """
         self._index()
         if n_chars >= len(self.text):
@@ -126,6 +139,9 @@ class PrefixCounts:
         if n_chars <= 0:
             return 0
         k = bisect_right(self._starts, n_chars - 1) - 1
+        inside = n_chars - self._starts[k]
+        if len(self.parts[k]) > LONG and inside > 1:
+            return self._before[k] + self.tables.table(self.parts[k])[inside]
         first = max(0, k - 1)
         added = byte_bpe.added_strings(self.tables.path)[1]
         if self.parts[k] in added:
@@ -143,9 +159,20 @@ class PrefixCounts:
         self._index()
         # Whole pretokens before the last three are certain in any prefix that goes on.
         k = min(bisect_right(self._before, limit) + 2, len(self.parts))
-        for n_chars in range(min(self._starts[k], len(self.text) - 1), 0, -1):
+        n_chars = min(self._starts[k], len(self.text) - 1)
+        while n_chars > 0:
+            k = bisect_right(self._starts, n_chars - 1) - 1
+            inside, before = n_chars - self._starts[k], self._before[k]
+            if len(self.parts[k]) > LONG and inside > 1:
+                table = self.tables.table(self.parts[k])
+                while inside > 1 and before + table[inside] > limit:
+                    inside -= 1
+                n_chars = self._starts[k] + inside
+                if inside > 1:
+                    return n_chars
             if self.at(n_chars) <= limit:
                 return n_chars
+            n_chars -= 1
         return 0
 
 

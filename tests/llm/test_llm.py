@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -492,3 +493,52 @@ def test_entry_has_the_queries():
 
     names = list(__spark_entry__.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+# --- hostile texts ------------------------------------------------------------
+
+@pytest.mark.parametrize("alphabet", ["abcdeft ", "  \n\ta", "é中ab ", "!'s1 a"])
+def test_counts_inside_long_pretokens_equal_the_library(alphabet):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tables, library = token_counts.prefix_tables(path), byte_bpe.tokenizer(path)
+    rng = random.Random(alphabet)
+    word = [c for c in alphabet if not c.isspace()] or ["a"]
+    for _ in range(4):
+        text = "".join([*rng.choices(alphabet, k=30), rng.choice(alphabet) * 80, *rng.choices(word, k=90), *rng.choices(alphabet, k=20)])
+        exact = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+        counts = tables.of(text)
+        assert [counts.at(k) for k in range(len(text) + 1)] == exact
+        for limit in (0, 3, 20, 50):
+            assert counts.fit(limit) == max(k for k, n in enumerate(exact) if n <= limit)
+
+
+@pytest.mark.parametrize("text", ["ab" * 500_000, " " * 1_000_000, " " * 300_000 + "x", "漢字" * 100_000])
+def test_counting_is_linear_in_the_longest_word(text):
+    tables = token_counts.prefix_tables(public_tokenizers.path("byte_bpe_50k.json"))
+    started = time.monotonic()
+    counts = tables.of(text)
+    fit = counts.fit(512)
+    assert counts.at(fit) <= 512 < counts.at(fit + 1)
+    assert time.monotonic() - started < 40
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * 300_000, '<p class="x ' * 100_000, '<a "" ' * 100_000 + "'>", "<a " * 200_000 + "'>", "<!x " * 200_000,
+    "<script>" + "</script " * 200_000, "<body>" * 50_000, "<div>" * 100_000 + "x", "<li></li>" * 20_000 + "</div>" * 20_000,
+    "<li><ul>" + "<div>" * 20_000 + "<li></li>" * 20_000,
+])
+def test_parsing_is_linear_in_the_page(html):
+    started = time.monotonic()
+    parents, features, segments, _ = html_text.parse(html)
+    assert len(parents) == len(features) and all(p < k for k, p in enumerate(parents))
+    assert time.monotonic() - started < 15
+
+
+@pytest.mark.parametrize(("html", "pieces"), [
+    ("a<p>b</p>c", ["a", "b", "c"]), ("<p title='>'>b", ["b"]), ('x <a "y', ['x <a "y']), ("1 < 2 <p>3", ["1 < 2", "3"]),
+    ("<!-- <p> -->b", ["b"]), ("b<!-- <p>", ["b"]), ("<!x>b<?y>c", ["bc"]), ("<script><p>x</script z>b", ["b"]),
+    ("<script>x</script", []), ("a<style>p</style>b", ["ab"]), ("a <", ["a <"]), ("a<!--", ["a"]), ("", []),
+    ("<ul><li>a<li>b<ul><li>c</ul>d</ul>e", ["a", "b", "c", "d", "e"]),
+])
+def test_odd_markup_is_parsed(html, pieces):
+    assert [text for _, text in html_text.parse(html)[2]] == pieces
