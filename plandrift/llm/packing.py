@@ -52,15 +52,64 @@ def encode(text: str, path: str) -> bytes:
     return b"".join(map(pretoken_ids(path).__getitem__, byte_bpe.parts(text, path)))
 
 
-def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadratic: float = 1 / 4608,
-         look: int = 8) -> list[tuple[int, int, int, int, int]]:
+class CheapestWithRoom:
+    """Sequences by free room, the cheapest of each in front; ties: the lower sequence.
+
+    A binary tree over the rooms 1 to ``capacity`` holds at each node the least cost below
+    it, so the cheapest sequence with a given room takes one walk, whatever their number.
+    """
+
+    NONE = (float("inf"), -1)
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(capacity)]
+        self.least = [self.NONE] * (2 * capacity)
+
+    def add(self, room: int, cost: float, sequence: int) -> None:
+        heapq.heappush(self.heaps[room - 1], (cost, sequence))
+        self._renew(room)
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """(cost, sequence, its room) of the cheapest with ``room`` at least, which leaves."""
+        best, low, high = self.NONE, room - 1 + self.capacity, 2 * self.capacity
+        where = 0
+        while low < high:
+            if low & 1:
+                if self.least[low] < best:
+                    best, where = self.least[low], low
+                low += 1
+            if high & 1:
+                high -= 1
+                if self.least[high] < best:
+                    best, where = self.least[high], high
+            low, high = low >> 1, high >> 1
+        if not where:
+            return None
+        while where < self.capacity:
+            where = 2 * where + (self.least[2 * where + 1] == best)
+        found = where - self.capacity + 1
+        heapq.heappop(self.heaps[found - 1])
+        self._renew(found)
+        return *best, found
+
+    def _renew(self, room: int) -> None:
+        heap, node = self.heaps[room - 1], room - 1 + self.capacity
+        self.least[node] = heap[0] if heap else self.NONE
+        while node > 1:
+            node >>= 1
+            self.least[node] = min(self.least[2 * node], self.least[2 * node + 1])
+
+
+def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0,
+         quadratic: float = 1 / 4608) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of documents of these lengths.
 
     ``capacity`` is a power of two. Stretches of a whole sequence fill one each. What is
-    left of each document goes, longest first, to the cheapest sequence with room for
-    it, if one of the ``look`` cheapest has; else the cheapest is filled up and the rest
-    goes on. The default costs fit a model of width 768 (6 times the width equals the
-    length at which both parts weigh the same). Ties: lower document, lower sequence.
+    left of each document goes, longest first, to the cheapest of all sequences with room
+    for it; if none has, the cheapest is filled up and the rest goes on. The default costs
+    fit a model of width 768 (6 times the width equals the length at which both parts
+    weigh the same). Ties: lower document, lower sequence.
     """
     cost = lambda n: linear * n + quadratic * n * n
     pieces, rest, n_sequences = [], [], 0
@@ -74,32 +123,20 @@ def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadrati
     total = -sum(r[0] for r in rest)
     sizes = [capacity] * (total // capacity)
     sizes += [1 << b for b in reversed(range(capacity.bit_length())) if (total % capacity) >> b & 1]
-    used = [0] * len(sizes)
-    # A short sequence costs what a whole one would that has no more room than it.
-    heap = [(cost(capacity - size), s) for s, size in enumerate(sizes)]
-    heapq.heapify(heap)
+    free = CheapestWithRoom(capacity)
+    for s, size in enumerate(sizes):
+        # A short sequence costs what a whole one would that has no more room than it.
+        free.add(size, cost(capacity - size), s)
     rest.sort()
     for negative, doc, start in rest:
         left = -negative
         while left:
-            tried, found = [], None
-            while heap and len(tried) < look and found is None:
-                entry = heapq.heappop(heap)
-                if sizes[entry[1]] - used[entry[1]] >= left:
-                    found = entry
-                else:
-                    tried.append(entry)
-            if found is None:
-                found = tried.pop(0)
-            for entry in tried:
-                heapq.heappush(heap, entry)
-            s = found[1]
-            n = min(left, sizes[s] - used[s])
-            pieces.append((doc, start, n, n_sequences + s, used[s]))
-            used[s] += n
+            spent, s, room = free.take(left) or free.take(1)
+            n = min(left, room)
+            pieces.append((doc, start, n, n_sequences + s, sizes[s] - room))
             start, left = start + n, left - n
-            if used[s] < sizes[s]:
-                heapq.heappush(heap, (found[0] + cost(n), s))
+            if n < room:
+                free.add(room - n, spent + cost(n), s)
     return pieces
 
 

@@ -1,13 +1,15 @@
 """Quality rules (8): cutoffs with a guaranteed bound on the false rejection of good texts.
 
-Each rule is a rate whose large values are suspicious. Good labelled documents are split
-in two by a hash of their id. One half proposes cutoffs: for each stratum a ladder of
-settings from lenient to strict, each a vector of quantiles for all rules. The other half
-tests the settings in this fixed order: of its n documents k are rejected, and
-P(Binomial(n, risk) <= k), summed exactly, must not exceed the share of the error rate
-that the stratum gets (Bonferroni over strata; a fixed order needs no more correction).
-The strictest setting before the first failure holds. With probability 1 - ``error`` no
-stratum's setting rejects more than ``risk`` of its good documents.
+Each rule is a rate whose large values are suspicious. Good labelled texts, copies counting
+once, are split in two by a hash of the text. One half proposes cutoffs: for each stratum a
+ladder of settings from lenient to strict, each a vector of cutoffs for all rules: multiples
+of the rules' maxima, then quantiles. The other half tests the settings in this fixed order:
+of its n texts k are rejected, and P(Binomial(n, risk) <= k), summed exactly, must not exceed
+the share of the error rate that the stratum gets (Bonferroni over strata; a fixed order needs
+no more correction). The strictest setting before the first failure holds. Strata with too few
+texts for a test of their own are tested together as one, which gets a share of its own. With
+probability 1 - ``error`` no tested stratum's setting rejects more than ``risk`` of its good
+texts; for strata tested together this holds of all their texts taken together.
 
 DataFrame functions only.
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plandrift.llm import common
@@ -25,8 +27,10 @@ WORD = rf"[^{common.SPACE_CLASS}]+"
 SYMBOLS = "#*$%&|<>"  # fixed values
 RULES = ("symbol_rate", "upper_rate", "mark_rate", "dup_line_rate", "repeat_rate", "word_length")
 WINDOW = 8
-#: A row of cutoffs is kept for each; with more it is an error, as they are broadcast.
-MOST_STRATA = 10_000
+#: The most lenient settings reject above these multiples of the largest rate proposed.
+MULTIPLES = (4.0, 2.0, 1.5, 1.25)
+#: A stratum is tested by itself if it would pass with so many texts rejected.
+LEEWAY = 1
 
 
 def base_features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -99,41 +103,67 @@ def binomial_cdf(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(last + n * math.log1p(-p))))
 
 
+def tested_as(sizes: DataFrame, risk: float, error: float) -> DataFrame:
+    """(stratum, unit) of (stratum, n): the unit that a stratum is tested in.
+
+    Strata that could not pass with ``LEEWAY`` rejections form one unit, to which the
+    smallest of the others are added until it could pass itself. Depends on the number of
+    texts only, not on their rates. One row per stratum meets in the running sum.
+    """
+    level = F.lit(error) / (F.count("*").over(Window.partitionBy()) + 1)
+    before = Window.orderBy("n", "stratum").rowsBetween(Window.unboundedPreceding, -1)
+    frame = sizes.select("stratum", "n", level.alias("level"), F.sum("n").over(before).alias("before"))
+    few = lambda n: binomial_cdf(n, F.lit(LEEWAY), risk) > F.col("level")
+    # All strata before one whose sum is too small are themselves too small.
+    pooled = few(F.col("n")) | (F.col("before").isNotNull() & few(F.coalesce("before", F.lit(0))))
+    return frame.select("stratum", F.when(pooled, "pool").otherwise(F.concat(F.lit("own "), "stratum")).alias("unit"))
+
+
 def cutoffs(labelled: DataFrame, risk: float = 0.02, error: float = 0.05, steps: int = 20) -> DataFrame:
     """(stratum, the rules' cutoffs, n, k, p_value): the setting that holds per stratum.
 
-    ``labelled``: stratum, doc_id and rates of good documents. Setting s of ``steps``
-    rejects above the quantile 1 - s/steps * risk / number of rules of each rule; the
-    first rejects above the maximum only. A stratum without a passing setting has no
-    row. Quantiles are Spark's mergeable ones, so no group meets in one task.
+    ``labelled``: stratum, text_key (a hash of the text) and rates of good documents; a
+    text counts once per stratum. The first settings reject above ``MULTIPLES`` of each
+    rule's maximum; setting s of 0 to ``steps`` after them above the quantile
+    1 - 2 * s/steps * risk / number of rules, as texts seldom fail one rule only. A
+    stratum without a passing setting has no row, nor one without good texts. n, k and
+    p_value are those of the unit it was tested in. Quantiles are Spark's mergeable ones,
+    so no group meets in one task.
     """
-    half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id")), F.lit(2))
-    probabilities = [1 - s / steps * risk / len(RULES) * 2 for s in range(steps + 1)]
-    ladder = labelled.where(half == 0).groupBy("stratum").agg(*[
+    texts = labelled.dropDuplicates(["stratum", "text_key", *RULES])
+    half = F.pmod(F.xxhash64(F.lit("half"), F.col("text_key")), F.lit(2))
+    texts = common.stored(texts.select("stratum", *RULES, half.alias("half")), "good-texts")
+    # A stratum without a text in the tested half counts too, with none.
+    sizes = texts.groupBy("stratum").agg(F.sum("half").alias("n"))
+    units = common.stored(tested_as(sizes, risk, error), "units")
+    texts = texts.join(units, "stratum")
+    probabilities = [1 - 2 * s / steps * risk / len(RULES) for s in range(steps + 1)]
+    ladder = texts.where("half = 0").groupBy("unit").agg(*[
         F.percentile_approx(r, probabilities, 20_000).alias(f"c_{r}") for r in RULES])
-    ladder = ladder.select("stratum", F.posexplode(F.arrays_zip(*[f"c_{r}" for r in RULES])).alias("setting", "c"))
-    # Every labelled row meets the settings of its stratum in one array, not in a product.
-    arrays = ladder.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("setting", "c"))).alias("ladder"))
-    arrays = common.stored(arrays, "ladders")
-    if arrays.count() > MOST_STRATA:
-        raise ValueError(f"more than {MOST_STRATA} strata")
-    tested = labelled.where(half == 1).join(F.broadcast(arrays), "stratum")
-    over = lambda c: _any([F.col(r) > c["c"][f"c_{r}"] for r in RULES])
-    rejected = tested.select("stratum", F.transform("ladder", lambda c: over(c).cast("int")).alias("r"))
-    counts = rejected.groupBy("stratum").agg(F.count("*").cast("int").alias("n"), *[
-        F.sum(F.get("r", F.lit(s))).cast("int").alias(f"k_{s}") for s in range(steps + 1)])
-    n_strata = arrays.agg(F.count("*").alias("n")).scalar()
-    k = F.array(*[F.col(f"k_{s}") for s in range(steps + 1)])
-    results = counts.join(arrays, "stratum").select("stratum", "n", "ladder", F.transform(k, lambda x: F.struct(
+    rungs = F.concat(
+        F.array(*[F.struct(*[(F.get(f"c_{r}", F.lit(0)) * m).alias(f"c_{r}") for r in RULES]) for m in MULTIPLES]),
+        F.arrays_zip(*[f"c_{r}" for r in RULES]))
+    n_rungs = len(MULTIPLES) + steps + 1
+    arrays = common.stored(ladder.select("unit", rungs.alias("ladder")), "ladders")
+    # Every text meets the settings of its unit in one array, not in a product.
+    tested = texts.where("half = 1").join(arrays, "unit")
+    over = lambda c: _any([F.col(r) > c[f"c_{r}"] for r in RULES])
+    rejected = tested.select("unit", F.transform("ladder", lambda c: over(c).cast("int")).alias("r"))
+    counts = rejected.groupBy("unit").agg(F.count("*").cast("int").alias("n"), *[
+        F.sum(F.get("r", F.lit(s))).cast("int").alias(f"k_{s}") for s in range(n_rungs)])
+    n_units = units.agg(F.countDistinct("unit").alias("n")).scalar()
+    k = F.array(*[F.col(f"k_{s}") for s in range(n_rungs)])
+    results = counts.join(arrays, "unit").select("unit", "n", "ladder", F.transform(k, lambda x: F.struct(
         x.alias("k"), binomial_cdf(F.col("n"), x, risk).alias("p_value"))).alias("tests"),
-        (F.lit(error) / n_strata).alias("level"))
+        (F.lit(error) / n_units).alias("level"))
     passed = F.aggregate("tests", F.struct(F.lit(0).alias("m"), F.lit(True).alias("go")), lambda acc, t: F.struct(
         (acc["m"] + (acc["go"] & (t["p_value"] <= F.col("level"))).cast("int")).alias("m"),
         (acc["go"] & (t["p_value"] <= F.col("level"))).alias("go")), lambda acc: acc["m"])
     results = results.withColumn("m", passed).where("m > 0")
-    chosen, test = F.get("ladder", F.col("m") - 1)["c"], F.get("tests", F.col("m") - 1)
-    return results.select("stratum", *[chosen[f"c_{r}"].alias(f"c_{r}") for r in RULES],
-                          "n", test["k"].alias("k"), test["p_value"].alias("p_value"))
+    chosen, test = F.get("ladder", F.col("m") - 1), F.get("tests", F.col("m") - 1)
+    results = results.select("unit", *[chosen[f"c_{r}"].alias(f"c_{r}") for r in RULES],
+                             "n", test["k"].alias("k"), test["p_value"].alias("p_value"))
+    return units.join(results, "unit").drop("unit")
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -146,13 +176,14 @@ def _any(conditions: list[Column]) -> Column:
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05) -> DataFrame:
     """doc_id, the counts, base_failed, rule_failed and kept per row of ``docs``.
 
-    Strata are languages, a null one being its own. A stratum without enough labelled
-    documents rejects by the base rule only. ``labels`` (doc_id, quality) may repeat
-    ids; a document is good if all its labels are 1. Null texts have no words and fail
+    Strata are languages, a null one being its own (the empty name). Those with few good
+    texts are tested together; one without any, and all if even together they are too few,
+    reject by the base rule only. ``labels`` (doc_id, quality) may repeat ids; a document
+    is good if all its labels are 1. Null texts have no words and fail
     the base rule. Repeated rows stay; an empty table gives no rows.
     """
     features, limits = fitted(docs, labels, risk, error)
-    return (features.join(F.broadcast(limits), "stratum", "left")
+    return (features.join(limits, "stratum", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     F.expr(BASE_FAILED).alias("base_failed"), F.expr(FAILED).alias("rule_failed"), F.expr(KEPT).alias("kept")))
 
@@ -165,8 +196,9 @@ KEPT = f"not ({BASE_FAILED} or {FAILED})"
 
 def fitted(docs: DataFrame, labels: DataFrame, risk: float, error: float) -> tuple[DataFrame, DataFrame]:
     """(features of all documents, cutoffs per stratum)."""
-    features = common.stored(rates(base_features(docs, keep=["lang"])).withColumn(
-        "stratum", F.coalesce(F.col("lang"), F.lit(""))), "features")
+    rows = docs.select("doc_id", "text", F.coalesce(F.col("lang"), F.lit("")).alias("stratum"),
+                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"))
+    features = common.stored(rates(base_features(rows, keep=["stratum", "text_key"])), "features")
     good = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
             .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
     labelled = features.where(f"not ({BASE_FAILED})").join(good, "doc_id", "left_semi")
@@ -177,12 +209,12 @@ def keep_by_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
     """The documents that the rules keep, with their columns.
 
     Texts are counted a second time instead of being shuffled to meet their verdicts.
-    The cutoffs' table has one row per language, of which there are ``MOST_STRATA`` at most.
+    The cutoffs' table has one row per language; Spark broadcasts it as long as it is small.
     """
     _, limits = fitted(docs, labels, risk, error)
     row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text",
                       F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))
-    checked = rates(base_features(row, keep=["row", "stratum"])).join(F.broadcast(limits), "stratum", "left")
+    checked = rates(base_features(row, keep=["row", "stratum"])).join(limits, "stratum", "left")
     # A filter would be pushed below, and the nested counts be written out in it many times.
     return checked.select(F.explode(F.when(F.expr(KEPT), F.array("row"))).alias("row")).select("row.*")
 
