@@ -294,9 +294,9 @@ def _once(name: str, make):
     return _held[name]
 
 
-def fit(docs: DataFrame, network: Network, index: list[bytes], share: float, rounds: int) -> np.ndarray:
-    """Weights learned from a hashed share of the (doc_id, text) rows, a part in each round."""
-    bounds, size = network.bounds, network.size
+def fit(docs: DataFrame, network: Network, index: list[bytes], share: float, rounds: int) -> tuple[np.ndarray, int]:
+    """(weights, tokens learned from): a hashed share of the (doc_id, text) rows, a part in each round."""
+    bounds, size, tokens_learned = network.bounds, network.size, 0
     spark = docs.sparkSession
     schema = pa.schema([("n", pa.int64()), ("weights", pa.binary())])
     sums = "n long, weights binary"
@@ -342,17 +342,19 @@ def fit(docs: DataFrame, network: Network, index: list[bytes], share: float, rou
         result = parts.repartition(1).mapInArrow(total, sums).first()
         if result is not None:
             network = Network(bounds, size, flat=np.frombuffer(result["weights"], np.float64) / result["n"])
+            tokens_learned += result["n"]
         shared.unpersist()
-    return network.flat
+    return network.flat, tokens_learned
 
 
-def lm_scores(docs: DataFrame, vocabulary: int = 2048, counted: int = 65_536, share: float = 0.06, rounds: int = 2,
+def lm_scores(docs: DataFrame, vocabulary: int = 2048, counted: int = 65_536, share: float = 1.0, rounds: int = 2,
               size: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per row.
 
     Training documents are those with crc32 of the id, as text, mod 7 other than 2; rows
-    without id are among them. Counts come from all of them, the network's weights from
-    the hashed ``share`` of them. The ``counted`` most frequent tokens are broadcast with
+    without id are among them. Counts come from all of them, and so do the network's
+    weights, each text being learned in one of the ``rounds``; a smaller ``share`` takes
+    a hashed part of them for the weights. The ``counted`` most frequent tokens are broadcast with
     their counts, ``vocabulary`` of them known to the network; occurrences of all others
     meet their counts in a join. A null text counts as empty and consists of its end.
     Repeated rows stay; an empty table gives no rows; other columns are not looked at.
@@ -380,7 +382,7 @@ def lm_scores(docs: DataFrame, vocabulary: int = 2048, counted: int = 65_536, sh
     c = np.array([counts[t] for t in index])
     bounds = class_bounds(c[:len(known)].tolist())
     rest = n_all - int(c[:len(known)].sum()) + v_all - int((c[:len(known)] > 0).sum()) + 1
-    flat = fit(training, unigram(Network(bounds, size), c[:len(known)], rest), index, share, rounds)
+    flat, _ = fit(training, unigram(Network(bounds, size), c[:len(known)], rest), index, share, rounds)
     shared, name = spark.sparkContext.broadcast((bounds, index, c, flat)), uuid.uuid4().hex
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("logs", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary()))])

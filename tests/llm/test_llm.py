@@ -534,6 +534,15 @@ def test_language_model(spark, docs, empty):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_language_model_learns_from_all_training_texts(spark, monkeypatch):
+    told, fit = [], language_model.fit
+    monkeypatch.setattr(language_model, "fit", lambda *a: told.append(fit(*a)) or told[-1])
+    rows = [(k, prose(30, k)) for k in range(60)] + [(7, None), (None, "alpha beta"), (3, prose(30, 3))]
+    got = language_model.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary=64, counted=128)
+    _, learned = told[0]
+    assert learned == got.first()["train_tokens"]
+
+
 def test_network_learns_and_sums_to_one():
     rng = random.Random(3)
     docs = [np.array([(k + s) % 6 for k in range(40)], np.int32) for s in (rng.randrange(6) for _ in range(200))]
