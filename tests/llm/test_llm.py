@@ -291,6 +291,32 @@ def test_classifier_sample_has_a_row_per_id(spark):
     assert all(r["log10_perplexity"] == pytest.approx(scores[r["doc_id"]]) for r in more.collect())
 
 
+def test_classifier_learns_from_every_trusted_text(spark):
+    """More trusted texts than the 2,000 that were once the most; looked up by brute force."""
+    marks = spark.createDataFrame([(k, 1) for k in range(2100)], "doc_id long, quality int")
+    late = {r["doc_id"] for r in marks.orderBy(F.xxhash64(F.lit("trusted"), F.col("doc_id")).desc()).limit(50).collect()}
+    rows = [(k, "Zürich qqx ñandú" if k in late else prose(3, k), "en") for k in range(2100)]
+    frame = spark.createDataFrame([*rows, (5000, "qqx 日本 alphabeta ürq", "en")], "doc_id long, text string, lang string")
+    words = quality_classifier.word_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    probability, backoff, new = quality_classifier.train(words)
+
+    def score(text: str) -> float:
+        total = 0.0
+        for word in text.split():
+            padded = "    " + word + " "
+            for end in range(5, len(padded) + 1):
+                for start in range(end - 5, end):
+                    if padded[start:end] in probability:
+                        total += probability[padded[start:end]]
+                        break
+                    total += backoff.get(padded[start:end - 1], 0.0) if start < end - 1 else new
+        return -total / (len("".join(text.split())) + len(text.split()))
+
+    got = {r["doc_id"]: r["log10_perplexity"] for r in quality_classifier.quality_scores(frame, marks).collect()}
+    for k, text, _ in [*rows[:20], *[r for r in rows if r[0] in late], (5000, "qqx 日本 alphabeta ürq", "")]:
+        assert got[k] == pytest.approx(score(text))
+
+
 def test_long_trusted_texts_leave_no_others_out(spark):
     schema = "doc_id long, text string, lang string"
     marks = spark.createDataFrame([(k, 1) for k in range(12)], "doc_id long, quality int")
