@@ -17,7 +17,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plandrift.llm import common
@@ -226,24 +226,50 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parity_sketch(hashes: np.ndarray) -> list[int]:
+    """16 longs, each bit being the parity of the number of hashes that fall on it.
+
+    Two sets differ in at least as many members as their sketches differ in bits.
+    """
+    odd = np.bincount((hashes >> np.uint64(54)).astype(np.int64), minlength=1024) % 2
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
+
+
+def _possible(least: float) -> Column:
+    """Whether sets (size, sketch) and (near_size, near_sketch) may have that Jaccard similarity.
+
+    A bound, not an estimate: with S members together and a difference of D or more, the
+    similarity is (S - D) / (S + D) at most.
+    """
+    bits = F.aggregate(F.zip_with("sketch", "near_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                       F.lit(0), lambda total, n: total + n)
+    difference = F.greatest(bits, F.abs(F.col("size") - F.col("near_size")))
+    both = F.col("size") + F.col("near_size")
+    return both - difference >= least * (both + difference) - 1e-6
+
+
 def _classes(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text_hash, digest, code, bands) per row: the digest is that of the set of shingles."""
+    """(doc_id, text_hash, digest, code, bands, size, sketch) per row, the last five of the set of shingles."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.int64()),
-                        ("code", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                        ("code", pa.int64()), ("bands", pa.list_(pa.int64())), ("size", pa.int64()),
+                        ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.column_chunks(batches, 200):
-            digests, codes, keys = [], [], []
+            digests, codes, keys, sizes, sketches = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = shingle_hashes(text, shingle)
                 digests.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
                 codes.append(fingerprint(text))
                 keys.append(band_keys(hashes, bands, rows))
+                sizes.append(len(hashes))
+                sketches.append(parity_sketch(hashes))
             yield common.record_batch(schema, [
-                batch.column(0), batch.column(1), digests, np.frombuffer(b"".join(codes), ">i8").astype(np.int64), keys])
+                batch.column(0), batch.column(1), digests, np.frombuffer(b"".join(codes), ">i8").astype(np.int64), keys,
+                sizes, sketches])
 
     return (texts.select("doc_id", "node", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(run, "doc_id long, text_hash long, digest long, code long, bands array<long>"))
+            .mapInArrow(run, "doc_id long, text_hash long, digest long, code long, bands array<long>, size long, sketch array<long>"))
 
 
 def _near_codes(nodes: DataFrame, radius: int) -> DataFrame:
@@ -259,15 +285,17 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _asked(members: DataFrame, spread: int) -> DataFrame:
-    """(a, b): every member of a bucket with the bucket's representatives of other components.
+def _asked(members: DataFrame, spread: int, least: float) -> DataFrame:
+    """(a, b): every member of a bucket with the bucket's representatives of other components,
+    but for those that can't be similar by their sizes and sketches.
 
     A bucket has one representative in each of ``spread`` parts that its members fall into.
     """
     part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
-    chosen = (members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "component")).alias("r"))
-              .select("bucket", "r.*").toDF("bucket", "near", "of_near"))
-    pairs = members.select("bucket", "node", "component").join(chosen, "bucket").where("component <> of_near")
+    chosen = (members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "component", "size", "sketch")).alias("r"))
+              .select("bucket", "r.*").toDF("bucket", "near", "of_near", "near_size", "near_sketch"))
+    pairs = (members.select("bucket", "node", "component", "size", "sketch").join(chosen, "bucket")
+             .where("component <> of_near").where(_possible(least)))
     return pairs.select(*_ordered("node", "near")).distinct()
 
 
@@ -313,23 +341,23 @@ def _copy_components(texts: DataFrame, radius: int, shingle: int, least: float,
                      ) -> tuple[DataFrame, DataFrame]:
     """((text_hash, digest) of all texts, (digest, low, component) of all sets of shingles)."""
     known = common.stored(_classes(texts, shingle, bands, rows).groupBy("text_hash").agg(
-        F.min("doc_id").alias("low"), *[F.first(c).alias(c) for c in ("digest", "code", "bands")]), "classes")
+        F.min("doc_id").alias("low"), *[F.first(c).alias(c) for c in ("digest", "code", "bands", "size", "sketch")]), "classes")
     nodes = common.stored(known.groupBy("digest").agg(
         F.min("text_hash").alias("node"), F.min("low").alias("low"), F.min("code").alias("code"),
-        F.first("bands").alias("bands")), "nodes")
-    keyed = nodes.select("node", F.explode("bands").alias("bucket"))
+        *[F.first(c).alias(c) for c in ("bands", "size", "sketch")]), "nodes")
+    keyed = nodes.select("node", "size", "sketch", F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = common.stored(keyed.join(shared, "bucket"), "buckets")
     members = buckets.withColumn("component", F.col("node"))
     pairs = _near_codes(nodes, radius).where("a <> b").select(*_ordered("a", "b"))
     spread, edges = 1, None
     while True:
-        pairs = common.stored(_asked(members, spread).unionByName(pairs).distinct(), "candidates")
+        pairs = common.stored(_asked(members, spread, least).unionByName(pairs).distinct(), "candidates")
         new = _verified(pairs, texts, shingle, least)
         edges = new if edges is None else edges.unionByName(new)
         parts = common.connected_components(edges)
         members = common.stored(buckets.join(parts, "node", "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("component")), "members")
+            "bucket", "node", "n", "size", "sketch", F.coalesce("component", "node").alias("component")), "members")
         # Open: more than one component, and members that have not met each other.
         part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
         state = members.groupBy("bucket", part.alias("part")).agg(
@@ -363,7 +391,8 @@ def near_copies(docs: DataFrame, radius: int = 3, shingle: int = 5, least: float
     are told apart by 64-bit hashes. The members of a band's bucket are compared with
     one representative; only buckets that hold several components then go on, with four
     times as many representatives, until all members of different components have met
-    or the bucket is one component. So groups cost a multiple of their size. A pair
+    or the bucket is one component. Pairs whose sizes or sketches rule the similarity out are
+    left out before their sets are fetched. A pair
     whose only bands became one component by other links is connected all the same.
     Texts without words link to each other.
     """

@@ -486,6 +486,40 @@ def test_stage_drops_near_copies_beyond_three_bits(spark, docs):
     assert {d for d, c in parts.items() if d >= 1000 and d == c} == want
 
 
+def test_texts_that_share_bands_only_are_not_fetched(spark, monkeypatch):
+    """Families at a similarity of about a half: their pairs used to grow with the square of a family."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(4):
+        words = [rng.choice(WORDS) + rng.choice(WORDS) + rng.choice(WORDS) for _ in range(300)]
+        rows += [(100 * k + i, " ".join(f"{w}{i}" if rng.random() < 0.04 else w for w in words)) for i in range(30)]
+    told, verified = [], simhash._verified
+    monkeypatch.setattr(simhash, "_verified", lambda pairs, *a: told.append(pairs.count()) or verified(pairs, *a))
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = {d: set(simhash.shingle_hashes(t.encode()).tolist()) for d, t in rows}
+    assert not any(5 * len(sets[d] & sets[e]) >= 4 * len(sets[d] | sets[e]) for d in sets for e in sets if d < e)
+    assert all(r["doc_id"] == r["component_id"] for r in got) and len(got) == len(rows)
+    assert sum(told) < len(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_the_sets_in_members():
+    rng = np.random.Generator(np.random.PCG64(2))
+    for n, other in ((0, 0), (0, 5), (300, 20), (3000, 900)):
+        base = np.unique(rng.integers(0, 1 << 63, n + other, dtype=np.uint64) * np.uint64(2))
+        x, y = (np.array(simhash.parity_sketch(h), np.int64).view(np.uint64) for h in (base, base[other:]))
+        assert np.bitwise_count(x ^ y).sum() <= other and (other == 0 or (x != y).any())
+
+
+def test_redaction_moves_texts_with_a_match_only(spark, capsys):
+    rows = [(k, f"plain text {k}", 1) for k in range(50)] + [(60, "x token=abcdefgh", 16), (61, "token=abc", 3), (62, None, 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    clean = secret_scan.redact(frame)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in clean.collect()}
+    assert got == {k: (t, n) for k, t, n in rows} | {60: ("x [SECRET]", 10)}
+    clean.explain()
+    assert "Union" in capsys.readouterr().out
+
+
 def test_near_copies_are_the_components_of_all_similar_pairs(spark):
     """Against all pairs, in groups whose members are not all similar to one another."""
     rng = random.Random(18)
