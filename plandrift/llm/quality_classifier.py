@@ -264,8 +264,10 @@ def classifier(docs: DataFrame, labels: DataFrame, trusted_docs: int | None = No
     order_by = F.xxhash64(F.lit("trusted"), F.col("doc_id"))
     ids = good if trusted_docs is None else common.stored(good.orderBy(order_by, "doc_id").limit(trusted_docs), "trusted-ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # Rows that repeat an id count once.
-    used = texts.join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    # Rows that repeat an id count once; only their texts travel. The ids are broadcast, or all texts would.
+    rows = common.stored(texts.groupBy("doc_id").agg(F.count("*").alias("n")).join(ids, "doc_id"), "trusted-rows")
+    of = lambda which: texts.join(F.broadcast(rows.where(which).select("doc_id")), "doc_id", "left_semi")
+    used = of("n = 1").unionByName(of("n > 1").groupBy("doc_id").agg(F.min("text").alias("text")))
     if trusted_chars is not None:
         sample = common.stored(used, "trusted")
         # The window sees lengths only.
