@@ -11,6 +11,7 @@ of blocks having its own tree.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
@@ -235,16 +236,15 @@ def parity_sketch(hashes: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
-def _possible(least: float) -> Column:
-    """Whether sets (size, sketch) and (near_size, near_sketch) may have that Jaccard similarity.
+def _possible(size: np.ndarray, sketch: np.ndarray, near_size: np.ndarray, near_sketch: np.ndarray, least: float) -> np.ndarray:
+    """Whether sets (row) and near sets (column) may have that Jaccard similarity.
 
     A bound, not an estimate: with S members together and a difference of D or more, the
     similarity is (S - D) / (S + D) at most.
     """
-    bits = F.aggregate(F.zip_with("sketch", "near_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                       F.lit(0), lambda total, n: total + n)
-    difference = F.greatest(bits, F.abs(F.col("size") - F.col("near_size")))
-    both = F.col("size") + F.col("near_size")
+    bits = np.bitwise_count(sketch[:, None, :] ^ near_sketch[None]).sum(2, dtype=np.int64)
+    difference = np.maximum(bits, np.abs(size[:, None] - near_size[None]))
+    both = size[:, None] + near_size[None]
     return both - difference >= least * (both + difference) - 1e-6
 
 
@@ -285,18 +285,60 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _asked(members: DataFrame, spread: int, least: float) -> DataFrame:
+def _part(spread: int) -> Column:
+    """The part of its bucket that a member falls into; a bucket of at most ``spread`` members has each in its own."""
+    return F.when(F.col("n") <= spread, F.col("node")).otherwise(F.pmod(F.xxhash64("node", "bucket"), F.lit(spread)))
+
+
+def _asked(members: DataFrame, spread: int, least: float, most: int = 8192) -> DataFrame:
     """(a, b): every member of a bucket with the bucket's representatives of other components,
     but for those that can't be similar by their sizes and sketches.
 
     A bucket has one representative in each of ``spread`` parts that its members fall into.
+    A unit has up to about ``most`` members and as many representatives of a bucket.
     """
-    part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
-    chosen = (members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "component", "size", "sketch")).alias("r"))
-              .select("bucket", "r.*").toDF("bucket", "near", "of_near", "near_size", "near_sketch"))
-    pairs = (members.select("bucket", "node", "component", "size", "sketch").join(chosen, "bucket")
-             .where("component <> of_near").where(_possible(least)))
-    return pairs.select(*_ordered("node", "near")).distinct()
+    columns = ["node", "component", "size", "sketch"]
+    chosen = (members.groupBy("bucket", _part(spread).alias("part")).agg(F.min(F.struct(*columns, "n")).alias("r"))
+              .select("bucket", "r.*"))
+    n = F.col("n")
+    chunks, near_chunks = (F.ceil(k / F.lit(most)).cast("int") for k in (n, F.least(n, F.lit(spread))))
+    numbers = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
+    own = lambda k: F.pmod(F.xxhash64(F.lit("chunk"), "node"), k).cast("int")
+    units = (members.select("bucket", *columns, (n <= spread).alias("every"), F.lit(False).alias("near"), own(chunks).alias("x"), numbers(near_chunks).alias("y"))
+             .unionByName(chosen.select("bucket", *columns, (n <= spread).alias("every"), F.lit(True).alias("near"), own(near_chunks).alias("y"), numbers(chunks).alias("x")))
+             .select(F.xxhash64("bucket", "x", "y").alias("unit"), "near", "every", *columns))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def met(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, component, size = (rows.column(k).to_numpy() for k in ("node", "component", "size"))
+        sketch = np.array(rows.column("sketch").combine_chunks().flatten()).view(np.uint64).reshape(-1, 16)
+        near, every = (rows.column(k).to_numpy() for k in ("near", "every"))
+        here, there = np.flatnonzero(~near), np.flatnonzero(near)
+        step = max(1, (1 << 16) // max(1, len(there)))  # 8 MB of sketches at once
+        for at in range(0, len(here), step):
+            some = here[at:at + step]
+            hit = component[some, None] != component[None, there]
+            hit &= ~every[some, None] | (node[some, None] < node[None, there])  # where all are chosen: once
+            hit &= _possible(size[some], sketch[some], size[there], sketch[there], least)
+            i, j = np.nonzero(hit)
+            if i.size:
+                x, y = node[some[i]], node[there[j]]
+                yield common.record_batch(out, [np.minimum(x, y), np.maximum(x, y)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:  # sorted by unit; the last unit may go on
+            unit = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(unit)]
+            for start, end in zip(cuts, cuts[1:]):
+                if held and held[0].column(0)[0].as_py() != unit[start]:
+                    yield from met(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from met(pa.Table.from_batches(held))
+
+    return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -322,19 +364,47 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     sets = common.stored(texts.select("node", F.col("text").cast("binary").alias("text"))
                          .mapInArrow(hashed, "node long, hashes binary")
                          .groupBy("node").agg(F.first("hashes").alias("hashes")), "shingles")
-    side = lambda k: sets.select(F.col("node").alias(k), F.col("hashes").alias(f"of_{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
+    result = common.stored(_similar(_compared(pairs, sets), least), "similar")
+    shared.unpersist()
+    return result
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, most_bytes: int = 32 << 20, most_pairs: int = 20_000) -> DataFrame:
+    """(unit, a, b, hashes): the sets that a unit compares (a, no b), and its pairs (a, b).
+
+    Nodes fall into blocks, and a unit has the pairs between two of them, so a set moves
+    to a unit once, however many pairs it is in, and to no more units than there are
+    blocks. A unit holds about that many bytes of sets and pairs, if spread evenly.
+    """
+    total = sets.agg(F.sum(F.length("hashes").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-2 * total // most_bytes), math.isqrt(2 * pairs.count() // most_pairs))
+    block = lambda k: F.pmod(F.xxhash64(F.lit("block"), F.col(k)), F.lit(blocks))
+    paired = pairs.withColumn("unit", F.least(block("a"), block("b")) * blocks + F.greatest(block("a"), block("b")))
+    needed = paired.select("unit", F.explode(F.array("a", "b")).alias("node")).distinct()
+    moved = needed.join(sets, "node").select("unit", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "hashes")
+    return moved.unionByName(paired.select("unit", "a", "b", F.lit(None).cast("binary").alias("hashes")))
+
+
+def _similar(compared: DataFrame, least: float) -> DataFrame:
+    """The (a, b) of ``_compared`` with at least that Jaccard similarity."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.column_chunks(batches, 100):
-            of_a, of_b = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
-            keep = np.array([jaccard(x, y) >= least for x, y in zip(of_a, of_b)], bool)
-            yield common.record_batch(out, [batch.column(k).to_numpy()[keep] for k in (0, 1)])
-
-    result = common.stored(both.mapInArrow(similar, "a long, b long"), "similar")
-    shared.unpersist()
-    return result
+        sets, at = {}, None  # those of the current unit; they come before its pairs
+        for batch in common.column_chunks(batches, 1000):
+            keep = []
+            for unit, a, b, hashes in zip(*[c.to_pylist() for c in batch.columns]):
+                if unit != at:
+                    sets, at = {}, unit
+                if b is None:
+                    sets[a] = np.frombuffer(hashes, np.uint64)
+                elif jaccard(sets[a], sets[b]) >= least:
+                    keep.append((a, b))
+            if keep:
+                yield common.record_batch(out, list(zip(*keep)))
+
+    return (compared.repartition("unit").sortWithinPartitions("unit", F.col("b").asc_nulls_first())
+            .mapInArrow(similar, "a long, b long"))
 
 
 def _copy_components(texts: DataFrame, radius: int, shingle: int, least: float, bands: int, rows: int
@@ -359,8 +429,7 @@ def _copy_components(texts: DataFrame, radius: int, shingle: int, least: float,
         members = common.stored(buckets.join(parts, "node", "left").select(
             "bucket", "node", "n", "size", "sketch", F.coalesce("component", "node").alias("component")), "members")
         # Open: more than one component, and members that have not met each other.
-        part = F.pmod(F.xxhash64("node", "bucket"), F.lit(spread))
-        state = members.groupBy("bucket", part.alias("part")).agg(
+        state = members.groupBy("bucket", _part(spread).alias("part")).agg(
             F.min("component").alias("x"), F.max("component").alias("y"), F.max("n").alias("n"))
         left = common.stored(state.groupBy("bucket").agg(
             F.min("x").alias("x"), F.max("y").alias("y"), F.max("n").alias("n"), F.count("*").alias("k"))
@@ -368,7 +437,7 @@ def _copy_components(texts: DataFrame, radius: int, shingle: int, least: float,
         if left.isEmpty():
             break
         members = common.stored(members.join(left, "bucket"), "members")
-        pairs, spread = pairs.limit(0), spread * 4
+        pairs, spread = pairs.limit(0), spread * 16
     named = nodes.join(parts, "node", "left").select("digest", "low", F.coalesce("component", "node").alias("component"))
     return known.select("text_hash", "digest"), common.stored(named, "named")
 
@@ -389,9 +458,10 @@ def near_copies(docs: DataFrame, radius: int = 3, shingle: int = 5, least: float
     near copies lie beyond, from ``bands`` of ``rows`` minima of the sets: of pairs at
     0.8 all but 0.2 % share a band. Texts with equal sets are one from the start, and
     are told apart by 64-bit hashes. The members of a band's bucket are compared with
-    one representative; only buckets that hold several components then go on, with four
+    one representative; only buckets that hold several components then go on, with sixteen
     times as many representatives, until all members of different components have met
-    or the bucket is one component. Pairs whose sizes or sketches rule the similarity out are
+    or the bucket is one component; once there are as many representatives as members,
+    each member is one. Pairs whose sizes or sketches rule the similarity out are
     left out before their sets are fetched. A pair
     whose only bands became one component by other links is connected all the same.
     Texts without words link to each other.

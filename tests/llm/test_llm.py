@@ -502,6 +502,53 @@ def test_texts_that_share_bands_only_are_not_fetched(spark, monkeypatch):
     assert sum(told) < len(rows)
 
 
+def test_buckets_of_pairs_below_the_limit_end_in_few_rounds(spark, monkeypatch):
+    """Representatives used to grow until no two members shared a part: about the square of the bucket."""
+    rng = random.Random(6)
+    words = [rng.choice(WORDS) + rng.choice(WORDS) + rng.choice(WORDS) for _ in range(200)]
+    rows = [(i, " ".join(f"{w}{i}" if rng.random() < 0.017 else w for w in words)) for i in range(40)]
+    told, verified = [], simhash._verified
+    monkeypatch.setattr(simhash, "_verified", lambda pairs, *a: told.append(pairs.count()) or verified(pairs, *a))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [set(simhash.shingle_hashes(t.encode()).tolist()) for _, t in rows]
+    similar = [(i, j) for i in range(40) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    label = common.labels_by_minimum(40, *np.array(similar or [(0, 0)]).T)
+    assert all(label[d] == label[c] for d, c in got.items()) and len(got) == 40
+    assert len(told) <= 3
+
+
+def test_sets_move_to_each_unit_once(spark):
+    """They used to move with every pair."""
+    n = 60
+    sets = spark.createDataFrame([(k, np.arange(k, k + 100, dtype=np.uint64).tobytes()) for k in range(n)], "node long, hashes binary")
+    pairs = spark.createDataFrame([(a, b) for b in range(n) for a in range(b)], "a long, b long")
+    for bytes_held, most in ((1 << 25, 20_000), (n * 800 // 4, 20_000), (1 << 25, 100)):
+        moved = simhash._compared(pairs, sets, bytes_held, most)
+        blocks = max(-(-2 * n * 800 // bytes_held), math.isqrt(n * (n - 1) // most), 1)
+        assert moved.where("b is null").count() <= n * blocks < n * (n - 1)
+        got = {(r["a"], r["b"]) for r in simhash._similar(moved, 0.8).collect()}
+        assert got == {(a, b) for b in range(n) for a in range(b) if 10 * (100 - (b - a)) >= 8 * (100 + (b - a))}
+
+
+def test_candidates_are_those_that_sizes_and_sketches_allow(spark):
+    rng = np.random.Generator(np.random.PCG64(7))
+    base = rng.integers(0, 1 << 63, 100, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([base[k % 7:], rng.integers(0, 1 << 63, k % 11 * 2, dtype=np.uint64)])) for k in range(50)]
+    sketches = np.array([simhash.parity_sketch(x) for x in sets], np.int64)
+    members = spark.createDataFrame([(1, k, k // 2, len(x), sketches[k].tolist(), 50) for k, x in enumerate(sets)],
+                                    "bucket long, node long, component long, size long, sketch array<long>, n long")
+    want = set()
+    for b in range(50):
+        for a in range(b):
+            d = max(int(np.bitwise_count((sketches[a] ^ sketches[b]).view(np.uint64)).sum()), abs(len(sets[a]) - len(sets[b])))
+            both = len(sets[a]) + len(sets[b])
+            if a // 2 != b // 2 and both - d >= 0.8 * (both + d) - 1e-6:
+                want.add((a, b))
+    for most in (8192, 7):  # of one unit, of many
+        got = [(r["a"], r["b"]) for r in simhash._asked(members, 64, 0.8, most).collect()]
+        assert set(got) == want and len(got) == len(want) and 0 < len(want) < 1200
+
+
 def test_sketches_differ_in_no_more_bits_than_the_sets_in_members():
     rng = np.random.Generator(np.random.PCG64(2))
     for n, other in ((0, 0), (0, 5), (300, 20), (3000, 900)):
