@@ -17,11 +17,11 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,34 +31,79 @@ from plandrift.llm import common
 END = b" "
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 300_000
+#: Bytes of text that are split into words at once.
+PIECE = 2 << 20
 #: Tokens that a task learns from or scores at once, beside those of its last document.
 HELD = 500_000
+#: Tokens that wait to be scored, so that texts of similar length go together.
+WAITING = 1_500_000
+#: Tokens whose outputs are scored in one go, such that the arrays stay in a core's cache.
+SCORED = 4096
 #: Multiplications in one matrix product. Beyond about this size the library behind numpy
 #: starts threads, which only wait for each other where tasks use all cores already.
 PRODUCT = 200_000
+#: The bias of places that no word has: their probability is zero.
+PADDING = -1e30
 
 
-class Index(dict):
-    def __missing__(self, token: bytes) -> int:
-        return -1
+def product(a: np.ndarray, b: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """a @ b in blocks of rows of ``a``; for tall ``a`` and small ``b``."""
+    rows = max(1, PRODUCT // max(1, b.shape[-2] * b.shape[-1]))
+    if a.shape[-2] <= rows:
+        return np.matmul(a, b, out=out)
+    out = np.empty((*a.shape[:-1], b.shape[-1]), np.result_type(a, b)) if out is None else out
+    for at in range(0, a.shape[-2], rows):
+        np.matmul(a[..., at:at + rows, :], b, out=out[..., at:at + rows, :])
+    return out
 
 
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b in blocks of rows of ``a``; for tall ``a`` and small ``b``."""
-    rows = max(1, PRODUCT // b.size)
-    if len(a) <= rows:
-        return a @ b
+def across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b in blocks of columns of ``b``; for small ``a`` and wide ``b``."""
+    columns = max(1, PRODUCT // a.size)
     out = np.empty((len(a), b.shape[1]), np.result_type(a, b))
-    for at in range(0, len(a), rows):
-        np.matmul(a[at:at + rows], b, out=out[at:at + rows])
+    for at in range(0, b.shape[1], columns):
+        np.matmul(a, b[:, at:at + columns], out=out[:, at:at + columns])
     return out
 
 
 def add_outer(total: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Adds a.T @ b to ``total`` in blocks of rows of both."""
-    rows = max(1, PRODUCT // total.size)
-    for at in range(0, len(a), rows):
-        total += a[at:at + rows].T @ b[at:at + rows]
+    rows = max(1, PRODUCT // max(1, a.shape[-1] * b.shape[-1]))
+    for at in range(0, a.shape[-2], rows):
+        total += np.swapaxes(a[..., at:at + rows, :], -1, -2) @ b[..., at:at + rows, :]
+
+
+def adagrad(weights: np.ndarray, squares: np.ndarray, gradient: np.ndarray, rate: float) -> None:
+    np.clip(gradient, -1, 1, out=gradient)
+    step = gradient * gradient
+    squares += step
+    np.sqrt(squares, out=step)
+    step += np.float32(1e-6)
+    np.divide(gradient, step, out=step)
+    step *= np.float32(rate)
+    weights -= step
+
+
+class Steps:
+    """Arrays for some steps of some lanes, made once; a step's rows are units, its columns lanes.
+
+    With ``kept`` all steps keep what the way back needs, else they share it.
+    """
+
+    def __init__(self, steps: int, lanes: int, size: int, kept: bool):
+        deep, empty = steps if kept else 1, lambda *shape: np.empty(shape, np.float32)
+        self.shape, s = (steps, lanes), size
+        self.parts = empty(steps, 4 if kept else 3, s, lanes)
+        self.x = self.parts[:, :3].reshape(steps, 3 * s, lanes)  # the same memory: needed on the way there, or back
+        self.hu, self.n, self.states = empty(deep, 3 * s, lanes), empty(deep, s, lanes), empty(steps + 1, s, lanes)
+        self.before, self.some = empty(s, lanes), empty(s, lanes)
+        self.views = []
+        for t in range(steps):
+            x, hu, n = self.x[t], self.hu[t if kept else 0], self.n[t if kept else 0]
+            self.views.append((self.states[t], x[:2 * s], x[2 * s:], hu, hu[:2 * s], hu[:s], hu[s:2 * s], hu[2 * s:], n, self.states[t + 1]))
+        if kept:
+            self.factors, self.dh = empty(steps, 4, s, lanes), empty(steps, s, lanes)
+            self.back = [(self.dh[t], self.factors[t], self.parts[t], self.parts[t].reshape(4 * s, lanes)) for t in range(steps)]
 
 
 class Network:
@@ -72,63 +117,192 @@ class Network:
         self.bounds, self.size, words = bounds, size, int(bounds[-1])
         self.classes = len(bounds) - 1  # the class of all other words comes after them
         self.other, self.start = words, words + 1
-        self.class_of = np.append(np.repeat(np.arange(self.classes), np.diff(bounds)), self.classes)
+        sizes = np.diff(bounds)
+        self.class_of = np.append(np.repeat(np.arange(self.classes), sizes), self.classes).astype(np.int16)
+        self.place = np.append(np.arange(words) - np.repeat(bounds[:-1], sizes), 0)
+        # Neighbouring classes of similar sizes are computed together, padded to the largest of them.
+        self.groups: list[tuple[int, int]] = []
+        for k in range(self.classes):
+            a = self.groups[-1][0] if self.groups else k
+            if a < k and max(sizes[a:k + 1]) <= 1.4 * min(sizes[a:k + 1]):
+                self.groups[-1] = (a, k + 1)
+            else:
+                self.groups.append((k, k + 1))
+        self.wide = np.concatenate([np.full(b - a, max(sizes[a:b])) for a, b in self.groups])
+        self.first = np.concatenate([[0], np.cumsum(self.wide)])
+        self.height, self.at = int(self.first[-1]), np.repeat(self.first[:-1], sizes) + self.place[:-1]
         self.shapes = {"x": (words + 2, 3 * size), "u": (size, 3 * size), "c": (size + 1, self.classes + 1), "w": (words, size + 1)}
         if flat is None:
             rng = np.random.default_rng(seed)
             flat = np.concatenate([rng.normal(0, 0.1, math.prod(s)) for s in self.shapes.values()]).astype(np.float32)
-        self.flat, at = np.array(flat, np.float32), 0
+        self.flat = np.array(flat, np.float32)
+        for name, part in self.views(self.flat).items():
+            setattr(self, name, part)
+
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The parts of an array laid out like the weights."""
+        out, at = {}, 0
         for name, shape in self.shapes.items():
-            setattr(self, name, self.flat[at:at + math.prod(shape)].reshape(shape))
+            out[name] = flat[at:at + math.prod(shape)].reshape(shape)
             at += math.prod(shape)
+        return out
+
+    def padded(self, rows: np.ndarray, fill: float) -> np.ndarray:
+        """The words' rows by class, each with as many as the largest of its group; rows of no word hold ``fill`` last."""
+        out = np.zeros((self.height, rows.shape[1]), np.float32)
+        out[:, -1] = fill
+        out[self.at] = rows
+        return out
+
+    def spans(self, counts: list[int]) -> list[tuple[int, int, int]]:
+        """Classes (first, end) of one group each to be computed together, and the most targets of one of them."""
+        out, todo = [], self.groups[::-1]
+        while todo:
+            a, b = todo.pop()
+            some = counts[a:b]
+            most, n = max(some), sum(some)
+            if b - a > 1 and (b - a) * most > 3 * n + 64:  # one class has most of the targets
+                todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+            elif n:
+                out.append((a, b, most))
+        return out
+
+    def forward(self, ids: np.ndarray, work: Steps) -> tuple[np.ndarray, list[bool]]:
+        """Fills the states after each step from states[0]; (where a state is kept, by step and lane, whether not all are)."""
+        s, half = self.size, np.float32(0.5)
+        keep = ids != self.start
+        some = (~keep.all(1)).tolist()
+        keep = keep.astype(np.float32)
+        work.x[:len(ids)] = self.x[ids].transpose(0, 2, 1)
+        work.x[:len(ids), :2 * s] *= half  # a sigmoid is 0.5 + 0.5 tanh(0.5 x)
+        u = np.ascontiguousarray(self.u.T)
+        u[:2 * s] *= half
+        add, multiply, tanh, spare = np.add, np.multiply, np.tanh, work.some
+        for t, (h, x_gates, x_n, hu, gates, r, z, a, n, after) in enumerate(work.views[:len(ids)]):
+            if some[t]:
+                h = multiply(h, keep[t], out=work.before)  # the state before is still to be scored
+            np.matmul(u, h, out=hu)
+            add(gates, x_gates, out=gates)
+            tanh(gates, out=gates)
+            multiply(gates, half, out=gates)
+            add(gates, half, out=gates)
+            multiply(r, a, out=spare)
+            add(spare, x_n, out=spare)
+            tanh(spare, out=n)
+            np.subtract(h, n, out=spare)
+            multiply(spare, z, out=spare)
+            add(n, spare, out=after)
+        return keep, some
+
+    def backward(self, keep: np.ndarray, some: list[bool], dh_out: np.ndarray, work: Steps) -> tuple[np.ndarray, np.ndarray]:
+        """From the gradients by the states those by the inputs (step, unit, lane) and by u; states become those before."""
+        s, steps = self.size, len(keep)
+        before, n = work.states[:steps], work.n[:steps]
+        before *= keep[:, None]
+        r, z, a = (work.hu[:steps, k * s:(k + 1) * s] for k in range(3))
+        factors, parts, dh = work.factors[:steps], work.parts[:steps], work.dh[:steps]
+        by_n = (1 - z) * (1 - n * n)
+        np.multiply(by_n, r, out=factors[:, 2])
+        np.multiply(factors[:, 2] * a, 1 - r, out=factors[:, 0])
+        np.multiply((before - n) * z, 1 - z, out=factors[:, 1])
+        factors[:, 3] = z
+        u = np.concatenate([self.u, np.eye(s, dtype=np.float32)], 1)
+        carried = np.zeros_like(work.some)
+        for t in reversed(range(steps)):
+            own, factor, part, flat = work.back[t]
+            np.add(carried, dh_out[t], out=own)
+            np.multiply(factor, own, out=part)
+            np.matmul(u, flat, out=carried)
+            if some[t]:
+                carried *= keep[t]
+        dx = parts[:, :3].reshape(steps, 3 * s, -1)
+        du = np.matmul(before, dx.transpose(0, 2, 1)).sum(0)
+        np.multiply(dh, by_n, out=parts[:, 2])
+        return parts[:, :3].reshape(steps, 3 * s, -1), du
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        s = self.size
-        x, hu = self.x[ids], product(h, self.u)
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (x[:, :2 * s] + hu[:, :2 * s]))
-        r, z = gates[:, :s], gates[:, s:]
-        a = hu[:, 2 * s:]
-        n = np.tanh(x[:, 2 * s:] + r * a)
-        return n + z * (h - n), r, z, a, n
-
-    def output(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probabilities of the targets (the class only, for other words);
-        with ``grads`` also the gradient by h, and those of the output weights are added."""
-        s, rows = self.size, np.arange(len(h))
-        kind = self.class_of[target]
-        logits = product(h, self.c[:s]) + self.c[s]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        out = logits[rows, kind] - np.log(total)
+        """The states (rows) after one step that continues the texts, or begins them from ``h`` = 0."""
+        work = Steps(1, len(ids), self.size, False)
+        work.states[0] = h.T
+        self.forward(ids[None], work)
+        return (work.states[1].T,)
+
+    def output(self, h: np.ndarray, target: np.ndarray, words: np.ndarray | None = None,
+               grads: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Natural log probabilities of the targets (the class only, for other words) after
+        the states, rows of ``h``; ``words``: the padded weights. With ``grads`` (of c, and
+        of those) also the gradient by the states, a column for each, and those of the
+        output weights are added."""
+        words = self.padded(self.w, PADDING) if words is None else words
+        s, numbers, kind = self.size + 1, np.arange(len(h)), self.class_of[target]
+        rows = np.ones((len(h), s), np.float32)
+        rows[:, :-1] = h
+        e = across(self.c.T, np.ascontiguousarray(rows.T))
+        e -= e.max(0)
+        at = kind * np.int64(len(h)) + numbers
+        out = e.ravel()[at]
+        np.exp(e, out=e)
+        total = e.sum(0)
+        out -= np.log(total)
         dh = None
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, kind] -= 1
-            add_outer(grads["c"][:s], h, d)
-            grads["c"][s] += d.sum(0)
-            dh = product(d, self.c[:s].T)
+            e /= total
+            e.ravel()[at] -= 1
+            add_outer(grads[0], rows, e.T)
+            dh = across(self.c, e)
+        # Now the words within their classes: targets by class, each class with as many slots as its span's largest.
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for k in range(self.classes):
-            some = order[ends[k]:ends[k + 1]]
-            low, high = self.bounds[k], self.bounds[k + 1]
-            if not some.size or high - low == 1:
+        kind = kind[order].astype(np.int64)
+        ends = np.searchsorted(kind, np.arange(self.classes + 1))
+        n = int(ends[-1])
+        if not n:
+            return out, dh if dh is None else dh[:-1]
+        order, kind, counts = order[:n], kind[:n], (ends[1:] - ends[:-1]).tolist()
+        slots, cells, spans, slot, cell = [0] * self.classes, [0] * self.classes, self.spans(counts), 0, 0
+        first, wide = self.first.tolist(), self.wide.tolist()
+        for a, b, most in spans:
+            for k in range(a, b):
+                slots[k], cells[k] = slot, cell
+                slot, cell = slot + most, cell + most * wide[a]
+        rank = numbers[:n] - ends[kind]
+        own = np.array(slots)[kind] + rank
+        at = np.array(cells)[kind] + rank * self.wide[kind] + self.place[target[order]]
+        hs, e, total = np.zeros((slot, s), np.float32), np.empty(cell, np.float32), np.empty(slot, np.float32)
+        hs[own] = rows[order]
+        parts = []
+        for a, b, most in spans:
+            those, shape = slice(slots[a], slots[a] + (b - a) * most), (b - a, most)
+            parts.append((those, shape, hs[those].reshape(*shape, s), words[first[a]:first[b]].reshape(b - a, wide[a], s),
+                          e[cells[a]:cells[a] + (b - a) * most * wide[a]].reshape(*shape, wide[a])))
+        # Logits are moved by their maxima only where their exponentials would leave the range of single precision.
+        for moved in (False, True):
+            for _, _, h3, w, e3 in parts:
+                product(h3, w.transpose(0, 2, 1), e3)
+                if moved:
+                    e3 -= e3.max(2, keepdims=True)
+            if not (moved or e.max() < 60):
                 continue
-            hs, w = h[some], self.w[low:high]
-            logits = product(hs, w[:, :s].T) + w[:, s]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(1)
-            within = np.arange(len(some))
-            out[some] += logits[within, target[some] - low] - np.log(total)
-            if grads is not None:
-                d = e / total[:, None]
-                d[within, target[some] - low] -= 1
-                add_outer(grads["w"][low:high, :s], d, hs)
-                grads["w"][low:high, s] += d.sum(0)
-                dh[some] += product(d, w[:, :s])
-        return out, dh
+            picked = e[at]
+            np.exp(e, out=e)
+            for those, shape, _, _, e3 in parts:
+                e3.sum(2, out=total[those].reshape(shape))
+            if total.min() > 1e-30:
+                break
+        out[order] += picked - np.log(total[own])
+        if grads is None:
+            return out, None
+        # The gradient by the logits is e, with this change, over the total; the smaller factors are divided.
+        e[at] -= total[own]
+        np.divide(1, total, out=total)
+        hs *= total[:, None]
+        by_slot, by_row = np.empty_like(hs), np.zeros_like(rows)
+        for (a, b, _), (those, shape, h3, w, e3) in zip(spans, parts, strict=True):
+            add_outer(grads[1][first[a]:first[b]].reshape(w.shape), e3, h3)
+            product(e3, w, by_slot[those].reshape(*shape, s))
+        by_slot *= total[:, None]
+        by_row[order] = by_slot[own]
+        dh += by_row.T
+        return out, dh[:-1]
 
     def lanes(self, docs: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, targets and document numbers (-1: none) by step and lane.
@@ -160,31 +334,39 @@ class Network:
                 at += len(ids)
         return inputs, targets, owner
 
-    def score(self, docs: list[np.ndarray], most: int = 512, window: int = 32) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], most: int = 512, window: int | None = None) -> np.ndarray:
         """Natural log probability of each document's ids, the share within the other words left out."""
-        result = np.zeros(len(docs))
-        if not docs:
-            return result
+        result, words = np.zeros(len(docs)), self.padded(self.w, PADDING)
+        some: list[int] = []
+        tokens, order = 0, sorted(range(len(docs)), key=lambda d: -len(docs[d]))
+        for d in order:
+            some.append(d)
+            tokens += len(docs[d])
+            if tokens >= HELD or d == order[-1]:
+                result[some] = self.score_lanes([docs[k] for k in some], words, most, window)
+                some, tokens = [], 0
+        return result
+
+    def score_lanes(self, docs: list[np.ndarray], words: np.ndarray, most: int, window: int | None) -> np.ndarray:
+        result, work = np.zeros(len(docs)), None
         inputs, targets, owner = self.lanes(docs, most)
-        h = np.zeros((inputs.shape[1], self.size), np.float32)
+        window = window or -(-SCORED // inputs.shape[1])
+        h = np.zeros((self.size, inputs.shape[1]), np.float32)
         in_use = (owner >= 0).sum(1).tolist()  # the lanes in use come first
         for at in range(0, len(inputs), window):
-            states, rows = [], []
-            for t in range(at, min(at + window, len(inputs))):
-                live = in_use[t]
-                h = h[:live]
-                ids = inputs[t, :live]
-                first = ids == self.start
-                if first.any():
-                    h = h.copy()  # the state before is still to be scored
-                    h[first] = 0
-                h = self.step(ids, h)[0]
-                states.append(h)
-                rows.append(live)
-            target = np.concatenate([targets[at + i, :n] for i, n in enumerate(rows)])
-            whose = np.concatenate([owner[at + i, :n] for i, n in enumerate(rows)])
-            logp, _ = self.output(np.concatenate(states), target)
-            result += np.bincount(whose, logp, len(docs))
+            part = slice(at, min(at + window, len(inputs))), slice(0, in_use[at])
+            steps = part[0].stop - at
+            if work is None or work.shape[1] != in_use[at]:
+                work = Steps(steps, in_use[at], self.size, False)
+            work.states[0] = h[:, :in_use[at]]
+            self.forward(inputs[part], work)
+            h = work.states[steps]
+            whose = owner[part].ravel()
+            real, states = whose >= 0, work.states[1:steps + 1].transpose(0, 2, 1).reshape(len(whose), -1)
+            target = targets[part].ravel()
+            if not real.all():
+                states, target, whose = states[real], target[real], whose[real]
+            result += np.bincount(whose, self.output(states, target, words)[0], len(docs))
         return result
 
     def learn(self, docs: list[np.ndarray], squares: np.ndarray, rate: float = 0.05, most: int = 32, window: int = 32) -> int:
@@ -192,53 +374,44 @@ class Network:
         if not docs:
             return 0
         inputs, targets, owner = self.lanes(docs, most)
-        s, lanes = self.size, inputs.shape[1]
-        h = np.zeros((lanes, s), np.float32)
-        gradient = np.zeros_like(self.flat)
-        grads = Network(self.bounds, s, flat=gradient)
-        gradient = grads.flat
-        named = {k: getattr(grads, k) for k in self.shapes}
+        s, lanes, work = self.size, inputs.shape[1], None
+        scale, squared = np.float32(1 / lanes), self.views(squares)
+        words, word_squares = self.padded(self.w, PADDING), self.padded(squared["w"], 1)
+        grads = np.zeros_like(self.c), np.zeros_like(words)
+        small = np.min_scalar_type(self.start)  # two bytes are sorted by digits
+        h = np.zeros((s, lanes), np.float32)
+        in_use = (owner >= 0).sum(1).tolist()
         for at in range(0, len(inputs), window):
-            gradient[:] = 0
-            steps = range(at, min(at + window, len(inputs)))
-            trace, states = [], []
-            for t in steps:
-                first = inputs[t] == self.start
-                before = np.where(first[:, None], 0, h).astype(np.float32)
-                h, r, z, a, n = self.step(inputs[t], before)
-                trace.append((first, before, r, z, a, n))
-                states.append(h)
-            real = owner[at:at + len(states)].ravel() >= 0
-            hs = np.concatenate(states)
-            dh_out = np.zeros_like(hs)
-            if not real.any():
-                continue
-            dh_out[real] = self.output(hs[real], targets[at:at + len(states)].ravel()[real], named)[1]
-            dh_out = dh_out.reshape(len(states), lanes, s)
-            dh = np.zeros((lanes, s), np.float32)
-            dx = np.zeros((len(states), lanes, 3 * s), np.float32)
-            for i in reversed(range(len(states))):
-                first, before, r, z, a, n = trace[i]
-                dh = dh + dh_out[i]
-                dn = dh * (1 - z) * (1 - n * n)
-                dx[i, :, :s] = dn * a * r * (1 - r)
-                dx[i, :, s:2 * s] = dh * (before - n) * z * (1 - z)
-                du = dx[i].copy()
-                du[:, 2 * s:] = dn * r
-                dx[i, :, 2 * s:] = dn
-                named["u"] += before.T @ du
-                dh = dh * z + du @ self.u.T
-                dh[first] = 0
-            ids = inputs[at:at + len(states)].ravel()
+            part = slice(at, min(at + window, len(inputs))), slice(0, in_use[at])
+            steps, n = part[0].stop - at, in_use[at]
+            if work is None or work.shape[1] != n:
+                work = Steps(steps, n, s, True)
+            ids, target = inputs[part], targets[part].ravel()
+            work.states[0] = h[:, :n]
+            keep, some = self.forward(ids, work)
+            h = work.states[steps].copy()
+            states, real = work.states[1:steps + 1].transpose(0, 2, 1).reshape(steps * n, s), owner[part].ravel() >= 0
+            grads[0][:], grads[1][:] = 0, 0
+            if real.all():
+                dh = self.output(states, target, words, grads)[1]
+            else:
+                dh = np.zeros((s, steps * n), np.float32)
+                dh[:, real] = self.output(states[real], target[real], words, grads)[1]
+            dx, du = self.backward(keep, some, dh.reshape(s, steps, n).transpose(1, 0, 2), work)
+            ids = ids.ravel().astype(small)
             order = np.argsort(ids, kind="stable")
-            starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-            touched = ids[order][starts]
-            named["x"][touched] = np.add.reduceat(dx.reshape(-1, 3 * s)[order], starts)
-            scale = np.float32(1 / max(1, lanes))
-            gradient *= scale
-            np.clip(gradient, -1, 1, out=gradient)
-            squares += gradient * gradient
-            self.flat -= np.float32(rate) * gradient / (np.sqrt(squares) + np.float32(1e-6))
+            starts = np.flatnonzero(np.diff(ids[order], prepend=self.start + 1))
+            touched = ids[order[starts]]
+            dx = np.add.reduceat(dx.transpose(0, 2, 1).reshape(steps * n, 3 * s)[order], starts)
+            # Rows of other words have no gradient, so nothing of them changes.
+            x, x_squares = self.x[touched], squared["x"][touched]
+            adagrad(x, x_squares, dx * scale, rate)
+            self.x[touched], squared["x"][touched] = x, x_squares
+            for weights, own, gradient in ((self.u, squared["u"], du), (self.c, squared["c"], grads[0]),
+                                           (words, word_squares, grads[1])):
+                gradient *= scale
+                adagrad(weights, own, gradient, rate)
+        self.w[:], squared["w"][:] = words[self.at], word_squares[self.at]
         return int((owner >= 0).sum())
 
 
@@ -257,27 +430,55 @@ def class_bounds(counts: list[int], classes: int = 32) -> np.ndarray:
     return np.unique(np.concatenate([[0], cut[cut < len(counts)], [len(counts)]]))
 
 
+def pieces(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(words, number of words of each text) for runs of texts of about PIECE bytes.
+
+    The words are those of ``common.words_of``, one after the other; null has none.
+    """
+    run = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0)), dtype=np.int64) // PIECE
+    ends = [*(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)] if len(texts) else []
+    for low, high in zip([0, *ends], ends):
+        some = texts.slice(low, high - low).fill_null(b"").view(pa.string())
+        some = pc.ascii_trim_whitespace(pc.ascii_lower(some))
+        lists = pc.ascii_split_whitespace(some)
+        words, numbers = lists.flatten(), np.diff(np.asarray(lists.offsets))
+        empty = np.asarray(pc.binary_length(some)) == 0
+        if empty.any():  # these come out as one empty word, or as none
+            words, numbers = words.filter(pc.greater(pc.binary_length(words), 0)), np.where(empty, 0, numbers)
+        yield words.view(pa.binary()), numbers
+
+
+def with_end(ids: np.ndarray, numbers: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with that of the end after each text's, and where each text begins in them."""
+    ends = np.cumsum(numbers + 1, dtype=np.int64) - 1
+    out, word = np.full(len(ids) + len(numbers), end, np.int32), np.ones(len(ids) + len(numbers), bool)
+    word[ends] = False
+    out[word] = ids
+    return out, ends - numbers
+
+
 def token_table(docs: DataFrame) -> DataFrame:
     """(token, c) over the ``text`` column, the end of each document included."""
     schema = pa.schema([("token", pa.binary()), ("c", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        told, n = [schema.empty_table()], 0
 
-        def told() -> Iterator[pa.RecordBatch]:
-            tokens = list(counts)
-            for at in range(0, len(tokens), 50_000):
-                some = tokens[at:at + 50_000]
-                yield common.record_batch(schema, [some, [counts[t] for t in some]])
-            counts.clear()
+        def merged() -> pa.Table:
+            return pa.concat_tables(told).group_by("token", use_threads=False).aggregate([("c", "sum")]).rename_columns(schema.names)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(common.words_of(text))
-                counts[END] += 1
-                if len(counts) >= COUNTED:
-                    yield from told()
-        yield from told()
+            for words, numbers in pieces(batch.column(0)):
+                values, counts = words.value_counts().flatten()
+                told += [pa.table([values, counts], schema), pa.table([[END], [len(numbers)]], schema)]
+                n += len(values) + 1
+                if n >= 2 * COUNTED:
+                    told = [merged()]
+                    if len(told[0]) >= COUNTED:
+                        yield from told[0].to_batches(50_000)
+                        told = [schema.empty_table()]
+                    n = len(told[0])
+        yield from merged().to_batches(50_000)
 
     return (docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "token binary, c long")
             .groupBy("token").agg(F.sum("c").alias("c")))
@@ -311,22 +512,22 @@ def fit(docs: DataFrame, network: Network, index: list[bytes], share: float, rou
             yield common.record_batch(schema, [[n], [out.tobytes()]])
 
     for k in range(rounds):
-        shared, name = spark.sparkContext.broadcast((bounds, index, network.flat)), uuid.uuid4().hex
+        shared, name = spark.sparkContext.broadcast((bounds, index[:network.other], network.flat)), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             bounds, index, flat = shared.value
-            at = _once(name, lambda: Index({t: i for i, t in enumerate(index)}))
+            known, end = _once(name, lambda: (pa.array(index, pa.binary()), index.index(END)))
             own = Network(bounds, size, flat=flat)
             squares, learned, held, tokens = np.full_like(own.flat, 1e-2), 0, [], 0
             for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    ids = np.array([at[t] for t in [*common.words_of(text), END]], np.int32)
-                    ids[(ids < 0) | (ids >= own.other)] = own.other
-                    held.append(ids)
-                    tokens += len(ids)
-                    if tokens >= HELD:
-                        learned += own.learn(held, squares)
-                        held, tokens = [], 0
+                for words, numbers in pieces(batch.column(0)):
+                    ids, starts = with_end(np.asarray(pc.index_in(words, known).fill_null(own.other)), numbers, end)
+                    for ids in np.split(ids, starts[1:]):
+                        held.append(ids)
+                        tokens += len(ids)
+                        if tokens >= HELD:
+                            learned += own.learn(held, squares)
+                            held, tokens = [], 0
             learned += own.learn(held, squares)
             if learned:
                 yield common.record_batch(schema, [[learned], [(own.flat.astype(np.float64) * learned).tobytes()]])
@@ -390,29 +591,30 @@ def lm_scores(docs: DataFrame, vocabulary: int = 2048, counted: int = 65_536, sh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds, index, c, flat = shared.value
-        at, network = _once(name, lambda: (Index({t: i for i, t in enumerate(index)}), Network(bounds, size, flat=flat)))
+        known, end, network = _once(name, lambda: (pa.array(index, pa.binary()), index.index(END), Network(bounds, size, flat=flat)))
         log_c = np.append(np.log10(c + 1.0), 0.0)  # the last is that of tokens not counted here
         seen = np.append(c > 0, False)
         for batch in batches:
-            docs, rare, n_known, logs, extra, tokens_held, first = [], [], [], [], [], 0, 0
-            for row, value in enumerate(batch.column(2).to_pylist(), 1):
-                tokens = common.words_of(value)
-                tokens.append(END)
-                ids = np.fromiter(map(at.__getitem__, tokens), np.int32, len(tokens))
-                rare.append([tokens[i] for i in np.flatnonzero(ids < 0)])
-                n_known.append(int(seen[ids].sum()))
-                logs.append(float(log_c[ids].sum()))
+            docs, columns, tokens, first, row = [], [], 0, 0, 0
+            for words, numbers in pieces(batch.column(2)):
+                found = pc.index_in(words, known)
+                ids, starts = with_end(np.asarray(found.fill_null(-1)), numbers, end)
                 other = (ids < 0) | (ids >= network.other)
+                logs = log_c[ids]
                 # Their share among the other words; that of the uncounted is added by the join.
-                extra.append(float(log_c[ids[other]].sum()) - log_rest * int(other.sum()))
+                extra = np.add.reduceat(np.where(other, logs - log_rest, 0.0), starts)
+                ends = np.cumsum(np.add.reduceat((ids < 0).astype(np.int32), starts), dtype=np.int32)
+                rare = pa.ListArray.from_arrays(np.append(np.int32(0), ends), words.filter(found.is_null()))
+                columns.append((numbers + 1, np.add.reduceat(seen[ids].astype(np.int64), starts), np.add.reduceat(logs, starts), extra, rare))
                 ids[other] = network.other
-                docs.append(ids)
-                tokens_held += len(ids)
-                if tokens_held >= HELD or row == batch.num_rows:
-                    score = network.score(docs) / math.log(10) + np.array(extra)
-                    some = batch.slice(first, len(docs))
-                    yield common.record_batch(schema, [some.column(0), some.column(1), list(map(len, docs)), n_known, logs, score, rare])
-                    docs, rare, n_known, logs, extra, tokens_held, first = [], [], [], [], [], 0, row
+                docs += np.split(ids, starts[1:])
+                tokens, row = tokens + len(ids), row + len(numbers)
+                if tokens >= WAITING or row == batch.num_rows:
+                    n_tokens, n_known, logs, extra = (np.concatenate(x) for x in list(zip(*columns))[:4])
+                    score = network.score(docs) / math.log(10) + extra
+                    some, rare = batch.slice(first, len(docs)), pa.concat_arrays([x[4] for x in columns])
+                    yield common.record_batch(schema, [some.column(0), some.column(1), n_tokens, n_known, logs, score, rare])
+                    docs, columns, tokens, first = [], [], 0, row
 
     chosen = texts.select("doc_id", "held_out", F.col("text").cast("binary").alias("text"))
     scored = common.stored(chosen.mapInArrow(

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -694,6 +695,75 @@ def test_gradient_is_that_of_the_loss():
         assert abs(sides[0] - sides[1]) / 2e-2 == pytest.approx(gradient[k], rel=0.05, abs=5e-3)
 
 
+def test_words_of_a_column_are_those_of_each_text(monkeypatch):
+    rng = random.Random(6)
+    parts = [*(bytes([b]) for b in range(256)), *[b" "] * 60, *["é中\u0085\u2003".encode()] * 20, *[b"Az"] * 20]
+    texts = [b"".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(500)] + [b"", b" ", b"\t\n", None, b" a", b"a ", b"\x1c"]
+    rng.shuffle(texts)
+    column = pa.array([b"before", *texts], pa.binary()).slice(1)
+    for piece in (8 << 20, 100, 1):
+        monkeypatch.setattr(language_model, "PIECE", piece)
+        got = []
+        for words, numbers in language_model.pieces(column):
+            ends = np.cumsum(numbers)
+            assert len(words) == ends[-1]
+            got += [words[e - n:e].to_pylist() for n, e in zip(numbers.tolist(), ends.tolist())]
+        assert got == [common.words_of(t) for t in texts]
+    assert not list(language_model.pieces(pa.array([], pa.binary())))
+
+
+@pytest.mark.parametrize("spread", [0.5, 60.0])
+def test_output_is_a_softmax_in_each_class(spread):
+    """Against double precision, also where one class has most targets, has one word, or logits are large."""
+    rng = np.random.default_rng(3)
+    bounds = np.array([0, 1, 3, 7, 12, 17, 40, 65, 90, 130])
+    network = language_model.Network(bounds, 8, flat=rng.normal(0, spread, language_model.Network(bounds, 8).flat.size))
+    for target in (rng.integers(0, 131, 900), np.full(300, 50), np.append(np.full(400, 8), [0, 100, 130]), np.full(20, 130)):
+        h = rng.uniform(-1, 1, (len(target), 8)).astype(np.float32)
+        one = np.append(h.astype(float), np.ones((len(h), 1)), 1)
+        log_softmax = lambda x: x - x.max(1, keepdims=True) - np.log(np.exp(x - x.max(1, keepdims=True)).sum(1, keepdims=True))
+        kind = np.searchsorted(bounds, target, "right") - 1
+        want = log_softmax(one @ network.c.astype(float))[np.arange(len(h)), kind]
+        for k in range(9):
+            some = np.flatnonzero(kind == k)
+            want[some] += log_softmax(one[some] @ network.w[bounds[k]:bounds[k + 1]].T.astype(float))[np.arange(len(some)), target[some] - bounds[k]]
+        assert np.allclose(network.output(h, target)[0], want, rtol=1e-4, atol=1e-4)
+
+
+def test_scores_do_not_depend_on_the_texts_scored_together(monkeypatch):
+    network = language_model.Network(np.array([0, 2, 6]), 8)
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(0, 7, n).astype(np.int32) for n in rng.integers(1, 60, 200)]
+    want = [network.score([d])[0] for d in docs]
+    for held in (1, 100, 1_000_000):
+        monkeypatch.setattr(language_model, "HELD", held)
+        assert np.allclose(network.score(docs), want, rtol=1e-4)
+
+
+def test_learning_takes_few_array_calls_a_token():
+    """A window of 32 lanes by 32 steps costs less than 1,200 small products, each with a tanh (some 750); it was 1,500 to 1,700."""
+    rng = np.random.default_rng(1)
+    counts = 1_000_000 // np.arange(1, 2049)
+    bounds, share = language_model.class_bounds(counts.tolist()), np.append(counts, counts.sum()) / (2 * counts.sum())
+    docs = [rng.choice(2049, 512, p=share).astype(np.int32) for _ in range(64)]
+    network = language_model.unigram(language_model.Network(bounds), counts, int(counts.sum()))
+    a, b = rng.normal(size=(32, 16)).astype(np.float32), rng.normal(size=(16, 48)).astype(np.float32)
+
+    def small() -> None:
+        for _ in range(32 * 1200):
+            np.tanh(a @ b)
+
+    def seconds(run) -> float:
+        started = time.process_time()
+        run()
+        return time.process_time() - started
+
+    learn = lambda: network.learn(docs, np.full_like(network.flat, 1e-2))
+    assert learn() == 32 * 1024
+    times = [(seconds(learn), seconds(small)) for _ in range(8)]
+    assert min(t for t, _ in times) < min(t for _, t in times)
+
+
 def test_entry_has_the_queries():
     import __spark_entry__
 
